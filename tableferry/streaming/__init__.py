@@ -1,0 +1 @@
+"""Empty on purpose: the work is batch only, so there is no streaming operator to offer."""
