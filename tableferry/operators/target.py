@@ -14,6 +14,7 @@ from datetime import datetime
 
 from pyspark.sql import SparkSession
 
+from tableferry.catalog import base_tables
 from tableferry.functions.formats import backup_suffix
 from tableferry.functions.projection import quote_identifier
 from tableferry.storage import delete_folder, is_inside
@@ -83,9 +84,7 @@ class Target:
 
     def backups(self, table: str) -> list[str]:
         """Backup tables of a table, oldest first."""
-        prefix = f"{table.lower()}{BACKUP}"
-        listed = self.spark.catalog.listTables(self.schema)
-        return sorted(t.name for t in listed if t.name.startswith(prefix) and not t.isTemporary)
+        return base_tables(self.spark, self.schema, f"{table.lower()}{BACKUP}")
 
     def restore_if_missing(self, table: str) -> bool:
         """Put the newest backup back when a run was cut off between the two renames."""
@@ -101,8 +100,9 @@ class Target:
     def swap(self, table: str, moment: datetime, keep_backups: int | None = 0) -> str | None:
         """Publish staging as the final table.
 
-        The previous final becomes ``<table>__backup_<yyyymmdd_hhmmss>``; the newest
-        ``keep_backups`` backups stay (``None``: all). Returns the backup's name if it is kept.
+        The previous final becomes ``<table>__backup_<yyyymmdd_hhmmss>``. It is dropped
+        (``keep_backups=0``), or the newest ``keep_backups`` backups stay (``None``: all).
+        Returns the backup's name if it is kept.
         """
         backup = None
         if self.exists(table):
@@ -115,11 +115,14 @@ class Target:
                 self.rename(backup, table)
             raise SwapError(f"could not publish {table}: {error}") from error
         self.spark.catalog.refreshTable(self.name(table))
-        if keep_backups is not None:
-            backups = self.backups(table)
-            for old in backups[: max(0, len(backups) - keep_backups)]:
-                self.drop(old)
-        return backup if backup and keep_backups != 0 else None
+        if backup is None or keep_backups is None:
+            return backup
+        if keep_backups == 0:
+            self.drop(backup)
+            return None
+        for old in self.backups(table)[:-keep_backups]:
+            self.drop(old)
+        return backup
 
     def _free_backup_name(self, table: str, moment: datetime) -> str:
         name = f"{table.lower()}{BACKUP}{backup_suffix(moment)}"

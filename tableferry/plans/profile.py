@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tableferry.catalog import base_tables
 from tableferry.frames import small_frame
 from tableferry.operators.counts import collect_counts
 from tableferry.operators.target import Target
@@ -33,13 +34,9 @@ def list_base_tables(spark: SparkSession, schemas: Sequence[str]) -> DataFrame:
     rows = []
     for schema in schemas:
         try:
-            tables = spark.catalog.listTables(schema)
+            rows += [(schema, table) for table in base_tables(spark, schema)]
         except Exception as error:
             log.warning("cannot list %s: %s", schema, error)
-            continue
-        rows += [
-            (schema, t.name) for t in tables if not t.isTemporary and t.tableType != "VIEW"
-        ]
     return small_frame(spark, rows, NAMES_SCHEMA)
 
 

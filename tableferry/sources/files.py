@@ -6,9 +6,10 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tableferry.catalog import base_tables, views
 from tableferry.frames import small_frame
-from tableferry.sources.base import BASE_TABLE, LISTING_SCHEMA, VIEW, SchemaSource
 from tableferry.functions.projection import quote_identifier
+from tableferry.sources.base import BASE_TABLE, LISTING_SCHEMA, VIEW, SchemaSource
 from tableferry.storage import list_names
 
 PARQUET = ".parquet"
@@ -47,11 +48,8 @@ class CatalogSource(SchemaSource):
         self.spark.catalog.getDatabase(self.schema)
 
     def listing(self) -> DataFrame:
-        rows = [
-            (table.name, VIEW if table.tableType == "VIEW" else BASE_TABLE)
-            for table in self.spark.catalog.listTables(self.schema)
-            if not table.isTemporary
-        ]
+        rows = [(name, BASE_TABLE) for name in base_tables(self.spark, self.schema)]
+        rows += [(name, VIEW) for name in views(self.spark, self.schema)]
         return small_frame(self.spark, rows, LISTING_SCHEMA)
 
     def read(self, table: str) -> DataFrame:
