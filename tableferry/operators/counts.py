@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tableferry.frames import small_frame
 from tableferry.operators.target import Target
-from tableferry.sources.base import Source
+from tableferry.sources.base import Source, open_tables
 
 log = logging.getLogger(__name__)
 
@@ -48,7 +48,7 @@ def collect_counts(spark: SparkSession, tables: Mapping[str, DataFrame]) -> dict
 
 def source_counts(source: Source, tables: Iterable[str]) -> DataFrame:
     """Counts of source tables; a table that cannot be read is an error."""
-    counts = collect_counts(source.spark, {name: source.read(name) for name in tables})
+    counts = collect_counts(source.spark, open_tables(source, list(tables)))
     return small_frame(source.spark, list(counts.items()), COUNT_SCHEMA)
 
 

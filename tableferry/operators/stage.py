@@ -15,6 +15,11 @@ from tableferry.operators.target import STAGING, Target
 
 log = logging.getLogger(__name__)
 
+# Committed tasks move their own files, so committing a huge write does not queue up on the
+# driver. Partly committed output can be left behind when a write fails, which is harmless here:
+# nothing reads staging before its count is checked, and every attempt has its own folder.
+COMMIT_OPTIONS = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+
 # SQLSTATE classes 22 (data exception) and 42 (syntax or access rule): trying again cannot help.
 _LASTING = re.compile(r"SQLSTATE: (22|42)")
 
@@ -56,7 +61,7 @@ def write_staging(
     (
         rows.observe(written, F.count(F.lit(1)).alias("rows"))
         .write.format("parquet")
-        .options(**(write_options or {}))
+        .options(**{**COMMIT_OPTIONS, **(write_options or {})})
         .option("path", target.new_folder(table))
         .mode("overwrite")
         .saveAsTable(target.name(staging))

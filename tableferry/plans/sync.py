@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tableferry.frames import small_frame
 from tableferry.functions.projection import ProjectionOptions, project
-from tableferry.functions.types import SourceColumn
 from tableferry.operators.audit import append_audit, audit_record, ensure_audit_table
 from tableferry.operators.stage import load_staging
 from tableferry.operators.target import STAGING, Target
@@ -29,7 +28,7 @@ from tableferry.plans.status import (
     VALIDATION_MESSAGE,
     WORKER_ERROR,
 )
-from tableferry.sources.base import Source, introspect_columns, table_names
+from tableferry.sources.base import Source, table_names
 
 log = logging.getLogger(__name__)
 
@@ -93,7 +92,6 @@ def load_table(
     source: Source,
     target: Target,
     table: str,
-    columns: Sequence[SourceColumn],
     options: SyncOptions = SyncOptions(),
 ) -> dict:
     """Load one table. Always returns a result; a failure leaves the previous table as it was."""
@@ -101,6 +99,7 @@ def load_table(
     try:
         moment = options.load_ts or options.clock()
         target.restore_if_missing(table)
+        columns = source.columns(table)
         rows = project(source.read(table), columns, moment, options.projection)
         result["rows_loaded"] = load_staging(
             rows, target, table, options.write_attempts, options.write_options
@@ -122,9 +121,10 @@ def load_table(
             result["status"] = VALIDATION_FAILED
             result["error"] = VALIDATION_MESSAGE
     except Exception as error:
-        log.exception("loading %s failed", table)
         result["status"] = ERROR
         result["error"] = error_text(error)
+        log.error("loading %s failed: %s", table, result["error"])
+        log.debug("loading %s failed", table, exc_info=True)
     if result["status"] != SUCCESS:
         target.drop(f"{table}{STAGING}")
     log.info("%s: %s, %s rows", table, result["status"], result["rows_loaded"])
@@ -135,7 +135,6 @@ def sync_table(
     source: Source,
     target: Target,
     table: str,
-    columns: Sequence[SourceColumn] | None = None,
     options: SyncOptions = SyncOptions(),
 ) -> dict:
     """:func:`load_table` behind a connection check, with the failures around it told apart."""
@@ -144,9 +143,7 @@ def sync_table(
     except Exception as error:
         return new_result(table, CONNECTION_ERROR, error_text(error), counts=False)
     try:
-        if columns is None:
-            columns = introspect_columns(source, [table]).get(table, [])
-        return load_table(source, target, table, columns, options)
+        return load_table(source, target, table, options)
     except Exception as error:
         return new_result(table, WORKER_ERROR, error_text(error), counts=False)
 
@@ -200,16 +197,16 @@ def sync_all(source: Source, target: Target, options: SyncOptions = SyncOptions(
     tables: list[str] = []
     critical_error = None
     try:
+        source.refresh()
         source.check()
         target.ensure()
         _prepare_audit(target)
         tables = table_names(source, options.exclude)
-        columns = introspect_columns(source, tables)
 
         def work(table: str) -> dict:
             starts[table] = options.clock()
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", table)
-            return sync_table(source, target, table, columns.get(table, []), options)
+            return sync_table(source, target, table, options)
 
         with ThreadPoolExecutor(max_workers=max(1, options.workers)) as pool:
             run_one = inheritable_thread_target(spark)(work)
@@ -222,8 +219,8 @@ def sync_all(source: Source, target: Target, options: SyncOptions = SyncOptions(
                         new_result(futures[future], CRASHED, error_text(error), counts=False)
                     )
     except Exception as error:
-        log.exception("run failed")
         critical_error = error_text(error)
+        log.critical("run failed: %s", critical_error, exc_info=True)
 
     results.sort(key=lambda result: result["table"])
     ended = options.clock()

@@ -26,7 +26,8 @@ from tableferry.sources import (
     ParquetSource,
     Source,
     discover_tables,
-    introspect_columns,
+    open_tables,
+    table_names,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,14 +114,13 @@ def full_run(spark: SparkSession, sf_dir: str) -> tuple[SyncRun, Target]:
 def discover(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = folder(spark, sf_dir)
     found = discover_tables(source, EXCLUDED)
-    counts = count_tables(spark, {row.table_name: source.read(row.table_name) for row in found.collect()})
+    counts = count_tables(spark, open_tables(source, [row.table_name for row in found.collect()]))
     return found.join(counts, "table_name")
 
 
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = folder(spark, sf_dir)
-    found = discover_tables(source, base_tables_only=True)
-    return count_tables(spark, {row.table_name: source.read(row.table_name) for row in found.collect()})
+    return count_tables(spark, open_tables(source, table_names(source, base_tables_only=True)))
 
 
 def columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,7 +276,7 @@ def validate_counts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def validate_json_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The JSON column of events, in the finished run and in one that never had it."""
     _, target = full_run(spark, sf_dir)
-    wanted = introspect_columns(folder(spark, sf_dir), ["events"])["events"]
+    wanted = folder(spark, sf_dir).columns("events")
     good = check_json_types(spark, "events", wanted, target_column_catalog(target, "events"))
     missing = check_json_types(spark, "orders", wanted, target_column_catalog(target, "orders"))
     return good.unionAll(missing)
@@ -407,7 +407,7 @@ def schema_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def row_hash(table: str, *key: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         source = folder(spark, sf_dir)
-        wanted = introspect_columns(source, [table])[table]
+        wanted = source.columns(table)
         return with_row_hash(source.read(table), wanted).select(*key, "ROW_HASH")
 
     return query

@@ -2,6 +2,7 @@ from tableferry.sources.base import (
     Source,
     discover_tables,
     introspect_columns,
+    open_tables,
     table_names,
 )
 from tableferry.sources.files import CatalogSource, FrameSource, ParquetSource
@@ -16,5 +17,6 @@ __all__ = [
     "Split",
     "discover_tables",
     "introspect_columns",
+    "open_tables",
     "table_names",
 ]

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from abc import ABC, abstractmethod
 from collections import defaultdict
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,13 @@ class Source(ABC):
     def check(self) -> None:
         """Raise if the source cannot be reached."""
 
+    def refresh(self) -> None:
+        """Forget what was learnt about the tables; called when a run starts."""
+
+    def columns(self, table: str) -> list[SourceColumn]:
+        """Columns of one table in ordinal order."""
+        return introspect_columns(self, [table]).get(table, [])
+
     @abstractmethod
     def listing(self) -> DataFrame:
         """``(table_name, table_type)`` of every table and view."""
@@ -70,13 +78,19 @@ class SchemaSource(Source):
         self.schema = schema
         self.types = {table: dict(columns) for table, columns in (types or {}).items()}
 
+    def columns(self, table: str) -> list[SourceColumn]:
+        declared = self.types.get(table, {})
+        return [
+            SourceColumn(field.name, declared.get(field.name, source_type_of(field.dataType)))
+            for field in self.read(table).schema.fields
+        ]
+
     def column_catalog(self, tables: Iterable[str]) -> DataFrame:
-        rows = []
-        for table in tables:
-            declared = self.types.get(table, {})
-            for ordinal, field in enumerate(self.read(table).schema.fields, start=1):
-                source_type = declared.get(field.name, source_type_of(field.dataType))
-                rows.append((table, ordinal, field.name, source_type))
+        rows = [
+            (table, ordinal, column.name, column.source_type)
+            for table in tables
+            for ordinal, column in enumerate(self.columns(table), start=1)
+        ]
         return small_frame(self.spark, rows, COLUMN_CATALOG_SCHEMA)
 
 
@@ -101,8 +115,14 @@ def table_names(
     return [row.table_name for row in frame.collect()]
 
 
+def open_tables(source: Source, tables: Sequence[str], workers: int = 8) -> dict[str, DataFrame]:
+    """A frame per table. Opening reads a schema, so several are opened at the same time."""
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        return dict(zip(tables, pool.map(source.read, tables)))
+
+
 def introspect_columns(source: Source, tables: Iterable[str]) -> dict[str, list[SourceColumn]]:
-    """Columns of each table in ordinal order."""
+    """Columns of each table in ordinal order, from the column catalog."""
     columns: dict[str, list[SourceColumn]] = defaultdict(list)
     catalog = source.column_catalog(list(tables)).orderBy("table_name", "ordinal")
     for row in catalog.collect():

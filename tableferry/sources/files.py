@@ -26,13 +26,16 @@ class ParquetSource(SchemaSource):
     def check(self) -> None:
         list_names(self.spark, self.path)
 
+    def refresh(self) -> None:
+        self._frames.clear()
+
     def listing(self) -> DataFrame:
         names = list_names(self.spark, self.path)
         rows = [(n[: -len(PARQUET)], BASE_TABLE) for n in names if n.endswith(PARQUET)]
         return small_frame(self.spark, rows, LISTING_SCHEMA)
 
     def read(self, table: str) -> DataFrame:
-        # The schema is read from the files once per table.
+        # Schema and file list are read once per table and run.
         if table not in self._frames:
             self._frames[table] = self.spark.read.parquet(f"{self.path}/{table}{PARQUET}")
         return self._frames[table]

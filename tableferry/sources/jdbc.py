@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import math
+import threading
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableferry.sources.base import Source
+from tableferry.functions.types import SourceColumn
+from tableferry.sources.base import Source, introspect_columns
 
 
 def quote_name(name: str) -> str:
@@ -74,6 +76,8 @@ class JdbcSource(Source):
         self.fetch_size = fetch_size
         self.part_bytes = part_bytes
         self.max_parts = max_parts
+        self._columns: dict[str, list[SourceColumn]] | None = None
+        self._columns_lock = threading.Lock()
 
     def options(self, **more: str) -> dict[str, str]:
         base = {"url": self.url, "fetchsize": str(self.fetch_size), "preferTimestampNTZ": "true"}
@@ -85,6 +89,15 @@ class JdbcSource(Source):
     def check(self) -> None:
         self._query("SELECT 1 AS ok").collect()
 
+    def refresh(self) -> None:
+        self._columns = None
+
+    def columns(self, table: str) -> list[SourceColumn]:
+        with self._columns_lock:
+            if self._columns is None:
+                self._columns = introspect_columns(self, [])
+        return self._columns.get(table, [])
+
     def listing(self) -> DataFrame:
         tables = self._query(
             "SELECT table_schema, table_name, table_type FROM information_schema.tables"
@@ -92,7 +105,7 @@ class JdbcSource(Source):
         return tables.filter(F.col("table_schema") == self.schema).select("table_name", "table_type")
 
     def column_catalog(self, tables: Iterable[str]) -> DataFrame:
-        # One read for all tables; the schema filter runs in the database.
+        # One read covers all tables of the schema; the filter runs in the database.
         columns = self._query(
             "SELECT table_schema, table_name, ordinal_position, column_name, data_type"
             " FROM information_schema.columns"
