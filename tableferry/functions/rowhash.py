@@ -20,11 +20,11 @@ from tableferry.functions.types import SourceColumn
 ROW_HASH = "ROW_HASH"
 
 
-def float_text(value: Column) -> Column:
-    """Shortest decimal text of a float or double."""
-    text = value.cast("string")
+def float_text(value: Column, single: bool = False) -> Column:
+    """Shortest decimal text of a double (``single``: a float)."""
+    text = _shortest(value, single)
     size = F.abs(value.cast("double"))
-    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.?0+$", "")
     exponent = F.substring_index(text, "E", -1).cast("int")
     scientific = F.concat(
         mantissa,
@@ -43,10 +43,25 @@ def float_text(value: Column) -> Column:
     )
 
 
+def _shortest(value: Column, single: bool) -> Column:
+    # Java before 19 prints some numbers with a digit or two more than it takes to read them
+    # back. Long ones are tried with fewer, so that the hash is the same on any JVM.
+    most, data_type = (9, "float") if single else (17, "double")
+    text = value.cast("string")
+    digits = F.length(F.regexp_replace(F.substring_index(text, "E", 1), r"^-?0*\.?0*|\.", ""))
+
+    def with_digits(n: int) -> Column:
+        return F.upper(F.format_string(f"%.{n - 1}e", value.cast("double")))
+
+    fewer = with_digits(most - 1)
+    reads_back = F.when(digits >= most, fewer.cast(data_type) == value)
+    return F.when(reads_back, fewer).when(digits > most, with_digits(most)).otherwise(text)
+
+
 def quoted_text(value: Column) -> Column:
     """Text as an ASCII JSON string."""
     array = F.to_json(F.array(value), {"writeNonAsciiCharacterAsCodePoint": "true"})
-    body = F.regexp_replace(array, r"^\[|\]$", "")
+    body = F.replace(F.regexp_replace(array, r"^\[|\]$", ""), F.lit("\x7f"), F.lit("\\u007f"))
     # Escapes are written with lower-case digits. Upper-case runs are rare, so they are
     # rewritten only where one occurs.
     return F.when(~F.rlike(body, F.lit(r"\\u")), body).otherwise(_lower_escapes(body))
@@ -85,7 +100,7 @@ def value_text(value: Column, data_type: T.DataType, is_json: bool = False) -> C
     if isinstance(data_type, (T.BooleanType, T.IntegralType)):
         return value.cast("string")
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return float_text(value)
+        return float_text(value, isinstance(data_type, T.FloatType))
     if isinstance(data_type, T.ArrayType):
         items = F.transform(
             value,
