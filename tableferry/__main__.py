@@ -29,6 +29,7 @@ def parser() -> argparse.ArgumentParser:
     sync.add_argument("--exclude", action="append", default=[], metavar="TABLE")
     sync.add_argument("--keep-backups", type=int, default=0)
     sync.add_argument("--recount-source", action="store_true")
+    sync.add_argument("--drop-orphans", action="store_true", help="delete folders of lost runs")
     sync.add_argument("--title", default="Table sync")
 
     compare = commands.add_parser("reconcile", help="row counts of source and target")
@@ -94,6 +95,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         workers=args.workers,
         keep_backups=args.keep_backups,
         recount_source=args.recount_source,
+        drop_orphans=args.drop_orphans,
     )
     outcome = sync_all(source, target, options)
     print(outcome.report(args.title).first().report)

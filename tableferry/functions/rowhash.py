@@ -8,7 +8,7 @@ are quoted text; JSON columns are re-rendered with sorted keys; binary is quoted
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +20,24 @@ from tableferry.functions.types import SourceColumn
 ROW_HASH = "ROW_HASH"
 
 
+def apart(value: Column, rare: Callable[[Column], Column]) -> Column:
+    """``rare(value)``, evaluated outside the generated code and with ``value`` computed once.
+
+    The rare cases below take long expressions. Inlined for every column they would make the
+    generated method too long to be compiled, and the common cases would pay for it.
+    """
+    return F.element_at(F.transform(F.array(value), rare), 1)
+
+
 def float_text(value: Column, single: bool = False) -> Column:
     """Shortest decimal text of a double (``single``: a float)."""
+    text = value.cast("string")
+    most = 9 if single else 17
+    is_final = ~F.contains(text, F.lit("E")) & (F.length(text) < most)
+    return F.when(is_final, text).otherwise(apart(value, lambda v: _long_float_text(v, single)))
+
+
+def _long_float_text(value: Column, single: bool) -> Column:
     text = _shortest(value, single)
     size = F.abs(value.cast("double"))
     mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.?0+$", "")
@@ -35,9 +51,7 @@ def float_text(value: Column, single: bool = False) -> Column:
     digits = F.regexp_replace(text.cast("decimal(38,22)").cast("string"), r"0+$", "")
     plain = F.regexp_replace(digits, r"\.$", ".0")
     return (
-        F.when(F.isnan(value), "NaN")
-        .when(size == float("inf"), text)
-        .when(~F.contains(text, F.lit("E")), text)
+        F.when(~F.contains(text, F.lit("E")), text)
         .when((size >= 1e16) | (size < 1e-4), scientific)
         .otherwise(plain)
     )
@@ -60,22 +74,24 @@ def _shortest(value: Column, single: bool) -> Column:
 
 def quoted_text(value: Column) -> Column:
     """Text as an ASCII JSON string."""
-    array = F.to_json(F.array(value), {"writeNonAsciiCharacterAsCodePoint": "true"})
-    body = F.replace(F.regexp_replace(array, r"^\[|\]$", ""), F.lit("\x7f"), F.lit("\\u007f"))
-    # Escapes are written with lower-case digits. Upper-case runs are rare, so they are
-    # rewritten only where one occurs.
-    return F.when(~F.rlike(body, F.lit(r"\\u")), body).otherwise(_lower_escapes(body))
+    needs_escape = F.rlike(value, F.lit(r'[^ -~]|["\\]'))
+    plain = F.concat(F.lit('"'), value, F.lit('"'))
+    return F.when(~needs_escape, plain).otherwise(apart(value, _escaped_text))
 
 
-def _lower_escapes(body: Column) -> Column:
-    # Split into escaped pairs and the rest, lower the hex digits of each \uXXXX.
+def _escaped_text(value: Column) -> Column:
+    array = F.to_json(F.array(value), {"writeNonAsciiCharacterAsCodePoint": "true"})
+    body = F.replace(F.regexp_replace(array, r"^\[|\]$", ""), F.lit("\x7f"), F.lit("\\u007f"))
+    # Code points are written with lower-case digits: split into escapes and the rest.
     pieces = F.regexp_extract_all(
         body, F.lit(r"(\\u[0-9A-Fa-f]{4}|\\[^u]|[^\\]+)"), F.lit(1)
     )
     lowered = F.transform(
-        pieces, lambda piece: F.when(F.startswith(piece, F.lit("\\u")), F.lower(piece)).otherwise(piece)
+        pieces,
+        lambda piece: F.when(F.startswith(piece, F.lit("\\u")), F.lower(piece)).otherwise(piece),
     )
-    return F.array_join(lowered, "")
+    escaped = F.array_join(lowered, "")
+    return F.when(F.contains(body, F.lit("\\u")), escaped).otherwise(body)
 
 
 def json_spaced(compact: Column) -> Column:
@@ -114,15 +130,20 @@ def value_text(value: Column, data_type: T.DataType, is_json: bool = False) -> C
     if isinstance(data_type, T.TimestampType):
         # Instants are written in UTC whatever the session zone is.
         in_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), value.cast("timestamp_ntz"))
-        return quoted_text(F.concat(_with_six_digits(in_utc.cast("string")), F.lit("+00:00")))
+        return _quoted_moment(in_utc, "+00:00")
     if isinstance(data_type, T.TimestampNTZType):
-        return quoted_text(_with_six_digits(value.cast("string")))
+        return _quoted_moment(value)
+    if isinstance(data_type, (T.DateType, T.DecimalType)):
+        return F.concat(F.lit('"'), value.cast("string"), F.lit('"'))
     return quoted_text(value.cast("string"))
 
 
-def _with_six_digits(text: Column) -> Column:
+def _quoted_moment(value: Column, zone: str = "") -> Column:
     # A fraction of a second is written with all six digits, or not at all.
-    return F.when(F.contains(text, F.lit(".")), F.rpad(text, 26, "0")).otherwise(text)
+    def six_digits(text: Column) -> Column:
+        return F.when(F.contains(text, F.lit(".")), F.rpad(text, 26, "0")).otherwise(text)
+
+    return F.concat(F.lit('"'), apart(value.cast("string"), six_digits), F.lit(zone + '"'))
 
 
 def row_text(df: DataFrame, columns: Sequence[SourceColumn] | None = None) -> Column:

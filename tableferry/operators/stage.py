@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tableferry.operators.target import STAGING, Target
+from tableferry.storage import delete_folder
 
 log = logging.getLogger(__name__)
 
@@ -57,15 +58,20 @@ def write_staging(
     """
     staging = f"{table}{STAGING}"
     target.drop(staging)
+    folder = target.new_folder(table)
     written = Observation()
-    (
-        rows.observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.format("parquet")
-        .options(**{**COMMIT_OPTIONS, **(write_options or {})})
-        .option("path", target.new_folder(table))
-        .mode("overwrite")
-        .saveAsTable(target.name(staging))
-    )
+    try:
+        (
+            rows.observe(written, F.count(F.lit(1)).alias("rows"))
+            .write.format("parquet")
+            .options(**{**COMMIT_OPTIONS, **(write_options or {})})
+            .option("path", folder)
+            .mode("overwrite")
+            .saveAsTable(target.name(staging))
+        )
+    except Exception:
+        delete_folder(target.spark, folder)
+        raise
     return written.get["rows"]
 
 

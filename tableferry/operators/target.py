@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 from tableferry.catalog import base_tables
 from tableferry.functions.formats import backup_suffix
 from tableferry.functions.projection import quote_identifier
-from tableferry.storage import delete_folder, is_inside
+from tableferry.storage import delete_folder, is_inside, list_names
 
 log = logging.getLogger(__name__)
 
@@ -97,6 +97,19 @@ class Target:
         log.warning("restored %s from %s", table, backups[-1])
         return True
 
+    def drop_orphans(self, table: str) -> list[str]:
+        """Delete folders of a table that no catalog entry points at, left by a lost driver.
+
+        Only safe while nobody else loads into this schema. Returns the names deleted.
+        """
+        names = [table, f"{table}{STAGING}", *self.backups(table)]
+        used = {self.describe(n)["location"].rstrip("/").rsplit("/", 1)[-1] for n in names if self.exists(n)}
+        parent = f"{self.folder}/{VERSIONS}/{table.lower()}"
+        orphans = [name for name in list_names(self.spark, parent, missing_ok=True) if name not in used]
+        for name in orphans:
+            delete_folder(self.spark, f"{parent}/{name}")
+        return orphans
+
     def swap(self, table: str, moment: datetime, keep_backups: int | None = 0) -> str | None:
         """Publish staging as the final table.
 

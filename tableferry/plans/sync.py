@@ -54,7 +54,8 @@ class SyncOptions:
     ``workers``: tables loaded at the same time. ``load_ts``: the load stamp; now if not given.
     ``keep_backups``: previous versions to keep (0 none, ``None`` all). ``recount_source``: also
     compare the stored count with a fresh count of the source. ``write_attempts``: tries of a
-    staging write that fails for reasons outside the data.
+    staging write that fails for reasons outside the data. ``drop_orphans``: first delete folders
+    left by a driver that was lost while writing (not while another run uses the schema).
     """
 
     exclude: Sequence[str] = ()
@@ -63,6 +64,7 @@ class SyncOptions:
     keep_backups: int | None = 0
     recount_source: bool = False
     write_attempts: int = 3
+    drop_orphans: bool = False
     write_options: dict[str, str] = field(default_factory=dict)
     projection: ProjectionOptions = ProjectionOptions()
     clock: Callable[[], datetime] = utc_now
@@ -99,6 +101,8 @@ def load_table(
     try:
         moment = options.load_ts or options.clock()
         target.restore_if_missing(table)
+        if options.drop_orphans:
+            target.drop_orphans(table)
         columns = source.columns(table)
         rows = project(source.read(table), columns, moment, options.projection)
         result["rows_loaded"] = load_staging(

@@ -10,9 +10,11 @@ def _path(spark: SparkSession, location: str):
     return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
-def list_names(spark: SparkSession, location: str) -> list[str]:
+def list_names(spark: SparkSession, location: str, missing_ok: bool = False) -> list[str]:
     """Names directly under a folder, sorted; hidden names left out."""
     path, file_system = _path(spark, location)
+    if missing_ok and not file_system.exists(path):
+        return []
     names = (status.getPath().getName() for status in file_system.listStatus(path))
     return sorted(name for name in names if not name.startswith(("_", ".")))
 

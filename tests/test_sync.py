@@ -103,7 +103,7 @@ def test_malformed_json_is_an_error(spark, target):
     result = load(bad, target, "docs", T2)
     assert result["status"] == "ERROR" and "MALFORMED_RECORD" in result["error"]
     assert "at org.apache" not in result["error"]
-    assert table_names(spark, target) == ["docs"]
+    assert table_names(spark, target) == ["docs"] and len(version_folders(target, "docs")) == 1
     lenient = load(bad, target, "docs", T2, projection=ProjectionOptions(on_bad_json="null"))
     assert lenient["status"] == "SUCCESS" and target.read("docs").first().J is None
 
@@ -171,6 +171,17 @@ def test_all_backups_even_within_one_second(spark, target):
     assert len(target.backups("people")) == 2 and stored(target, "people") == [(2, "x")]
 
 
+def test_folders_of_a_lost_driver_can_be_dropped(spark, target):
+    load(people(spark, [(1, "a")]), target)
+    load(people(spark, [(2, "b")]), target, ts=T2, keep_backups=1)
+    spark.range(3).write.parquet(target.new_folder("people"))
+    assert len(version_folders(target)) == 3
+    load(people(spark, [(3, "c")]), target, ts=T2 + timedelta(days=1), keep_backups=1, drop_orphans=True)
+    assert len(version_folders(target)) == 2
+    assert stored(target, "people") == [(3, "c")] and stored(target, target.backups("people")[0]) == [(2, "b")]
+    assert target.drop_orphans("people") == [] and target.drop_orphans("never_loaded") == []
+
+
 def test_connection_and_worker_errors(spark, target, monkeypatch):
     class Down(FrameSource):
         def check(self):
