@@ -20,6 +20,7 @@ from tableferry.operators.counts import count_tables
 from tableferry.operators.messages import purge_counts
 from tableferry.registry.queries import PHRASES, TABLES
 from tableferry.sources import open_tables
+from tableferry.storage import delete_folder
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -94,6 +95,7 @@ def main() -> None:
     rows = sum(r.row_count for r in count_tables(spark, open_tables(source(), TABLES)).collect())
     target.drop_schema()
     whole.drop_schema()
+    delete_folder(spark, root)
     spark.stop()
     print(
         json.dumps(

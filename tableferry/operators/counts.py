@@ -53,9 +53,12 @@ def source_counts(source: Source, tables: Iterable[str]) -> DataFrame:
 
 
 def target_counts(target: Target, tables: Iterable[str]) -> DataFrame:
-    """Counts of target tables; one that is missing or cannot be read has no count."""
+    """Counts of target tables; one that is missing or cannot be read has no count.
+
+    Target names do not tell case apart, so each is counted once, in lower case.
+    """
     frames = {}
-    for table in tables:
+    for table in sorted({table.lower() for table in tables}):
         frame = _lenient(table, lambda: target.read(table) if target.exists(table) else None)
         if frame is not None:
             frames[table] = frame

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections import Counter
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, field
@@ -13,7 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tableferry.frames import small_frame
 from tableferry.functions.projection import ProjectionOptions, project
-from tableferry.operators.audit import append_audit, audit_record, ensure_audit_table
+from tableferry.operators.audit import (
+    AUDIT_TABLE,
+    append_audit,
+    audit_record,
+    ensure_audit_table,
+)
 from tableferry.operators.stage import load_staging
 from tableferry.operators.target import STAGING, Target
 from tableferry.operators.validate import json_types_ok, validate_count
@@ -152,6 +158,14 @@ def sync_table(
         return new_result(table, WORKER_ERROR, error_text(error), counts=False)
 
 
+def refused_names(tables: Sequence[str]) -> dict[str, str]:
+    """Tables that would overwrite each other or the audit, with the reason."""
+    shared = Counter(table.lower() for table in tables)
+    refused = {t: "table names differ only by case" for t in tables if shared[t.lower()] > 1}
+    refused |= {t: "name of the audit table" for t in tables if t.lower() == AUDIT_TABLE}
+    return refused
+
+
 @dataclass
 class SyncRun:
     """Outcome of a run: one result per table, and what follows from them."""
@@ -206,6 +220,9 @@ def sync_all(source: Source, target: Target, options: SyncOptions = SyncOptions(
         target.ensure()
         _prepare_audit(target)
         tables = table_names(source, options.exclude)
+        refused = refused_names(tables)
+        results += [new_result(table, ERROR, reason) for table, reason in refused.items()]
+        loadable = [table for table in tables if table not in refused]
 
         def work(table: str) -> dict:
             starts[table] = options.clock()
@@ -213,8 +230,11 @@ def sync_all(source: Source, target: Target, options: SyncOptions = SyncOptions(
             return sync_table(source, target, table, options)
 
         with ThreadPoolExecutor(max_workers=max(1, options.workers)) as pool:
-            run_one = inheritable_thread_target(spark)(work)
-            futures = {pool.submit(run_one, table): table for table in tables}
+            # Wrapped once per table: the wrapper carries the local properties of its thread.
+            futures = {
+                pool.submit(inheritable_thread_target(spark)(work), table): table
+                for table in loadable
+            }
             for future in as_completed(futures):
                 try:
                     results.append(future.result())

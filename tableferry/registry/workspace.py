@@ -5,13 +5,16 @@ from __future__ import annotations
 import atexit
 import hashlib
 import re
+from contextlib import suppress
 
 from pyspark.sql import SparkSession
 
 from tableferry.operators.target import Target
 from tableferry.session import shared_root
+from tableferry.storage import delete_folder
 
 _targets: list[Target] = []
+_roots: dict[str, SparkSession] = {}
 
 
 def workspace_target(spark: SparkSession, purpose: str, sf_dir: str) -> Target:
@@ -20,8 +23,9 @@ def workspace_target(spark: SparkSession, purpose: str, sf_dir: str) -> Target:
     Running a query again refreshes the same tables, so storage does not grow with runs.
     """
     application = re.sub(r"\W+", "_", spark.sparkContext.applicationId).lower()
-    data = hashlib.md5(sf_dir.encode()).hexdigest()[:8]
+    data = hashlib.md5(str(sf_dir).encode()).hexdigest()[:8]
     root = f"{shared_root(spark)}/tableferry/{application}"
+    _roots[root] = spark
     target = Target(spark, f"ods_{purpose}_{data}_{application}", root).ensure()
     _targets.append(target)
     return target
@@ -30,10 +34,11 @@ def workspace_target(spark: SparkSession, purpose: str, sf_dir: str) -> Target:
 @atexit.register
 def drop_workspace() -> None:
     """Drop every schema handed out here, as far as its session is still running."""
-    while _targets:
-        target = _targets.pop()
-        try:
-            if target.spark.sparkContext._jsc and target.spark.catalog.databaseExists(target.schema):
+    with suppress(Exception):  # the session may have ended
+        while _targets:
+            target = _targets.pop()
+            if target.spark.catalog.databaseExists(target.schema):
                 target.drop_schema()
-        except Exception:
-            pass  # the session has ended
+        while _roots:
+            root, spark = _roots.popitem()
+            delete_folder(spark, root)

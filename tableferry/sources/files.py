@@ -20,7 +20,7 @@ class ParquetSource(SchemaSource):
 
     def __init__(self, spark: SparkSession, path: str, schema: str = "public", types=None):
         super().__init__(spark, schema, types)
-        self.path = path.rstrip("/")
+        self.path = str(path).rstrip("/")
         self._frames: dict[str, DataFrame] = {}
 
     def check(self) -> None:

@@ -16,6 +16,16 @@ sys.path.insert(0, ROOT)
 from __spark_entry__ import oracle_sql, queries  # noqa: E402
 
 
+SQL_TYPES = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "VARCHAR": "string",
+    "DOUBLE": "double",
+    "BOOLEAN": "boolean",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def connect(sf_dir: str):
     connection = duckdb.connect()
     connection.execute("SET TimeZone = 'UTC'")
@@ -50,6 +60,10 @@ def compare(spark, connection, name: str, sf_dir: str) -> str | None:
     sql_names, sql_rows = rows_by_name([c[0] for c in cursor.description], cursor.fetchall())
     if spark_names != sql_names:
         return f"columns {spark_names} != {sql_names}"
+    spark_types = {f.name: f.dataType.simpleString() for f in frame.schema.fields}
+    sql_types = {c[0]: SQL_TYPES.get(str(c[1]), str(c[1])) for c in cursor.description}
+    if spark_types != sql_types:
+        return f"types {sorted(set(spark_types.items()) ^ set(sql_types.items()))}"
     if spark_rows != sql_rows:
         extra = list((spark_rows - sql_rows).items())[:3]
         missing = list((sql_rows - spark_rows).items())[:3]

@@ -1,5 +1,5 @@
 import json
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
@@ -41,6 +41,7 @@ ALL_TYPES = [
     ("c_json", "json", "string", ['{"b":[1,2.50],"a":{"x":null}}', "[1]", None]),
     ("c_jsonb", "jsonb", "string", ["null", '"text"', "12"]),
     ("c_arr", "ARRAY", "array<int>", [[], [1, 2], None]),
+    ("c_interval", "interval", "interval day to second", [timedelta(days=1, hours=2), None, None]),
     ("c_struct", "USER-DEFINED", "struct<a:int>", [(1,), None, None]),
 ]
 EXPECTED = {
@@ -49,7 +50,7 @@ EXPECTED = {
     "C_VC": "string", "C_CH": "string", "C_UUID": "string", "C_INET": "string",
     "C_BYTES": "binary", "C_TS": "timestamp_ntz", "C_TSTZ": "timestamp", "C_DATE": "date",
     "C_TIME": "string", "C_TIMETZ": "string", "C_JSON": "variant", "C_JSONB": "variant",
-    "C_ARR": "string", "C_STRUCT": "string", "LOADED_AT_UTC": "timestamp",
+    "C_ARR": "string", "C_INTERVAL": "string", "C_STRUCT": "string", "LOADED_AT_UTC": "timestamp",
 }
 
 
@@ -82,6 +83,7 @@ def test_all_types(spark):
     assert second["C_TEXT"] == "a'b\"c\nü " and first["C_CH"] == "x  "
     assert first["C_TS"] == datetime(2024, 1, 2, 3, 4, 5, 678901)
     assert (first["C_ARR"], second["C_ARR"], third["C_ARR"]) == ("[]", "[1,2]", None)
+    assert first["C_INTERVAL"] == "INTERVAL '1 02:00:00' DAY TO SECOND"
     assert first["C_STRUCT"] == '{"a":1}'
     nulls = ("C_DBL", "C_REAL", "C_BOOL", "C_TEXT", "C_BYTES", "C_TS", "C_TSTZ", "C_DATE", "C_JSON")
     assert all(third[name] is None for name in nulls)

@@ -89,6 +89,13 @@ def test_target_that_cannot_be_counted_has_no_count(spark, target):
     assert [tuple(r) for r in counts.collect()] == [("good", 4)]
 
 
+def test_source_names_that_differ_by_case_share_a_target(spark, target):
+    spark.range(4).write.saveAsTable(target.name("orders"))
+    source = FrameSource(spark, {"Orders": spark.range(4), "orders": spark.range(3)})
+    details, _ = reconcile(source, target)
+    assert sorted((r.table_name, r.target_count, r.diff) for r in details.collect()) == [("Orders", 4, 0), ("orders", 4, 1)]
+
+
 def test_counts_of_many_tables(spark):
     frames = {f"t{i}": spark.range(i) for i in range(5)}
     assert {r.table_name: r.row_count for r in count_tables(spark, frames).collect()} == {f"t{i}": i for i in range(5)}

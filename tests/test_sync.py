@@ -279,6 +279,40 @@ def test_crash_of_a_worker(spark, target, monkeypatch):
     ]
 
 
+def test_tables_that_would_overwrite_each_other_are_refused(spark, target):
+    one = spark.range(1)
+    source = FrameSource(spark, {"Orders": one, "orders": one, "etl_metadata": one, "fine": one})
+    run = sync_all(source, target, SyncOptions(load_ts=T1))
+    assert {r["table"]: (r["status"], r["error"]) for r in run.results} == {
+        "Orders": ("ERROR", "table names differ only by case"),
+        "orders": ("ERROR", "table names differ only by case"),
+        "etl_metadata": ("ERROR", "name of the audit table"),
+        "fine": ("SUCCESS", None),
+    }
+    assert target.read(AUDIT_TABLE).count() == 4 and target.read("FINE").count() == 1
+
+
+def test_tables_run_in_their_own_scheduler_pool(spark, target, monkeypatch):
+    seen = {}
+    real = sync_module.sync_table
+
+    def spy(source, target_, table, options):
+        result = real(source, target_, table, options)
+        seen[table] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+        return result
+
+    monkeypatch.setattr(sync_module, "sync_table", spy)
+    source = FrameSource(spark, {f"t{i}": spark.range(i) for i in range(6)})
+    sync_all(source, target, SyncOptions(workers=3))
+    assert seen == {f"t{i}": f"t{i}" for i in range(6)}
+
+
+def test_repeated_json_key_keeps_its_last_value(spark, target):
+    docs = frames(spark, docs=([('{"a":1,"a":2}',)], "j string"))
+    assert load(FrameSource(spark, docs, types={"docs": {"j": "json"}}), target, "docs")["status"] == "SUCCESS"
+    assert target.read("docs").select(F.to_json("J")).first()[0] == '{"a":2}'
+
+
 def test_catalog_as_source(spark, target, tmp_path):
     load(people(spark, [(1, "a")]), target)
     spark.sql(f"CREATE VIEW {target.schema}.grown_ups AS SELECT * FROM {target.schema}.people")
