@@ -16,10 +16,14 @@ from tableferry.storage import delete_folder
 
 log = logging.getLogger(__name__)
 
-# Committed tasks move their own files, so committing a huge write does not queue up on the
-# driver. Partly committed output can be left behind when a write fails, which is harmless here:
-# nothing reads staging before its count is checked, and every attempt has its own folder.
-COMMIT_OPTIONS = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+WRITE_OPTIONS = {
+    # Committed tasks move their own files, so committing a huge write does not queue up on the
+    # driver. A failed write can leave part of its output behind, which is harmless: nothing reads
+    # staging before its count is checked, and every attempt has its own folder.
+    "mapreduce.fileoutputcommitter.algorithm.version": "2",
+    # A few connections to a database can carry a table of any size: bound their files.
+    "maxRecordsPerFile": "10000000",
+}
 
 # SQLSTATE classes 22 (data exception) and 42 (syntax or access rule): trying again cannot help.
 _LASTING = re.compile(r"SQLSTATE: (22|42)")
@@ -64,7 +68,7 @@ def write_staging(
         (
             rows.observe(written, F.count(F.lit(1)).alias("rows"))
             .write.format("parquet")
-            .options(**{**COMMIT_OPTIONS, **(write_options or {})})
+            .options(**{**WRITE_OPTIONS, **(write_options or {})})
             .option("path", folder)
             .mode("overwrite")
             .saveAsTable(target.name(staging))

@@ -54,7 +54,9 @@ def page_predicates(pages: int, parts: int) -> list[str]:
 class JdbcSource(Source):
     """All tables and views of a database schema that has an ``information_schema``.
 
-    ``properties`` are Spark's JDBC options (user, password, driver, ...).
+    ``properties`` are Spark's JDBC options (user, password, driver, ...). A table is read over at
+    most ``max_connections`` connections at a time, whatever the size of the cluster; a run with
+    several workers reads that many times more.
     """
 
     def __init__(
@@ -66,7 +68,7 @@ class JdbcSource(Source):
         splits: Mapping[str, Split] | None = None,
         fetch_size: int = 5000,
         part_bytes: int = 256 << 20,
-        max_parts: int = 2000,
+        max_connections: int = 32,
     ):
         super().__init__(spark)
         self.url = url
@@ -75,7 +77,7 @@ class JdbcSource(Source):
         self.splits = dict(splits or {})
         self.fetch_size = fetch_size
         self.part_bytes = part_bytes
-        self.max_parts = max_parts
+        self.max_connections = max_connections
         self._columns: dict[str, list[SourceColumn]] | None = None
         self._columns_lock = threading.Lock()
 
@@ -150,7 +152,7 @@ class JdbcSource(Source):
             "partitionColumn": key,
             "lowerBound": str(low),
             "upperBound": str(high),
-            "numPartitions": str(split.parts or self.max_parts),
+            "numPartitions": str(split.parts or self.max_connections),
         }
 
     def _page_ranges(self, name: str, parts: int | None) -> list[str]:
@@ -162,5 +164,5 @@ class JdbcSource(Source):
         ).first()
         if row is None or row.kind not in ("r", "m"):
             return []  # views and partitioned parents have no pages of their own
-        wanted = parts or min(self.max_parts, math.ceil(row.bytes / self.part_bytes))
+        wanted = parts or min(self.max_connections, math.ceil(row.bytes / self.part_bytes))
         return page_predicates(row.bytes // row.page_bytes, wanted)

@@ -83,9 +83,11 @@ def test_columns_in_ordinal_order(spark):
 
 
 def test_page_ranges_follow_the_size(spark):
-    source = Catalog(spark, URL)
-    predicates = source._page_ranges(source.qualified("b"), None)
-    assert len(predicates) == 40  # 10 GiB in runs of 256 MiB
+    source = Catalog(spark, URL, max_connections=100)
+    assert len(source._page_ranges(source.qualified("b"), None)) == 40  # 10 GiB in runs of 256 MiB
+    assert len(source._page_ranges(source.qualified("b"), 7)) == 7
+    bounded = Catalog(spark, URL)
+    assert len(bounded._page_ranges(bounded.qualified("b"), None)) == 32
     source.pages = ("v", 0, 8192)
     assert source._page_ranges(source.qualified("b"), None) == []
     source.pages = None
