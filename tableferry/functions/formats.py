@@ -21,6 +21,9 @@ def backup_suffix(moment) -> str:
     return moment.strftime("%Y%m%d_%H%M%S")
 
 
+# The formats of the lines below.
+
+
 def count_line(table: Column, count: Column) -> Column:
     return F.format_string("%-40s | %10d", table, count)
 

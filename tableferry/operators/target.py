@@ -47,6 +47,10 @@ class Target:
         self.spark.sql(statement)
         return self
 
+    def check(self) -> None:
+        """Raise if the schema is not there."""
+        self.spark.catalog.getDatabase(self.schema)
+
     @property
     def folder(self) -> str:
         return self.spark.catalog.getDatabase(self.schema).locationUri.rstrip("/")
@@ -97,17 +101,22 @@ class Target:
         log.warning("restored %s from %s", table, backups[-1])
         return True
 
-    def drop_orphans(self, table: str) -> list[str]:
-        """Delete folders of a table that no catalog entry points at, left by a lost driver.
+    def drop_orphans(self) -> list[str]:
+        """Delete load folders that no table of the schema points at, left by a lost driver.
 
-        Only safe while nobody else loads into this schema. Returns the names deleted.
+        Only safe while nobody else loads into this schema. Returns the folders deleted.
         """
-        names = [table, f"{table}{STAGING}", *self.backups(table)]
-        used = {self.describe(n)["location"].rstrip("/").rsplit("/", 1)[-1] for n in names if self.exists(n)}
-        parent = f"{self.folder}/{VERSIONS}/{table.lower()}"
-        orphans = [name for name in list_names(self.spark, parent, missing_ok=True) if name not in used]
-        for name in orphans:
-            delete_folder(self.spark, f"{parent}/{name}")
+        entries = [self.describe(name) for name in base_tables(self.spark, self.schema)]
+        used = {entry.get("location", "").rstrip("/").rsplit("/", 1)[-1] for entry in entries}
+        versions = f"{self.folder}/{VERSIONS}"
+        orphans = [
+            f"{versions}/{table}/{name}"
+            for table in list_names(self.spark, versions, missing_ok=True)
+            for name in list_names(self.spark, f"{versions}/{table}")
+            if name not in used
+        ]
+        for folder in orphans:
+            delete_folder(self.spark, folder)
         return orphans
 
     def swap(self, table: str, moment: datetime, keep_backups: int | None = 0) -> str | None:
@@ -130,12 +139,13 @@ class Target:
         self.spark.catalog.refreshTable(self.name(table))
         if backup is None or keep_backups is None:
             return backup
-        if keep_backups == 0:
-            self.drop(backup)
-            return None
-        for old in self.backups(table)[:-keep_backups]:
-            self.drop(old)
-        return backup
+        unwanted = [backup] if keep_backups == 0 else self.backups(table)[:-keep_backups]
+        for old in unwanted:
+            try:
+                self.drop(old)
+            except Exception as error:  # the new table is in place already
+                log.warning("backup %s not dropped: %s", old, error)
+        return backup if keep_backups else None
 
     def _free_backup_name(self, table: str, moment: datetime) -> str:
         name = f"{table.lower()}{BACKUP}{backup_suffix(moment)}"

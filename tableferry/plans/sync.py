@@ -60,8 +60,8 @@ class SyncOptions:
     ``workers``: tables loaded at the same time. ``load_ts``: the load stamp; now if not given.
     ``keep_backups``: previous versions to keep (0 none, ``None`` all). ``recount_source``: also
     compare the stored count with a fresh count of the source. ``write_attempts``: tries of a
-    staging write that fails for reasons outside the data. ``drop_orphans``: first delete folders
-    left by a driver that was lost while writing (not while another run uses the schema).
+    staging write that fails for reasons outside the data. ``drop_orphans``: let a run first delete
+    folders left by a driver that was lost while writing (not while another run uses the schema).
     """
 
     exclude: Sequence[str] = ()
@@ -107,8 +107,6 @@ def load_table(
     try:
         moment = options.load_ts or options.clock()
         target.restore_if_missing(table)
-        if options.drop_orphans:
-            target.drop_orphans(table)
         columns = source.columns(table)
         rows = project(source.read(table), columns, moment, options.projection)
         result["rows_loaded"] = load_staging(
@@ -141,7 +139,7 @@ def load_table(
     return result
 
 
-def sync_table(
+def attempt_table(
     source: Source,
     target: Target,
     table: str,
@@ -150,6 +148,7 @@ def sync_table(
     """:func:`load_table` behind a connection check, with the failures around it told apart."""
     try:
         source.check()
+        target.check()
     except Exception as error:
         return new_result(table, CONNECTION_ERROR, error_text(error), counts=False)
     try:
@@ -158,6 +157,21 @@ def sync_table(
         return new_result(table, WORKER_ERROR, error_text(error), counts=False)
 
 
+def sync_table(
+    source: Source,
+    target: Target,
+    table: str,
+    options: SyncOptions = SyncOptions(),
+) -> dict:
+    """Load one table and record it in the audit."""
+    started = options.clock()
+    source.refresh()
+    result = attempt_table(source, target, table, options)
+    _prepare_audit(target)
+    _record(source, target, [result], {}, started, options)
+    return result
+
+
 def refused_names(tables: Sequence[str]) -> dict[str, str]:
     """Tables that would overwrite each other or the audit, with the reason."""
     shared = Counter(table.lower() for table in tables)
@@ -219,6 +233,8 @@ def sync_all(source: Source, target: Target, options: SyncOptions = SyncOptions(
         source.check()
         target.ensure()
         _prepare_audit(target)
+        if options.drop_orphans:
+            target.drop_orphans()
         tables = table_names(source, options.exclude)
         refused = refused_names(tables)
         results += [new_result(table, ERROR, reason) for table, reason in refused.items()]
@@ -227,7 +243,7 @@ def sync_all(source: Source, target: Target, options: SyncOptions = SyncOptions(
         def work(table: str) -> dict:
             starts[table] = options.clock()
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", table)
-            return sync_table(source, target, table, options)
+            return attempt_table(source, target, table, options)
 
         with ThreadPoolExecutor(max_workers=max(1, options.workers)) as pool:
             # Wrapped once per table: the wrapper carries the local properties of its thread.

@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 
 def _path(spark: SparkSession, location: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(location)
-    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def list_names(spark: SparkSession, location: str, missing_ok: bool = False) -> list[str]:

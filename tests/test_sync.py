@@ -10,6 +10,7 @@ from tableferry.operators.audit import AUDIT_COLUMNS, AUDIT_TABLE, duplicate_aud
 from tableferry.operators.stage import is_lasting, retry_with_backoff
 from tableferry.operators.target import STAGING, SwapError
 from tableferry.plans import sync as sync_module
+from tableferry.plans.sync import attempt_table
 
 T1 = datetime(2024, 1, 1, tzinfo=timezone.utc)
 T2 = datetime(2024, 1, 2, tzinfo=timezone.utc)
@@ -28,7 +29,7 @@ def stored(target, table):
 
 
 def load(source, target, table="people", ts=T1, **options):
-    return sync_table(source, target, table, SyncOptions(load_ts=ts, write_attempts=1, **options))
+    return attempt_table(source, target, table, SyncOptions(load_ts=ts, write_attempts=1, **options))
 
 
 def table_names(spark, target):
@@ -176,10 +177,32 @@ def test_folders_of_a_lost_driver_can_be_dropped(spark, target):
     load(people(spark, [(2, "b")]), target, ts=T2, keep_backups=1)
     spark.range(3).write.parquet(target.new_folder("people"))
     assert len(version_folders(target)) == 3
-    load(people(spark, [(3, "c")]), target, ts=T2 + timedelta(days=1), keep_backups=1, drop_orphans=True)
+    target.rename(target.backups("people")[0], "archive")
+    sync_all(people(spark, [(3, "c")]), target, SyncOptions(load_ts=T2 + timedelta(days=1), drop_orphans=True))
     assert len(version_folders(target)) == 2
-    assert stored(target, "people") == [(3, "c")] and stored(target, target.backups("people")[0]) == [(2, "b")]
-    assert target.drop_orphans("people") == [] and target.drop_orphans("never_loaded") == []
+    assert stored(target, "people") == [(3, "c")] and stored(target, "archive") == [(1, "a")]
+    assert target.drop_orphans() == []
+
+
+def test_backup_that_cannot_be_dropped_does_not_fail_the_load(spark, target, monkeypatch):
+    load(people(spark, [(1, "a")]), target)
+    real = Target.drop
+
+    def drop(self, table):
+        if "__backup_" in table:
+            raise OSError("busy")
+        real(self, table)
+
+    monkeypatch.setattr(Target, "drop", drop)
+    assert load(people(spark, [(2, "b")]), target, ts=T2)["status"] == "SUCCESS"
+    assert stored(target, "people") == [(2, "b")] and len(target.backups("people")) == 1
+
+
+def test_single_load_is_audited(spark, target):
+    assert sync_table(people(spark, [(1, "a")]), target, "people", SyncOptions(load_ts=T1))["status"] == "SUCCESS"
+    sync_table(people(spark, []), target, "no_such_table", SyncOptions(load_ts=T1))
+    rows = target.read(AUDIT_TABLE).orderBy("TABLE_NAME").collect()
+    assert [(r.TABLE_NAME, r.STATUS, r.ROWS_LOADED) for r in rows] == [("no_such_table", "ERROR", 0), ("people", "SUCCESS", 1)]
 
 
 def test_connection_and_worker_errors(spark, target, monkeypatch):
@@ -189,6 +212,8 @@ def test_connection_and_worker_errors(spark, target, monkeypatch):
 
     result = load(Down(spark, {}), target)
     assert (result["status"], result["error"], result["rows_loaded"]) == ("CONNECTION_ERROR", "refused", None)
+    absent = load(people(spark, []), Target(spark, "no_such_schema"))
+    assert absent["status"] == "CONNECTION_ERROR" and "no_such_schema" in absent["error"]
 
     def boom(*args):
         raise RuntimeError("boom")
@@ -264,14 +289,14 @@ def test_critical_failure(spark, target):
 
 
 def test_crash_of_a_worker(spark, target, monkeypatch):
-    real = sync_module.sync_table
+    real = sync_module.attempt_table
 
     def crash(source, target_, table, options):
         if table == "a":
             raise RuntimeError("thread died")
         return real(source, target_, table, options)
 
-    monkeypatch.setattr(sync_module, "sync_table", crash)
+    monkeypatch.setattr(sync_module, "attempt_table", crash)
     run = sync_all(run_source(spark), target, SyncOptions(exclude=["b", "excluded_log"]))
     assert [(r["table"], r["status"], r["error"]) for r in run.results] == [
         ("a", "CRASHED", "thread died"),
@@ -294,14 +319,14 @@ def test_tables_that_would_overwrite_each_other_are_refused(spark, target):
 
 def test_tables_run_in_their_own_scheduler_pool(spark, target, monkeypatch):
     seen = {}
-    real = sync_module.sync_table
+    real = sync_module.attempt_table
 
     def spy(source, target_, table, options):
         result = real(source, target_, table, options)
         seen[table] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
         return result
 
-    monkeypatch.setattr(sync_module, "sync_table", spy)
+    monkeypatch.setattr(sync_module, "attempt_table", spy)
     source = FrameSource(spark, {f"t{i}": spark.range(i) for i in range(6)})
     sync_all(source, target, SyncOptions(workers=3))
     assert seen == {f"t{i}": f"t{i}" for i in range(6)}
