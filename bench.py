@@ -19,7 +19,7 @@ from tableferry import catalog_profile, with_row_hash
 from tableferry.operators.counts import count_tables
 from tableferry.operators.messages import purge_counts
 from tableferry.registry.queries import PHRASES, TABLES
-from tableferry.sources import open_tables
+from tableferry.sources import open_counts
 from tableferry.storage import delete_folder
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -76,7 +76,7 @@ def main() -> None:
         "load_orders": load("orders"),
         "sync_all_1_worker": sync(1),
         "sync_all_4_workers": sync(4),
-        "row_counts": lambda: consume(count_tables(spark, open_tables(source(), TABLES))),
+        "row_counts": lambda: consume(count_tables(spark, open_counts(source(), TABLES))),
         "reconcile": lambda: consume(reconcile(source(), whole)[0]),
         "catalog_profile": lambda: consume(catalog_profile(spark, [whole.schema])),
         "row_hash_orders": row_hash("orders"),
@@ -92,7 +92,7 @@ def main() -> None:
             times.append(time.perf_counter() - start)
         first[name] = round(times[0], 3)
         timed[name] = round(statistics.median(times[1:]), 3)
-    rows = sum(r.row_count for r in count_tables(spark, open_tables(source(), TABLES)).collect())
+    rows = sum(r.row_count for r in count_tables(spark, open_counts(source(), TABLES)).collect())
     target.drop_schema()
     whole.drop_schema()
     delete_folder(spark, root)

@@ -36,6 +36,9 @@ def parser() -> argparse.ArgumentParser:
     _source_arguments(compare)
     _target_arguments(compare)
     compare.add_argument("--exclude", action="append", default=[], metavar="TABLE")
+    compare.add_argument("--target-jdbc-url", help="count in another database instead")
+    compare.add_argument("--target-jdbc-schema", default="public")
+    compare.add_argument("--target-jdbc-option", action="append", default=[], metavar="KEY=VALUE")
 
     profile = commands.add_parser("profile", help="tables and row counts per target schema")
     profile.add_argument("--schema", action="append", help="default: all schemas")
@@ -69,7 +72,7 @@ def source_of(spark: SparkSession, args: argparse.Namespace) -> Source:
         return ParquetSource(spark, args.source_path, types=types)
     if args.source_schema:
         return CatalogSource(spark, args.source_schema, types=types)
-    properties = dict(item.split("=", 1) for item in args.jdbc_option)
+    properties = _properties(args.jdbc_option)
     for key, variable in (("user", "DB_USER"), ("password", "DB_PASSWORD")):
         if variable in os.environ:
             properties.setdefault(key, os.environ[variable])
@@ -78,6 +81,10 @@ def source_of(spark: SparkSession, args: argparse.Namespace) -> Source:
     )
 
 
+def _properties(items: list[str]) -> dict[str, str]:
+    return dict(item.split("=", 1) for item in items)
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.command == "profile":
         _print_lines(profile_lines(catalog_profile(spark, args.schema)))
@@ -85,6 +92,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     source = source_of(spark, args)
     target = Target(spark, args.target_schema, args.target_root)
     if args.command == "reconcile":
+        if args.target_jdbc_url:
+            properties = _properties(args.target_jdbc_option)
+            target = JdbcSource(spark, args.target_jdbc_url, args.target_jdbc_schema, properties)
         details, totals = reconcile(source, target, args.exclude)
         _print_lines(reconcile_lines(details).orderBy("table_name"))
         _print_lines(total_line(totals))

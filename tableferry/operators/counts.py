@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.frames import small_frame
-from tableferry.operators.target import Target
-from tableferry.sources.base import Source, open_tables
+from tableferry.sources.base import Source, open_counts
 
 log = logging.getLogger(__name__)
 
@@ -20,59 +19,55 @@ COUNT_SCHEMA = "table_name string, row_count bigint"
 TABLES_PER_QUERY = 200
 
 
-def count_tables(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """``(table_name, row_count)``, one row per table, counted side by side in one query.
-
-    A count needs no column, so parquet is answered from the file footers.
-    """
-    counts = [
-        frame.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count"
-        )
-        for name, frame in tables.items()
+def count_tables(spark: SparkSession, counts: Mapping[str, DataFrame]) -> DataFrame:
+    """``(table_name, row_count)`` from one-row counts, evaluated side by side in one query."""
+    named = [
+        count.select(F.lit(name).alias("table_name"), "row_count") for name, count in counts.items()
     ]
-    if not counts:
+    if not named:
         return small_frame(spark, [], COUNT_SCHEMA)
-    return reduce(DataFrame.unionAll, counts)
+    return reduce(DataFrame.unionAll, named)
 
 
-def collect_counts(spark: SparkSession, tables: Mapping[str, DataFrame]) -> dict[str, int]:
+def collect_counts(spark: SparkSession, counts: Mapping[str, DataFrame]) -> dict[str, int]:
     """:func:`count_tables` evaluated, a bounded number of tables at a time."""
-    names = list(tables)
-    counts: dict[str, int] = {}
+    names = list(counts)
+    known: dict[str, int] = {}
     for start in range(0, len(names), TABLES_PER_QUERY):
-        chunk = {name: tables[name] for name in names[start : start + TABLES_PER_QUERY]}
-        counts |= {r.table_name: r.row_count for r in count_tables(spark, chunk).collect()}
-    return counts
+        chunk = {name: counts[name] for name in names[start : start + TABLES_PER_QUERY]}
+        known |= {r.table_name: r.row_count for r in count_tables(spark, chunk).collect()}
+    return known
 
 
 def source_counts(source: Source, tables: Iterable[str]) -> DataFrame:
     """Counts of source tables; a table that cannot be read is an error."""
-    counts = collect_counts(source.spark, open_tables(source, list(tables)))
+    counts = collect_counts(source.spark, open_counts(source, list(tables)))
     return small_frame(source.spark, list(counts.items()), COUNT_SCHEMA)
 
 
-def target_counts(target: Target, tables: Iterable[str]) -> DataFrame:
+def target_counts(target: Source, tables: Iterable[str]) -> DataFrame:
     """Counts of target tables; one that is missing or cannot be read has no count.
 
-    Target names do not tell case apart, so each is counted once, in lower case.
+    The names asked for are matched in any case, and each target table is counted once.
     """
-    frames = {}
-    for table in sorted({table.lower() for table in tables}):
-        frame = _lenient(table, lambda: target.read(table) if target.exists(table) else None)
-        if frame is not None:
-            frames[table] = frame
+    wanted = {table.upper() for table in tables}
+    counts = {}
+    for row in target.listing().collect():
+        if row.table_name.upper() in wanted:
+            count = _lenient(row.table_name, lambda: target.count(row.table_name))
+            if count is not None:
+                counts[row.table_name] = count
     try:
-        counts = collect_counts(target.spark, frames)
+        known = collect_counts(target.spark, counts)
     except Exception as error:
         # One unreadable table must not hide the others: count them one by one.
         log.warning("counting together failed, going on table by table: %s", error)
-        counts = {}
-        for table, frame in frames.items():
-            count = _lenient(table, frame.count)
-            if count is not None:
-                counts[table] = count
-    return small_frame(target.spark, list(counts.items()), COUNT_SCHEMA)
+        known = {}
+        for table, count in counts.items():
+            value = _lenient(table, lambda: count.first().row_count)
+            if value is not None:
+                known[table] = value
+    return small_frame(target.spark, list(known.items()), COUNT_SCHEMA)
 
 
 def _lenient(table: str, action: Callable):

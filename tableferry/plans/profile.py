@@ -13,6 +13,7 @@ from tableferry.frames import small_frame
 from tableferry.operators.counts import collect_counts
 from tableferry.operators.target import Target
 from tableferry.operators.validate import stored_row_count
+from tableferry.sources.base import count_rows
 
 log = logging.getLogger(__name__)
 
@@ -74,7 +75,7 @@ def row_counts(spark: SparkSession, tables: Sequence[tuple[str, str]]) -> DataFr
         except Exception as error:
             log.warning("cannot describe %s.%s: %s", schema, table, error)
             known[schema, table] = None
-    counted = collect_counts(spark, {name: spark.table(name) for name in unknown})
+    counted = collect_counts(spark, {name: count_rows(spark.table(name)) for name in unknown})
     known |= {unknown[name]: count for name, count in counted.items()}
     return small_frame(spark, [(*key, count) for key, count in known.items()], COUNTS_SCHEMA)
 

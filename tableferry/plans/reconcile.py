@@ -12,7 +12,7 @@ from tableferry.frames import small_frame
 from tableferry.functions.formats import count_line, diff_line, reconcile_line, totals_line
 from tableferry.operators.counts import COUNT_SCHEMA, source_counts, target_counts
 from tableferry.operators.target import Target
-from tableferry.sources.base import Source, table_names
+from tableferry.sources import CatalogSource, Source, table_names
 
 log = logging.getLogger(__name__)
 
@@ -53,19 +53,21 @@ def mismatches(details: DataFrame) -> DataFrame:
 
 
 def reconcile(
-    source: Source, target: Target, exclude: Iterable[str] = ()
+    source: Source, target: Target | Source, exclude: Iterable[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """``(details, totals)`` for the base tables of a source.
 
+    The target is a target schema, or anything that can be a source, such as another database.
     Each table of either side is counted once. If the target cannot be reached at all, its counts
     are all missing and the source side is still reported.
     """
     spark = source.spark
     tables = table_names(source, exclude, base_tables_only=True)
     counted = source_counts(source, tables)
+    stored_in = CatalogSource(spark, target.schema) if isinstance(target, Target) else target
     try:
-        spark.catalog.getDatabase(target.schema)
-        stored = target_counts(target, tables)
+        stored_in.check()
+        stored = target_counts(stored_in, tables)
     except Exception as error:
         log.warning("target not reachable, source side only: %s", error)
         stored = small_frame(spark, [], COUNT_SCHEMA)

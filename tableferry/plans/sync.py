@@ -118,7 +118,7 @@ def load_table(
         result["expected_count"], result["actual_count"] = check.expected, check.actual
         valid = check.ok and json_types_ok(target, staging, columns)
         if valid and options.recount_source:
-            result["expected_count"] = source.read(table).count()
+            result["expected_count"] = source.count(table).first().row_count
             valid = result["expected_count"] == check.actual
 
         if valid:

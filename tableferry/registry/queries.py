@@ -25,8 +25,9 @@ from tableferry.sources import (
     FrameSource,
     ParquetSource,
     Source,
+    count_rows,
     discover_tables,
-    open_tables,
+    open_counts,
     table_names,
 )
 
@@ -114,13 +115,13 @@ def full_run(spark: SparkSession, sf_dir: str) -> tuple[SyncRun, Target]:
 def discover(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = folder(spark, sf_dir)
     found = discover_tables(source, EXCLUDED)
-    counts = count_tables(spark, open_tables(source, [row.table_name for row in found.collect()]))
+    counts = count_tables(spark, open_counts(source, [row.table_name for row in found.collect()]))
     return found.join(counts, "table_name")
 
 
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = folder(spark, sf_dir)
-    return count_tables(spark, open_tables(source, table_names(source, base_tables_only=True)))
+    return count_tables(spark, open_counts(source, table_names(source, base_tables_only=True)))
 
 
 def columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,7 +264,7 @@ def sync_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def validate_counts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored counts of a finished run against the counts the run expected."""
     run, target = full_run(spark, sf_dir)
-    stored = count_tables(spark, {r["table"]: target.read(r["table"]) for r in run.results})
+    stored = count_tables(spark, {r["table"]: count_rows(target.read(r["table"])) for r in run.results})
     expected = run.results_frame.select(F.col("table").alias("table_name"), "expected_count")
     return expected.join(stored, "table_name", "left").select(
         "table_name",

@@ -1,8 +1,9 @@
 from tableferry.sources.base import (
     Source,
+    count_rows,
     discover_tables,
     introspect_columns,
-    open_tables,
+    open_counts,
     table_names,
 )
 from tableferry.sources.files import CatalogSource, FrameSource, ParquetSource
@@ -15,8 +16,9 @@ __all__ = [
     "ParquetSource",
     "Source",
     "Split",
+    "count_rows",
     "discover_tables",
     "introspect_columns",
-    "open_tables",
+    "open_counts",
     "table_names",
 ]

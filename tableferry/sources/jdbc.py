@@ -86,7 +86,10 @@ class JdbcSource(Source):
         return {**base, **self.properties, **more}
 
     def _query(self, sql: str) -> DataFrame:
-        return self.spark.read.format("jdbc").options(**self.options(query=sql)).load()
+        return self._load(self.options(query=sql))
+
+    def _load(self, options: Mapping[str, str]) -> DataFrame:
+        return self.spark.read.format("jdbc").options(**options).load()
 
     def check(self) -> None:
         self._query("SELECT 1 AS ok").collect()
@@ -128,13 +131,17 @@ class JdbcSource(Source):
         if split.predicates:
             return self._read_predicates(name, split.predicates)
         if split.column:
-            options = self._range_options(name, split)
-            return self.spark.read.format("jdbc").options(**options).load()
+            return self._load(self._range_options(name, split))
         if self.url.startswith("jdbc:postgresql:"):
             predicates = self._page_ranges(name, split.parts)
             if predicates:
                 return self._read_predicates(name, predicates)
-        return self.spark.read.format("jdbc").options(**self.options(dbtable=name)).load()
+        return self._load(self.options(dbtable=name))
+
+    def count(self, table: str) -> DataFrame:
+        # Counted by the database: counting a read would send every row over the connection.
+        counted = self._query(f"SELECT COUNT(*) AS row_count FROM {self.qualified(table)}")
+        return counted.select(F.col(counted.columns[0]).cast("bigint").alias("row_count"))
 
     def _read_predicates(self, name: str, predicates: Sequence[str]) -> DataFrame:
         properties = self.options()

@@ -7,6 +7,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from tableferry import Target, build_session  # noqa: E402
+from tableferry.registry.workspace import drop_workspace  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -19,10 +20,10 @@ def spark(tmp_path_factory):
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="8",
         spark__sql__warehouse__dir=str(base / "warehouse"),
-        spark__checkpoint__dir=str(base / "shared"),
     )
     session.sparkContext.setLogLevel("OFF")
     yield session
+    drop_workspace()
     session.stop()
 
 

@@ -1,11 +1,13 @@
 """The database itself is not available here: what is sent to it is checked instead."""
 
 import re
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tableferry import JdbcSource, Split
+from tableferry.operators.counts import source_counts
 from tableferry.sources import introspect_columns, table_names
 from tableferry.sources.jdbc import page_predicates, quote_name
 
@@ -66,6 +68,9 @@ class Catalog(JdbcSource):
         if "pg_class" in sql:
             rows = [self.pages] if self.pages else []
             return self.spark.createDataFrame(rows, "kind string, bytes bigint, page_bytes bigint")
+        if "COUNT(*)" in sql:
+            self.counted = sql
+            return self.spark.createDataFrame([(Decimal(7),)], "ROW_COUNT decimal(20,0)")
         return self.spark.createDataFrame([self.bounds], "low int, high int")
 
 
@@ -107,3 +112,34 @@ def test_key_ranges(spark):
 def test_listing_filter_is_a_plain_column_predicate(spark):
     plan = Catalog(spark, URL).listing()._jdf.queryExecution().optimizedPlan().toString()
     assert "table_schema" in plan and "public" in plan
+
+
+def test_the_database_counts(spark):
+    source = Catalog(spark, URL)
+    assert [tuple(r) for r in source_counts(source, ["b"]).collect()] == [("b", 7)]
+    assert source.counted == 'SELECT COUNT(*) AS row_count FROM "public"."b"'
+
+
+class Recorded(Catalog):
+    """Keeps what would be read instead of reading it."""
+
+    def _read_predicates(self, name, predicates):
+        return name, list(predicates)
+
+    def _load(self, options):
+        return options
+
+
+def test_way_of_reading(spark):
+    name = '"public"."b"'
+    assert Recorded(spark, URL, splits={"b": Split(predicates=["x < 1", "x >= 1"])}).read("b") == (
+        name,
+        ["x < 1", "x >= 1"],
+    )
+    assert Recorded(spark, URL, splits={"b": Split(column="id")}).read("b")["partitionColumn"] == '"id"'
+    by_pages = Recorded(spark, URL).read("b")
+    assert by_pages[0] == name and len(by_pages[1]) == 32
+    view = Recorded(spark, URL)
+    view.pages = ("v", 0, 8192)
+    assert view.read("b") == view.options(dbtable=name)
+    assert Recorded(spark, "jdbc:other:x").read("b")["dbtable"] == name

@@ -36,7 +36,7 @@ def test_row_hash_is_map_only(source):
 
 
 def test_counts_read_no_column(spark, source):
-    text = plan(count_tables(spark, {t: source.read(t) for t in ("orders", "lineitem")}))
+    text = plan(count_tables(spark, {t: source.count(t) for t in ("orders", "lineitem")}))
     assert text.count("ReadSchema: struct<>") == 2
     assert text.count("partial_count") == 2
 

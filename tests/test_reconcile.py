@@ -2,7 +2,7 @@ from datetime import datetime, timezone
 
 import pytest
 
-from tableferry import FrameSource, SyncOptions, Target, reconcile, sync_all
+from tableferry import CatalogSource, FrameSource, SyncOptions, Target, reconcile, sync_all
 from tableferry.frames import small_frame
 from tableferry.operators.counts import COUNT_SCHEMA, count_tables, target_counts
 from tableferry.plans.reconcile import (
@@ -14,6 +14,7 @@ from tableferry.plans.reconcile import (
     source_lines,
     total_line,
 )
+from tableferry.sources import count_rows
 
 SOURCE = [("t_equal", 10), ("t_short", 10), ("t_long", 10), ("t_missing", 10)]
 TARGET = [("T_EQUAL", 10), ("t_short", 7), ("T_LONG", 12), ("t_only_here", 99)]
@@ -70,6 +71,14 @@ def test_end_to_end(spark, target):
     assert totals.first().mismatches == 0
 
 
+def test_target_may_be_any_source(spark):
+    left = FrameSource(spark, {"a": spark.range(3), "b": spark.range(1)})
+    right = FrameSource(spark, {"A": spark.range(2), "z": spark.range(9)})
+    details, totals = reconcile(left, right)
+    assert sorted((r.table_name, r.target_count, r.diff) for r in details.collect()) == [("a", 2, -1), ("b", None, 0)]
+    assert totals.first().target_total == 2
+
+
 def test_unreachable_target_leaves_the_source_side(spark):
     details, totals = reconcile(FrameSource(spark, {"a": spark.range(3)}), Target(spark, "no_such_schema"))
     assert (details.first().source_count, details.first().target_count) == (3, None)
@@ -85,7 +94,7 @@ def test_source_that_cannot_be_counted_is_an_error(spark, target):
 def test_target_that_cannot_be_counted_has_no_count(spark, target):
     spark.range(4).write.saveAsTable(target.name("good"))
     spark.sql(f"CREATE VIEW {target.name('bad')} AS SELECT id FROM range(3) WHERE raise_error('gone') IS NULL")
-    counts = target_counts(target, ["good", "bad", "absent"])
+    counts = target_counts(CatalogSource(spark, target.schema), ["GOOD", "bad", "absent"])
     assert [tuple(r) for r in counts.collect()] == [("good", 4)]
 
 
@@ -97,6 +106,6 @@ def test_source_names_that_differ_by_case_share_a_target(spark, target):
 
 
 def test_counts_of_many_tables(spark):
-    frames = {f"t{i}": spark.range(i) for i in range(5)}
+    frames = {f"t{i}": count_rows(spark.range(i)) for i in range(5)}
     assert {r.table_name: r.row_count for r in count_tables(spark, frames).collect()} == {f"t{i}": i for i in range(5)}
     assert count_tables(spark, {}).count() == 0
