@@ -14,8 +14,18 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from tableferry import ParquetSource, SyncOptions, Target, build_session, reconcile, shared_root, sync_all, sync_table
-from tableferry import catalog_profile, with_row_hash
+from tableferry import (
+    ParquetSource,
+    SyncOptions,
+    Target,
+    build_session,
+    catalog_profile,
+    reconcile,
+    shared_root,
+    sync_all,
+    sync_table,
+    with_row_hash,
+)
 from tableferry.operators.counts import count_tables
 from tableferry.operators.messages import purge_counts
 from tableferry.registry.queries import PHRASES, TABLES

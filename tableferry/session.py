@@ -14,6 +14,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A full copy is one map-only pass; larger splits mean fewer tasks and fewer, larger files.
     "spark.sql.files.maxPartitionBytes": "512m",
+    # The stamp as a plain 64-bit column, with statistics to filter on.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Tables loaded side by side share the executors instead of queueing behind the first one.
     "spark.scheduler.mode": "FAIR",
 }
