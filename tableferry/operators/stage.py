@@ -6,6 +6,7 @@ import logging
 import re
 import time
 from collections.abc import Callable
+from threading import Thread
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
@@ -25,6 +26,9 @@ WRITE_OPTIONS = {
     "maxRecordsPerFile": "10000000",
 }
 
+# How long to wait for the count of a finished write.
+OBSERVE_SECONDS = 120.0
+
 # SQLSTATE classes 22 (data exception) and 42 (syntax or access rule): trying again cannot help.
 _LASTING = re.compile(r"SQLSTATE: (22|42)")
 
@@ -53,9 +57,22 @@ def retry_with_backoff(
             sleep(delay)
 
 
+def observed_rows(written: Observation, seconds: float | None = None) -> int | None:
+    """Rows an observation counted, or ``None`` if they are not known in time.
+
+    The count travels over Spark's event queue, which drops events when a huge job overruns it;
+    waiting for a dropped one would never end.
+    """
+    found: list[int] = []
+    waiter = Thread(target=lambda: found.append(written.get["rows"]), daemon=True)
+    waiter.start()
+    waiter.join(OBSERVE_SECONDS if seconds is None else seconds)
+    return found[0] if found else None
+
+
 def write_staging(
     rows: DataFrame, target: Target, table: str, write_options: dict[str, str] | None = None
-) -> int:
+) -> int | None:
     """Write rows to a fresh staging table in one map-only job; returns the rows written.
 
     Each call starts from an empty folder, so a second attempt cannot duplicate rows.
@@ -76,7 +93,7 @@ def write_staging(
     except Exception:
         delete_folder(target.spark, folder)
         raise
-    return written.get["rows"]
+    return observed_rows(written)
 
 
 def load_staging(
@@ -85,7 +102,7 @@ def load_staging(
     table: str,
     attempts: int = 3,
     write_options: dict[str, str] | None = None,
-) -> int:
+) -> int | None:
     """:func:`write_staging`, tried again when the environment failed.
 
     Spark already retries single tasks; this covers the failure of the whole write.

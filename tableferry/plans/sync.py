@@ -62,6 +62,7 @@ class SyncOptions:
     compare the stored count with a fresh count of the source. ``write_attempts``: tries of a
     staging write that fails for reasons outside the data. ``drop_orphans``: let a run first delete
     folders left by a driver that was lost while writing (not while another run uses the schema).
+    ``audit_batch``: tables recorded by one append to the audit.
     """
 
     exclude: Sequence[str] = ()
@@ -71,6 +72,7 @@ class SyncOptions:
     recount_source: bool = False
     write_attempts: int = 3
     drop_orphans: bool = False
+    audit_batch: int = 100
     write_options: dict[str, str] = field(default_factory=dict)
     projection: ProjectionOptions = ProjectionOptions()
     clock: Callable[[], datetime] = utc_now
@@ -109,9 +111,11 @@ def load_table(
         target.restore_if_missing(table)
         columns = source.columns(table)
         rows = project(source.read(table), columns, moment, options.projection)
-        result["rows_loaded"] = load_staging(
-            rows, target, table, options.write_attempts, options.write_options
-        )
+        written = load_staging(rows, target, table, options.write_attempts, options.write_options)
+        if written is None:
+            log.warning("%s: rows written not reported, counting the source", table)
+            written = source.count(table).first().row_count
+        result["rows_loaded"] = written
 
         staging = f"{table}{STAGING}"
         check = validate_count(result["rows_loaded"], target, staging)
@@ -164,11 +168,12 @@ def sync_table(
     options: SyncOptions = SyncOptions(),
 ) -> dict:
     """Load one table and record it in the audit."""
-    started = options.clock()
+    start = options.clock()
     source.refresh()
     result = attempt_table(source, target, table, options)
-    _prepare_audit(target)
-    _record(source, target, [result], {}, started, options)
+    audit = _Audit(source, target, options)
+    audit.add(result, start, options.clock())
+    audit.flush()
     return result
 
 
@@ -225,68 +230,80 @@ def sync_all(source: Source, target: Target, options: SyncOptions = SyncOptions(
     spark = target.spark
     started = options.clock()
     results: list[dict] = []
-    starts: dict[str, datetime] = {}
     tables: list[str] = []
     critical_error = None
+    audit = None
     try:
         source.refresh()
         source.check()
         target.ensure()
-        _prepare_audit(target)
+        audit = _Audit(source, target, options)
         if options.drop_orphans:
             target.drop_orphans()
         tables = table_names(source, options.exclude)
         refused = refused_names(tables)
-        results += [new_result(table, ERROR, reason) for table, reason in refused.items()]
-        loadable = [table for table in tables if table not in refused]
 
-        def work(table: str) -> dict:
-            starts[table] = options.clock()
+        def finish(result: dict, start: datetime, end: datetime) -> None:
+            results.append(result)
+            audit.add(result, start, end)
+
+        def work(table: str) -> tuple[dict, datetime, datetime]:
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", table)
-            return attempt_table(source, target, table, options)
+            start = options.clock()
+            return attempt_table(source, target, table, options), start, options.clock()
 
+        for table, reason in refused.items():
+            finish(new_result(table, ERROR, reason), started, options.clock())
         with ThreadPoolExecutor(max_workers=max(1, options.workers)) as pool:
             # Wrapped once per table: the wrapper carries the local properties of its thread.
             futures = {
                 pool.submit(inheritable_thread_target(spark)(work), table): table
-                for table in loadable
+                for table in tables
+                if table not in refused
             }
             for future in as_completed(futures):
                 try:
-                    results.append(future.result())
+                    finish(*future.result())
                 except Exception as error:
-                    results.append(
-                        new_result(futures[future], CRASHED, error_text(error), counts=False)
-                    )
+                    crash = new_result(futures[future], CRASHED, error_text(error), counts=False)
+                    finish(crash, started, options.clock())
     except Exception as error:
         critical_error = error_text(error)
         log.critical("run failed: %s", critical_error, exc_info=True)
+    finally:
+        if audit is not None:
+            audit.flush()
 
     results.sort(key=lambda result: result["table"])
-    ended = options.clock()
-    _record(source, target, results, starts, started, options)
-    return SyncRun(spark, started, ended, results, len(tables), critical_error)
-
-
-def _prepare_audit(target: Target) -> None:
-    try:
-        ensure_audit_table(target)
-    except Exception as error:
-        log.warning("no audit table: %s", error)
-
-
-def _record(source, target, results, starts, started, options) -> None:
-    """Write the audit; failing to do so does not fail the loads."""
-    if not results:
-        return
-    now = options.load_ts or options.clock()
-    records = [
-        audit_record(
-            result, source.schema, options.load_ts or starts.get(result["table"], started), now
-        )
-        for result in results
-    ]
-    try:
-        append_audit(target, records)
-    except Exception as error:
-        log.warning("audit not written: %s", error)
+    return SyncRun(spark, started, options.clock(), results, len(tables), critical_error)
+
+
+class _Audit:
+    """Collects audit records and appends them in batches, so that a long run leaves its audit
+    behind even if the driver is lost. Failing to write it does not fail the loads."""
+
+    def __init__(self, source: Source, target: Target, options: SyncOptions):
+        self.source = source
+        self.target = target
+        self.options = options
+        self.records: list[dict] = []
+        try:
+            ensure_audit_table(target)
+        except Exception as error:
+            log.warning("no audit table: %s", error)
+
+    def add(self, result: dict, start: datetime, end: datetime) -> None:
+        fixed = self.options.load_ts  # a given stamp makes the whole record reproducible
+        record = audit_record(result, self.source.schema, fixed or start, fixed or end)
+        self.records.append(record)
+        if len(self.records) >= self.options.audit_batch:
+            self.flush()
+
+    def flush(self) -> None:
+        records, self.records = self.records, []
+        if not records:
+            return
+        try:
+            append_audit(self.target, records)
+        except Exception as error:
+            log.warning("audit not written: %s", error)

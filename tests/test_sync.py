@@ -1,4 +1,5 @@
 import os
+import threading
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -172,6 +173,15 @@ def test_all_backups_even_within_one_second(spark, target):
     assert len(target.backups("people")) == 2 and stored(target, "people") == [(2, "x")]
 
 
+def test_lost_count_of_the_write_is_replaced_by_the_source(spark, target, monkeypatch):
+    blocked = threading.Event()
+    monkeypatch.setattr(stage, "OBSERVE_SECONDS", 0.2)
+    monkeypatch.setattr(stage.Observation, "get", property(lambda self: {"rows": blocked.wait(30)}))
+    result = load(people(spark, [(1, "a"), (2, "b")]), target)
+    blocked.set()
+    assert (result["status"], result["rows_loaded"]) == ("SUCCESS", 2)
+
+
 def test_folders_of_a_lost_driver_can_be_dropped(spark, target):
     load(people(spark, [(1, "a")]), target)
     load(people(spark, [(2, "b")]), target, ts=T2, keep_backups=1)
@@ -263,6 +273,23 @@ def test_audit_has_one_row_per_attempted_table(spark, target):
     assert duplicate_audit_keys(target.read(AUDIT_TABLE)).count() == 4
 
 
+def test_audit_times_are_those_of_each_table(spark, target):
+    ticks = iter(T1 + timedelta(minutes=i) for i in range(1000))
+    options = SyncOptions(clock=lambda: next(ticks), exclude=["b", "excluded_log"])
+    run = sync_all(run_source(spark), target, options)
+    a, c = target.read(AUDIT_TABLE).orderBy("TABLE_NAME").collect()
+    seconds = [t.timestamp() for t in (run.started, a.LOAD_START, a.LOAD_END, c.LOAD_START, c.LOAD_END, run.ended)]
+    assert seconds == sorted(seconds) and len(set(seconds)) == 6
+
+
+def test_audit_is_written_while_the_run_goes_on(spark, target, monkeypatch):
+    sizes, real = [], sync_module.append_audit
+    monkeypatch.setattr(sync_module, "append_audit", lambda t, rows: sizes.append(len(rows)) or real(t, rows))
+    source = FrameSource(spark, {f"t{i}": spark.range(i) for i in range(5)})
+    sync_all(source, target, SyncOptions(workers=2, audit_batch=2))
+    assert sizes == [2, 2, 1] and target.read(AUDIT_TABLE).count() == 5
+
+
 def test_audit_failure_does_not_fail_the_run(spark, target, monkeypatch):
     def broken(*args):
         raise RuntimeError("audit is down")
