@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 import threading
+from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +26,9 @@ class Split:
     """How one table is read in parallel.
 
     ``predicates``: disjoint conditions that together cover the table; used as they are.
-    ``column``: numeric, date or timestamp key cut into ``parts`` equal ranges by Spark.
+    ``column``: a key, best a unique and indexed one; the table is cut into about ``parts`` ranges
+    of it with equally many rows, however unevenly the values are spread. Rows of one key value
+    stay together, so a key that repeats a lot calls for ``predicates``.
     With neither, a Postgres base table is cut into equal runs of pages, any other table is
     read in one task.
     """
@@ -51,6 +55,36 @@ def page_predicates(pages: int, parts: int) -> list[str]:
     return predicates + [f"ctid >= '({bounds[-1]},0)'::tid"]
 
 
+def sql_literal(value) -> str:
+    """A key value as standard SQL."""
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value}'"
+    if isinstance(value, date):
+        return f"DATE '{value}'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return str(value)
+
+
+def range_predicates(key: str, starts: Sequence) -> list[str]:
+    """Disjoint ranges of a key that together cover a table, from the first key of each of its
+    tiles. A key that starts several tiles gets a range of its own. Rows without a key, and keys
+    below the first that turn up while the table is read, share the last range."""
+    counts = Counter(starts)
+    bounds = sorted(counts)
+    predicates = []
+    for i, low in enumerate(bounds):
+        literal = sql_literal(low)
+        below = f" AND {key} < {sql_literal(bounds[i + 1])}" if i + 1 < len(bounds) else ""
+        if counts[low] > 1:
+            predicates += [f"{key} = {literal}", f"{key} > {literal}{below}"]
+        else:
+            predicates.append(f"{key} >= {literal}{below}")
+    if predicates:
+        predicates.append(f"{key} < {sql_literal(bounds[0])} OR {key} IS NULL")
+    return predicates
+
+
 class JdbcSource(Source):
     """All tables and views of a database schema that has an ``information_schema``.
 
@@ -128,14 +162,13 @@ class JdbcSource(Source):
     def read(self, table: str) -> DataFrame:
         split = self.splits.get(table, Split())
         name = self.qualified(table)
-        if split.predicates:
-            return self._read_predicates(name, split.predicates)
-        if split.column:
-            return self._load(self._range_options(name, split))
-        if self.url.startswith("jdbc:postgresql:"):
+        predicates = split.predicates
+        if not predicates and split.column:
+            predicates = self._key_ranges(name, split)
+        elif not predicates and self.url.startswith("jdbc:postgresql:"):
             predicates = self._page_ranges(name, split.parts)
-            if predicates:
-                return self._read_predicates(name, predicates)
+        if predicates:
+            return self._read_predicates(name, predicates)
         return self._load(self.options(dbtable=name))
 
     def count(self, table: str) -> DataFrame:
@@ -148,19 +181,15 @@ class JdbcSource(Source):
         url = properties.pop("url")
         return self.spark.read.jdbc(url, name, predicates=list(predicates), properties=properties)
 
-    def _range_options(self, name: str, split: Split) -> dict[str, str]:
+    def _key_ranges(self, name: str, split: Split) -> list[str]:
+        # The database cuts the sorted keys into tiles of equal size; one row per tile comes back.
         key = quote_name(split.column)
-        low, high = self._query(f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {name}").first()
-        options = self.options(dbtable=name)
-        if low is None:  # no rows, or no key value at all
-            return options
-        return {
-            **options,
-            "partitionColumn": key,
-            "lowerBound": str(low),
-            "upperBound": str(high),
-            "numPartitions": str(split.parts or self.max_connections),
-        }
+        parts = split.parts or self.max_connections
+        starts = self._query(
+            f"SELECT MIN(k) AS start FROM (SELECT {key} AS k, NTILE({parts}) OVER (ORDER BY {key})"
+            f" AS tile FROM {name} WHERE {key} IS NOT NULL) t GROUP BY tile"
+        )
+        return range_predicates(key, [row[0] for row in starts.collect()])
 
     def _page_ranges(self, name: str, parts: int | None) -> list[str]:
         literal = "'" + name.replace("'", "''") + "'"

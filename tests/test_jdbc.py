@@ -2,6 +2,8 @@
 
 import re
 from decimal import Decimal
+from functools import reduce
+from operator import add
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from tableferry import JdbcSource, Split
 from tableferry.operators.counts import source_counts
 from tableferry.sources import introspect_columns, table_names
-from tableferry.sources.jdbc import page_predicates, quote_name
+from tableferry.sources.jdbc import page_predicates, quote_name, range_predicates, sql_literal
 
 URL = "jdbc:postgresql://db.example.org/shop"
 
@@ -54,7 +56,6 @@ class Catalog(JdbcSource):
     """Answers catalog queries from rows instead of a connection."""
 
     pages = ("r", 10 << 30, 8192)
-    bounds = (1, 900)
 
     def _query(self, sql):
         if "information_schema.tables" in sql:
@@ -71,7 +72,7 @@ class Catalog(JdbcSource):
         if "COUNT(*)" in sql:
             self.counted = sql
             return self.spark.createDataFrame([(Decimal(7),)], "ROW_COUNT decimal(20,0)")
-        return self.spark.createDataFrame([self.bounds], "low int, high int")
+        return self.spark.createDataFrame([(9,), (1,), (9,), (5,)], "start int")
 
 
 def test_discovery(spark):
@@ -99,14 +100,49 @@ def test_page_ranges_follow_the_size(spark):
     assert source._page_ranges(source.qualified("b"), None) == []
 
 
-def test_key_ranges(spark):
-    source = Catalog(spark, "jdbc:other:x")
-    options = source._range_options(source.qualified("b"), Split(parts=8, column="id"))
-    assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == (
-        '"id"', "1", "900", "8",
-    )
-    source.bounds = (None, None)
-    assert "partitionColumn" not in source._range_options(source.qualified("b"), Split(column="id"))
+@pytest.fixture
+def skewed(spark, target):
+    """A table of which a third has one key and the rest bunches up, behind standard SQL."""
+    settings = {"spark.sql.ansi.enabled": "true", "spark.sql.ansi.doubleQuotedIdentifiers": "true"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    rows = spark.range(9000).selectExpr(
+        "id",
+        "CASE WHEN id < 3000 THEN 77 WHEN id < 8900 THEN 1000000 + id WHEN id < 8990 THEN id * id END AS key",
+        "DATE'2024-01-01' + CAST(id % 50 AS INT) AS day",
+        "TIMESTAMP_NTZ'2024-01-01' + make_interval(0, 0, 0, 0, CAST(id AS INT)) AS moment",
+        "concat('o', chr(39), id % 1000) AS word",
+    )
+    rows.write.saveAsTable(target.name("b"))
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+
+    class Standard(JdbcSource):
+        def _query(self, sql):
+            return self.spark.sql(sql)
+
+    yield Standard(spark, "jdbc:other:x", schema=target.schema), target.read("b")
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("column", ["id", "key", "day", "moment", "word"])
+def test_key_ranges_cover_the_table_evenly(skewed, column):
+    source, rows = skewed
+    predicates = source._key_ranges(source.qualified("b"), Split(parts=9, column=column))
+    sizes = [rows.filter(p).count() for p in predicates]
+    hits = reduce(add, (F.coalesce(F.expr(f"({p})"), F.lit(False)).cast("int") for p in predicates))
+    assert rows.filter(hits != 1).count() == 0
+    assert sum(sizes) == 9000 and predicates[-1].endswith(f' OR "{column}" IS NULL')
+    # 1000 rows each; only the hot key, alone in its range, is larger.
+    others = [size for size in sizes if not (column == "key" and size == 3000)]
+    assert max(others) <= 1200, sizes
+
+
+def test_few_keys_make_few_ranges():
+    assert range_predicates("k", []) == []
+    assert range_predicates("k", [5]) == ["k >= 5", "k < 5 OR k IS NULL"]
+    assert range_predicates("k", [7, 5, 5]) == ["k = 5", "k > 5 AND k < 7", "k >= 7", "k < 5 OR k IS NULL"]
+    assert sql_literal("it's") == "'it''s'" and sql_literal(Decimal("1.50")) == "1.50"
 
 
 def test_listing_filter_is_a_plain_column_predicate(spark):
@@ -136,7 +172,16 @@ def test_way_of_reading(spark):
         name,
         ["x < 1", "x >= 1"],
     )
-    assert Recorded(spark, URL, splits={"b": Split(column="id")}).read("b")["partitionColumn"] == '"id"'
+    assert Recorded(spark, URL, splits={"b": Split(column="id")}).read("b") == (
+        name,
+        [
+            '"id" >= 1 AND "id" < 5',
+            '"id" >= 5 AND "id" < 9',
+            '"id" = 9',
+            '"id" > 9',
+            '"id" < 1 OR "id" IS NULL',
+        ],
+    )
     by_pages = Recorded(spark, URL).read("b")
     assert by_pages[0] == name and len(by_pages[1]) == 32
     view = Recorded(spark, URL)
