@@ -15,7 +15,7 @@ from tableferry.plans.status import SUCCESS
 from tableferry.plans.sync import SyncOptions, sync_all
 from tableferry.operators.target import Target
 from tableferry.session import build_session
-from tableferry.sources import CatalogSource, JdbcSource, ParquetSource, Source
+from tableferry.sources import CatalogSource, JdbcSource, ParquetSource, Source, Split
 
 
 def parser() -> argparse.ArgumentParser:
@@ -53,6 +53,9 @@ def _source_arguments(command: argparse.ArgumentParser) -> None:
     command.add_argument("--jdbc-schema", default="public")
     command.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
     command.add_argument("--batch-size", type=int, default=2000, help="rows fetched at once")
+    command.add_argument(
+        "--split-column", action="append", default=[], metavar="TABLE.COLUMN", help="read by this key"
+    )
     command.add_argument(
         "--json-column", action="append", default=[], metavar="TABLE.COLUMN", help="JSON held as text"
     )
@@ -76,8 +79,14 @@ def source_of(spark: SparkSession, args: argparse.Namespace) -> Source:
     for key, variable in (("user", "DB_USER"), ("password", "DB_PASSWORD")):
         if variable in os.environ:
             properties.setdefault(key, os.environ[variable])
+    keys = (item.partition(".") for item in args.split_column)
     return JdbcSource(
-        spark, args.jdbc_url, args.jdbc_schema, properties, fetch_size=args.batch_size
+        spark,
+        args.jdbc_url,
+        args.jdbc_schema,
+        properties,
+        splits={table: Split(column=column) for table, _, column in keys},
+        fetch_size=args.batch_size,
     )
 
 

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import logging
 import math
 import threading
 from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tableferry.functions.projection import quote_identifier
 from tableferry.functions.types import SourceColumn
 from tableferry.sources.base import Source, introspect_columns
 
+log = logging.getLogger(__name__)
+
 
 def quote_name(name: str) -> str:
     """Double-quoted identifier for the source database, embedded quotes doubled."""
@@ -29,8 +34,8 @@ class Split:
     ``column``: a key, best a unique and indexed one; the table is cut into about ``parts`` ranges
     of it with equally many rows, however unevenly the values are spread. Rows of one key value
     stay together, so a key that repeats a lot calls for ``predicates``.
-    With neither, a Postgres base table is cut into equal runs of pages, any other table is
-    read in one task.
+    With neither, a Postgres table or its partitions are cut into equal runs of pages; a view, or
+    a table elsewhere, is read by one task.
     """
 
     parts: int | None = None
@@ -162,24 +167,34 @@ class JdbcSource(Source):
     def read(self, table: str) -> DataFrame:
         split = self.splits.get(table, Split())
         name = self.qualified(table)
-        predicates = split.predicates
-        if not predicates and split.column:
-            predicates = self._key_ranges(name, split)
-        elif not predicates and self.url.startswith("jdbc:postgresql:"):
-            predicates = self._page_ranges(name, split.parts)
-        if predicates:
-            return self._read_predicates(name, predicates)
-        return self._load(self.options(dbtable=name))
+        if split.predicates:
+            pieces = [(name, list(split.predicates))]
+        elif split.column:
+            pieces = [(name, self._key_ranges(name, split))]
+        elif self.url.startswith("jdbc:postgresql:"):
+            pieces = self._page_ranges(name, split.parts)
+        else:
+            pieces = [(name, [])]
+        frames = [self._read_piece(*piece) for piece in pieces]
+        if len(frames) > 1:
+            # Partitions may hold their columns in another order than the table.
+            names = [quote_identifier(column.name) for column in self.columns(table)]
+            frames = [frame.select(*names) for frame in frames]
+        tasks = sum(max(1, len(predicates)) for _, predicates in pieces)
+        whole = reduce(DataFrame.unionAll, frames)
+        return whole.coalesce(self.max_connections) if tasks > self.max_connections else whole
 
     def count(self, table: str) -> DataFrame:
         # Counted by the database: counting a read would send every row over the connection.
         counted = self._query(f"SELECT COUNT(*) AS row_count FROM {self.qualified(table)}")
         return counted.select(F.col(counted.columns[0]).cast("bigint").alias("row_count"))
 
-    def _read_predicates(self, name: str, predicates: Sequence[str]) -> DataFrame:
+    def _read_piece(self, name: str, predicates: list[str]) -> DataFrame:
+        if not predicates:
+            return self._load(self.options(dbtable=name))
         properties = self.options()
         url = properties.pop("url")
-        return self.spark.read.jdbc(url, name, predicates=list(predicates), properties=properties)
+        return self.spark.read.jdbc(url, name, predicates=predicates, properties=properties)
 
     def _key_ranges(self, name: str, split: Split) -> list[str]:
         # The database cuts the sorted keys into tiles of equal size; one row per tile comes back.
@@ -191,14 +206,29 @@ class JdbcSource(Source):
         )
         return range_predicates(key, [row[0] for row in starts.collect()])
 
-    def _page_ranges(self, name: str, parts: int | None) -> list[str]:
-        literal = "'" + name.replace("'", "''") + "'"
-        row = self._query(
-            "SELECT c.relkind::text AS kind, pg_relation_size(c.oid) AS bytes,"
-            " current_setting('block_size')::bigint AS page_bytes"
-            f" FROM pg_class c WHERE c.oid = to_regclass({literal})"
-        ).first()
-        if row is None or row.kind not in ("r", "m"):
-            return []  # views and partitioned parents have no pages of their own
-        wanted = parts or min(self.max_connections, math.ceil(row.bytes / self.part_bytes))
-        return page_predicates(row.bytes // row.page_bytes, wanted)
+    def _page_ranges(self, name: str, parts: int | None) -> list[tuple[str, list[str]]]:
+        """Page ranges of a table, or of each leaf of a partitioned one; none for a view."""
+        table = "to_regclass('" + name.replace("'", "''") + "')"
+        try:
+            stored = self._query(
+                "SELECT n.nspname::text AS schema_name, c.relname::text AS table_name,"
+                " pg_relation_size(c.oid) AS bytes,"
+                " current_setting('block_size')::bigint AS page_bytes"
+                " FROM pg_class c JOIN pg_namespace n ON n.oid = c.relnamespace"
+                f" WHERE (c.oid = {table} AND c.relkind IN ('r', 'm')) OR c.oid IN"
+                f" (SELECT relid::oid FROM pg_partition_tree({table}) WHERE isleaf)"
+            ).collect()
+        except Exception as error:
+            log.warning("%s: no page ranges, read by one task: %s", name, error)
+            stored = []
+        total = sum(row.bytes for row in stored)
+        if not total:
+            return [(name, [])]
+        wanted = parts or min(self.max_connections, math.ceil(total / self.part_bytes))
+        return [
+            (
+                f"{quote_name(row.schema_name)}.{quote_name(row.table_name)}",
+                page_predicates(row.bytes // row.page_bytes, round(wanted * row.bytes / total)),
+            )
+            for row in stored
+        ]

@@ -42,7 +42,9 @@ def test_failed_sync_is_reported_in_the_exit_code(spark, target, folder, capsys)
 def test_jdbc_arguments(spark, monkeypatch):
     monkeypatch.setenv("DB_USER", "u")
     monkeypatch.setenv("DB_PASSWORD", "p")
-    argv = ["sync", "--jdbc-url", "jdbc:postgresql://h/d", "--jdbc-option", "sslmode=require", "--batch-size", "77"]
+    argv = ["sync", "--jdbc-url", "jdbc:postgresql://h/d", "--jdbc-option", "sslmode=require"]
+    argv += ["--batch-size", "77", "--split-column", "orders.o_id"]
     source = source_of(spark, parser().parse_args(argv))
     assert isinstance(source, JdbcSource) and source.fetch_size == 77
+    assert source.splits["orders"].column == "o_id"
     assert source.properties == {"sslmode": "require", "user": "u", "password": "p"}

@@ -55,7 +55,7 @@ def test_options(spark):
 class Catalog(JdbcSource):
     """Answers catalog queries from rows instead of a connection."""
 
-    pages = ("r", 10 << 30, 8192)
+    pages = [("public", "b", 10 << 30, 8192)]
 
     def _query(self, sql):
         if "information_schema.tables" in sql:
@@ -67,8 +67,9 @@ class Catalog(JdbcSource):
                 rows, "table_schema string, table_name string, ordinal_position int, column_name string, data_type string"
             )
         if "pg_class" in sql:
-            rows = [self.pages] if self.pages else []
-            return self.spark.createDataFrame(rows, "kind string, bytes bigint, page_bytes bigint")
+            return self.spark.createDataFrame(
+                self.pages, "schema_name string, table_name string, bytes bigint, page_bytes bigint"
+            )
         if "COUNT(*)" in sql:
             self.counted = sql
             return self.spark.createDataFrame([(Decimal(7),)], "ROW_COUNT decimal(20,0)")
@@ -88,16 +89,33 @@ def test_columns_in_ordinal_order(spark):
     assert source.columns("c") == [] and set(introspect_columns(source, [])) == {"b"}
 
 
+def ranges(source, parts=None):
+    return {name: len(predicates) for name, predicates in source._page_ranges(source.qualified("b"), parts)}
+
+
 def test_page_ranges_follow_the_size(spark):
     source = Catalog(spark, URL, max_connections=100)
-    assert len(source._page_ranges(source.qualified("b"), None)) == 40  # 10 GiB in runs of 256 MiB
-    assert len(source._page_ranges(source.qualified("b"), 7)) == 7
-    bounded = Catalog(spark, URL)
-    assert len(bounded._page_ranges(bounded.qualified("b"), None)) == 32
-    source.pages = ("v", 0, 8192)
-    assert source._page_ranges(source.qualified("b"), None) == []
-    source.pages = None
-    assert source._page_ranges(source.qualified("b"), None) == []
+    assert ranges(source) == {'"public"."b"': 40}  # 10 GiB in runs of 256 MiB
+    assert ranges(source, 7) == {'"public"."b"': 7}
+    assert ranges(Catalog(spark, URL)) == {'"public"."b"': 32}
+    source.pages = [("public", "b", 0, 8192)]
+    assert ranges(source) == {'"public"."b"': 0}
+    source.pages = []
+    assert ranges(source) == {'"public"."b"': 0}
+
+
+def test_partitions_are_cut_by_their_size(spark):
+    source = Catalog(spark, URL, max_connections=100)
+    source.pages = [("public", "b_1", 9 << 30, 8192), ("p", 'b"2', 1 << 30, 8192), ("p", "b_3", 0, 8192)]
+    assert ranges(source) == {'"public"."b_1"': 36, '"p"."b""2"': 4, '"p"."b_3"': 0}
+
+
+def test_database_without_page_ranges_is_read_by_one_task(spark):
+    class Older(Catalog):
+        def _query(self, sql):
+            raise RuntimeError("function pg_partition_tree does not exist")
+
+    assert ranges(Older(spark, URL)) == {'"public"."b"': 0}
 
 
 @pytest.fixture
@@ -157,34 +175,55 @@ def test_the_database_counts(spark):
 
 
 class Recorded(Catalog):
-    """Keeps what would be read instead of reading it."""
+    """Keeps what would be read, and reads rows with the columns in another order."""
+
+    def __init__(self, *args, **kwargs):
+        super().__init__(*args, **kwargs)
+        self.pieces = []
 
-    def _read_predicates(self, name, predicates):
-        return name, list(predicates)
+    def _read_piece(self, name, predicates):
+        self.pieces.append((name, predicates))
+        rows = self.spark.range(len(self.pieces)).selectExpr("'{}' AS j", "id")
+        return rows.repartition(max(1, len(predicates)))
 
-    def _load(self, options):
-        return options
+
+def pieces(source):
+    frame = source.read("b")
+    return source.pieces, frame
 
 
 def test_way_of_reading(spark):
     name = '"public"."b"'
-    assert Recorded(spark, URL, splits={"b": Split(predicates=["x < 1", "x >= 1"])}).read("b") == (
-        name,
-        ["x < 1", "x >= 1"],
-    )
-    assert Recorded(spark, URL, splits={"b": Split(column="id")}).read("b") == (
-        name,
-        [
-            '"id" >= 1 AND "id" < 5',
-            '"id" >= 5 AND "id" < 9',
-            '"id" = 9',
-            '"id" > 9',
-            '"id" < 1 OR "id" IS NULL',
-        ],
-    )
-    by_pages = Recorded(spark, URL).read("b")
-    assert by_pages[0] == name and len(by_pages[1]) == 32
-    view = Recorded(spark, URL)
-    view.pages = ("v", 0, 8192)
-    assert view.read("b") == view.options(dbtable=name)
-    assert Recorded(spark, "jdbc:other:x").read("b")["dbtable"] == name
+    given = ["x < 1", "x >= 1"]
+    assert pieces(Recorded(spark, URL, splits={"b": Split(predicates=given)}))[0] == [(name, given)]
+    by_key, _ = pieces(Recorded(spark, URL, splits={"b": Split(column="id")}))
+    assert by_key == [
+        (
+            name,
+            [
+                '"id" >= 1 AND "id" < 5',
+                '"id" >= 5 AND "id" < 9',
+                '"id" = 9',
+                '"id" > 9',
+                '"id" < 1 OR "id" IS NULL',
+            ],
+        )
+    ]
+    by_pages, frame = pieces(Recorded(spark, URL))
+    assert by_pages[0][0] == name and len(by_pages[0][1]) == 32
+    assert frame.rdd.getNumPartitions() == 32
+    assert pieces(Recorded(spark, "jdbc:other:x"))[0] == [(name, [])]
+
+
+def test_partitions_are_read_as_one_table(spark):
+    source = Recorded(spark, URL, max_connections=5)
+    source.pages = [("public", f"b_{i}", 1 << 30, 8192) for i in range(4)]
+    read, frame = pieces(source)
+    assert [name for name, _ in read] == [f'"public"."b_{i}"' for i in range(4)]
+    assert frame.columns == ["id", "j"] and frame.count() == 1 + 2 + 3 + 4
+
+
+def test_connections_are_bounded(spark):
+    source = Recorded(spark, URL, max_connections=3, splits={"b": Split(predicates=[f"x = {i}" for i in range(50)])})
+    _, frame = pieces(source)
+    assert frame.rdd.getNumPartitions() == 3
