@@ -15,7 +15,8 @@ def views(spark: SparkSession, schema: str) -> list[str]:
 
 def base_tables(spark: SparkSession, schema: str, prefix: str = "") -> list[str]:
     """Tables of a schema that are not views, sorted; all of them or those with a prefix."""
-    listed = spark.sql(f"SHOW TABLES IN {quote_identifier(schema)} LIKE '{prefix}*'").collect()
+    pattern = prefix.replace("\\", "").replace("'", "\\'")
+    listed = spark.sql(f"SHOW TABLES IN {quote_identifier(schema)} LIKE '{pattern}*'").collect()
     names = {row.tableName for row in listed if not row.isTemporary}
     names = {name for name in names if name.startswith(prefix)}
     return sorted(names.difference(views(spark, schema))) if names else []

@@ -15,8 +15,6 @@ from tableferry.sources.base import Source, open_counts
 log = logging.getLogger(__name__)
 
 COUNT_SCHEMA = "table_name string, row_count bigint"
-# Tables counted by one query; keeps the plan small when a schema has thousands of tables.
-TABLES_PER_QUERY = 200
 
 
 def count_tables(spark: SparkSession, counts: Mapping[str, DataFrame]) -> DataFrame:
@@ -29,20 +27,23 @@ def count_tables(spark: SparkSession, counts: Mapping[str, DataFrame]) -> DataFr
     return reduce(DataFrame.unionAll, named)
 
 
-def collect_counts(spark: SparkSession, counts: Mapping[str, DataFrame]) -> dict[str, int]:
+def collect_counts(
+    spark: SparkSession, counts: Mapping[str, DataFrame], per_query: int = Source.counts_per_query
+) -> dict[str, int]:
     """:func:`count_tables` evaluated, a bounded number of tables at a time."""
     names = list(counts)
     known: dict[str, int] = {}
-    for start in range(0, len(names), TABLES_PER_QUERY):
-        chunk = {name: counts[name] for name in names[start : start + TABLES_PER_QUERY]}
+    for start in range(0, len(names), per_query):
+        chunk = {name: counts[name] for name in names[start : start + per_query]}
         known |= {r.table_name: r.row_count for r in count_tables(spark, chunk).collect()}
     return known
 
 
 def source_counts(source: Source, tables: Iterable[str]) -> DataFrame:
     """Counts of source tables; a table that cannot be read is an error."""
-    counts = collect_counts(source.spark, open_counts(source, list(tables)))
-    return small_frame(source.spark, list(counts.items()), COUNT_SCHEMA)
+    counts = open_counts(source, list(tables))
+    known = collect_counts(source.spark, counts, source.counts_per_query)
+    return small_frame(source.spark, list(known.items()), COUNT_SCHEMA)
 
 
 def target_counts(target: Source, tables: Iterable[str]) -> DataFrame:
@@ -58,7 +59,7 @@ def target_counts(target: Source, tables: Iterable[str]) -> DataFrame:
             if count is not None:
                 counts[row.table_name] = count
     try:
-        known = collect_counts(target.spark, counts)
+        known = collect_counts(target.spark, counts, target.counts_per_query)
     except Exception as error:
         # One unreadable table must not hide the others: count them one by one.
         log.warning("counting together failed, going on table by table: %s", error)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import logging
+import re
 import uuid
 from datetime import datetime
 
@@ -58,6 +59,11 @@ class Target:
     def name(self, table: str) -> str:
         return f"{quote_identifier(self.schema)}.{quote_identifier(table.lower())}"
 
+    def check_name(self, table: str) -> None:
+        """Raise if the session catalog cannot hold a table of this name."""
+        if not re.fullmatch(r"\w+", table, re.ASCII):
+            raise ValueError(f"not a table name the catalog can hold: {table!r}")
+
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(table))
 

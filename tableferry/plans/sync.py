@@ -108,6 +108,7 @@ def load_table(
     result = new_result(table)
     try:
         moment = options.load_ts or options.clock()
+        target.check_name(table)  # the catalog itself would only refuse it after the write
         target.restore_if_missing(table)
         columns = source.columns(table)
         rows = project(source.read(table), columns, moment, options.projection)

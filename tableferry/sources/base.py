@@ -40,6 +40,9 @@ class Source(ABC):
     #: name written to the audit as the source schema
     schema: str = "public"
 
+    #: tables counted by one query; keeps its plan small in a schema of thousands
+    counts_per_query: int = 200
+
     def __init__(self, spark: SparkSession):
         self.spark = spark
 

@@ -117,6 +117,7 @@ class JdbcSource(Source):
         self.fetch_size = fetch_size
         self.part_bytes = part_bytes
         self.max_connections = max_connections
+        self.counts_per_query = max_connections  # each count holds a connection
         self._columns: dict[str, list[SourceColumn]] | None = None
         self._columns_lock = threading.Lock()
 

@@ -4,7 +4,7 @@ import pytest
 
 from tableferry import CatalogSource, FrameSource, SyncOptions, Target, reconcile, sync_all
 from tableferry.frames import small_frame
-from tableferry.operators.counts import COUNT_SCHEMA, count_tables, target_counts
+from tableferry.operators.counts import COUNT_SCHEMA, collect_counts, count_tables, target_counts
 from tableferry.plans.reconcile import (
     compare_counts,
     count_totals,
@@ -109,3 +109,4 @@ def test_counts_of_many_tables(spark):
     frames = {f"t{i}": count_rows(spark.range(i)) for i in range(5)}
     assert {r.table_name: r.row_count for r in count_tables(spark, frames).collect()} == {f"t{i}": i for i in range(5)}
     assert count_tables(spark, {}).count() == 0
+    assert collect_counts(spark, frames, per_query=2) == {f"t{i}": i for i in range(5)}

@@ -110,6 +110,15 @@ def test_malformed_json_is_an_error(spark, target):
     assert lenient["status"] == "SUCCESS" and target.read("docs").first().J is None
 
 
+def test_name_the_catalog_cannot_hold_is_an_error(spark, target):
+    for name in ("it's", "a-b", "a b"):
+        source = FrameSource(spark, {name: spark.range(1)})
+        result = load(source, target, name)
+        assert result["status"] == "ERROR" and "not a table name" in result["error"]
+        assert version_folders(target, name) == []
+    assert table_names(spark, target) == []
+
+
 def test_case_clash_and_stamp_column_are_errors(spark, target):
     clash = FrameSource(spark, {"t": spark.range(1).selectExpr("1 AS a", "2 AS A")})
     assert "differ only by case" in load(clash, target, "t")["error"]
