@@ -60,9 +60,11 @@ class Target:
         return f"{quote_identifier(self.schema)}.{quote_identifier(table.lower())}"
 
     def check_name(self, table: str) -> None:
-        """Raise if the session catalog cannot hold a table of this name."""
+        """Raise if the catalog cannot hold a table of this name, or it is kept for another use."""
         if not re.fullmatch(r"\w+", table, re.ASCII):
             raise ValueError(f"not a table name the catalog can hold: {table!r}")
+        if table.lower().endswith(STAGING) or BACKUP in table.lower():
+            raise ValueError(f"name of a staging or backup table: {table!r}")
 
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(table))

@@ -90,6 +90,15 @@ def test_all_types(spark):
     assert third["C_INT"] == 2**31 - 1 and first["C_INT"] is None
 
 
+def test_real_keeps_the_number_it_shows(spark):
+    values = [0.1, 3.4028235e38, -1e-45, float("inf"), None]
+    rows = one_column(spark, "real", "float", values)
+    assert rows.schema["V"].dataType == T.DoubleType()
+    assert [r.V for r in rows.collect()] == [0.1, 3.4028235e38, -1.4e-45, float("inf"), None]
+    nan = one_column(spark, "real", "float", [float("nan")]).first().V
+    assert nan != nan
+
+
 def test_nan_survives(spark):
     row = one_column(spark, "double precision", "double", [float("nan")]).first()
     assert row.V != row.V

@@ -119,6 +119,13 @@ def test_name_the_catalog_cannot_hold_is_an_error(spark, target):
     assert table_names(spark, target) == []
 
 
+def test_staging_of_one_table_is_never_another_table(spark, target):
+    source = FrameSource(spark, {n: spark.range(1) for n in ("a", "a__STAGING", "a__backup_20240101_000000")})
+    run = sync_all(source, target, SyncOptions())
+    assert [r["status"] for r in run.results] == ["SUCCESS", "ERROR", "ERROR"]
+    assert table_names(spark, target) == ["a", AUDIT_TABLE]
+
+
 def test_case_clash_and_stamp_column_are_errors(spark, target):
     clash = FrameSource(spark, {"t": spark.range(1).selectExpr("1 AS a", "2 AS A")})
     assert "differ only by case" in load(clash, target, "t")["error"]
