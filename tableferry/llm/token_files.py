@@ -313,7 +313,8 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return files.repartition(F.col("file")).mapInArrow(work, SCHEMA)
+    # As many tasks as files: their rows are tiny, so Spark would put them into one task.
+    return files.repartition(max(1, manifest.count())).mapInArrow(work, SCHEMA)
 
 
 def token_files(
