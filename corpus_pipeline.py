@@ -10,7 +10,7 @@ from tableferry.llm.decontaminate import decontaminate
 from tableferry.llm.language import identified
 from tableferry.llm.near_dups import one_of_each
 from tableferry.llm.pieces import encode_digest
-from tableferry.llm.secrets import redact
+from tableferry.llm.secret_scan import redact
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,8 +7,10 @@ one's rarest ``COORDINATES - MATCHES + 1``: only those prefixes are joined, and
 the end are skipped. Candidates count their collisions on the whole signatures, and those at or above
 the match threshold are confirmed on the full shingle sets.
 
-A list is joined to one of its members first; a list whose members are then one component needs
-no further pairs. What remains is joined pair by pair, so no link between components is lost.
+A list is joined to one of its members first (the one whose pairs are the most frequent: of a group
+of near copies, the one nearest to all); a list whose members are then one component needs no further
+pairs. What remains is compared pair by pair, so no link between components is lost: short lists by
+a join, long ones in cells of two blocks, which give no more links than they have members.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +46,8 @@ _SHIFT = _rng.integers(0, 1 << 32, COORDINATES, dtype=np.uint32)
 
 SIGNED = "doc_id long, node binary, n_shingles long, signature array<int>"
 TEXTS = "node binary, text string"
+#: Lists of more members than this are compared in cells of blocks of about so many members.
+SHORT_LIST, BLOCK = 48, 512
 
 
 def miss_chance(similarity: float = SIMILARITY / 100) -> float:
@@ -142,7 +147,9 @@ def signed(documents: DataFrame) -> DataFrame:
 
 
 def prefixes(classes: DataFrame) -> DataFrame:
-    """``key, node, n_shingles``: each class under the shared pairs of its prefix.
+    """``node, n_shingles, weight, prefix``: the shared pairs under which a class is posted.
+
+    ``weight`` sums how many classes hold its pairs.
 
     Pairs are ranked by how many classes hold them, the rarest first; pairs that one class holds come
     before all others and lead to no one, so a class with enough of them is not posted at all.
@@ -161,15 +168,19 @@ def prefixes(classes: DataFrame) -> DataFrame:
     return (
         postings.join(shared, "key")
         .groupBy("node", "n_shingles")
-        .agg(F.sort_array(F.collect_list(F.struct("holders", "key"))).alias("pairs"))
+        .agg(
+            F.sort_array(F.collect_list(F.struct("holders", "key"))).alias("pairs"),
+            F.sum("holders").alias("weight"),
+        )
         .select(
             "node",
             "n_shingles",
-            F.explode(
-                F.expr(f"slice(pairs, 1, greatest(0, {length} - ({COORDINATES} - size(pairs))))")
-            ).alias("pair"),
+            "weight",
+            F.expr(
+                f"slice(pairs, 1, greatest(0, {length} - ({COORDINATES} - size(pairs)))).key"
+            ).alias("prefix"),
         )
-        .select(F.col("pair.key").alias("key"), "node", "n_shingles")
+        .where(F.size("prefix") > 0)
     )
 
 
@@ -241,6 +252,89 @@ def confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame) -> Dat
     return rows.select("a", "b", "ta", "tb").mapInArrow(work, "a binary, b binary")
 
 
+def cells(members: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
+    """Links between different components of long lists, found in cells of two blocks each.
+
+    ``members``: ``key, node, root, n_shingles, prefix, size``. Each member meets every block of its
+    list once. A cell compares signatures, and confirms a pair of components on the full sets unless
+    links of this cell already join them. A pair in several lists is left to the list with its
+    smallest common key.
+    """
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    placed = members.withColumn("blocks", blocks).withColumn("block", own)
+    ids = placed.select("node").distinct().join(classes, "node")
+    texts = written(texts_of(documents, ids.select("doc_id")), "texts")
+    full = placed.join(classes.select("node", "signature"), "node").join(texts, "node")
+    dealt = (
+        full.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        .withColumn("lo", F.least("block", "other"))
+        .withColumn("hi", F.greatest("block", "other"))
+        .select("key", "lo", "hi", "block", "node", "root", "prefix", "signature", "text")
+    )
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        dealt.repartition(parts, "key", "lo", "hi")
+        .sortWithinPartitions("key", "lo", "hi", "node")
+        .mapInArrow(_cells, "a binary, b binary")
+    )
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    name, rows = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            cell = row["key"], row["lo"], row["hi"]
+            if cell != name:
+                yield _links_of(name, rows)
+                name, rows = cell, []
+            rows.append(row)
+    yield _links_of(name, rows)
+
+
+def _links_of(cell: tuple[int, int, int] | None, rows: list[dict]) -> pa.RecordBatch:
+    parent: dict[bytes, bytes] = {}
+
+    def find(x: bytes) -> bytes:
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    links: list[tuple[bytes, bytes]] = []
+    sets: dict[int, np.ndarray] = {}
+
+    def members(place: int) -> np.ndarray:
+        if place not in sets:
+            sets[place] = shingles(rows[place]["text"].encode("utf-8", "surrogatepass"))
+        return sets[place]
+
+    if rows:
+        key, lo, hi = cell
+        left = [i for i, row in enumerate(rows) if row["block"] == lo]
+        right = np.array([i for i, row in enumerate(rows) if row["block"] == hi], dtype=np.int64)
+        signatures = np.array([row["signature"] for row in rows], dtype=np.int32)
+        prefixes_of = [set(row["prefix"]) for row in rows]
+        for i in left:
+            others = right[right > i] if lo == hi else right
+            if not len(others):
+                continue
+            enough = (signatures[others] == signatures[i]).sum(axis=1) >= MATCHES
+            for j in others[enough].tolist():
+                a, b = find(rows[i]["root"]), find(rows[j]["root"])
+                if a == b or min(prefixes_of[i] & prefixes_of[j]) != key:
+                    continue
+                x, y = members(i), members(j)
+                if 100 * min(len(x), len(y)) < SIMILARITY * max(len(x), len(y)):
+                    continue
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * shared >= SIMILARITY * (len(x) + len(y) - shared):
+                    parent[a] = b
+                    links.append((rows[i]["node"], rows[j]["node"]))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([link[side] for link in links], pa.binary()) for side in (0, 1)], names=["a", "b"]
+    )
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` of every linked node, by alternating large and small stars.
 
@@ -287,9 +381,19 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     return row["n"], row["s"]
 
 
-def with_roots(postings: DataFrame, found: DataFrame) -> DataFrame:
-    joined = postings.join(found, "node", "left")
-    return joined.withColumn("root", F.coalesce("root", "node"))
+def open_lists(posted: DataFrame, found: DataFrame | None) -> DataFrame:
+    """Members of the lists that are not yet one component: ``key, node, root, size`` and what is posted."""
+    rooted = posted.withColumn("root", F.col("node"))
+    if found is not None:
+        rooted = posted.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    members = rooted.withColumn("key", F.explode("prefix"))
+    lists = (
+        members.groupBy("key")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
+        .where("low != high")
+        .select("key", "size")
+    )
+    return written(members.join(lists, "key"), "open")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -312,43 +416,40 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    postings = written(prefixes(classes), "postings")
-    links = None
+    posted = written(prefixes(classes), "prefixes")
     found = None
-    tested = None
-    for hub in (F.min, F.max, None):
-        members = postings if found is None else with_roots(postings, found)
-        if found is not None:  # lists that are one component already need no pairs
-            open_lists = (
-                members.groupBy("key")
-                .agg(F.min("root").alias("low"), F.max("root").alias("high"))
-                .where("low != high")
-                .select("key")
-            )
-            members = written(members.join(open_lists, "key", "left_semi"), "open")
-            if members.isEmpty():
-                break
-        else:
-            members = members.withColumn("root", F.col("node"))
-        side = members.select("key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n_shingles").alias("na"))
+    links: list[DataFrame] = []
+    tested: list[DataFrame] = []
+    for hub in ("max_by(me, struct(weight, me.node))", "min(me)", None):
+        members = open_lists(posted, found)
+        if members.isEmpty():
+            break
         if hub is None:
-            other = side
+            short = members.where(f"size <= {SHORT_LIST}")
+            links.append(written(cells(members.where(f"size > {SHORT_LIST}"), classes, documents), "links"))
         else:
-            other = side.groupBy("key").agg(hub(F.struct("a", "ra", "na")).alias("h")).select("key", "h.*")
-        other = other.select("key", F.col("a").alias("b"), F.col("ra").alias("rb"), F.col("na").alias("nb"))
-        pairs = side.join(other, "key").where("ra != rb").where(
-            100 * F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb")
+            short = members
+        side = short.select("key", "weight", F.struct("node", "root", "n_shingles").alias("me"))
+        hubs = side if hub is None else side.groupBy("key").agg(F.expr(hub).alias("me"))
+        pairs = (
+            side.select("key", F.col("me").alias("x"))
+            .join(hubs.select("key", F.col("me").alias("y")), "key")
+            .where("x.root != y.root" + (" AND x.node < y.node" if hub is None else ""))
+            .where(
+                100 * F.least("x.n_shingles", "y.n_shingles")
+                >= SIMILARITY * F.greatest("x.n_shingles", "y.n_shingles")
+            )
+            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+            .distinct()
         )
-        if hub is None:
-            pairs = pairs.where("a < b")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        for before in tested:
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
         candidates = written(colliding(pairs, classes), "candidates")
-        new = written(confirmed(candidates, documents, classes), "links")
-        links = new if links is None else links.unionByName(new)
-        tested = candidates if tested is None else tested.unionByName(candidates)
-        found = components(links)
+        tested.append(candidates)
+        links.append(written(confirmed(candidates, documents, classes), "links"))
+        found = components(reduce(DataFrame.unionByName, links))
+    if found is None:
+        found = classes.select("node", F.col("node").alias("root")).limit(0)
     labels = (
         classes.select("node", "doc_id")
         .join(found, "node", "left")

@@ -15,7 +15,7 @@ from tableferry.llm.licenses import scan_licenses
 from tableferry.llm.near_dups import near_duplicates
 from tableferry.llm.pieces import encode_digest
 from tableferry.llm.quality import quality
-from tableferry.llm.secrets import scan
+from tableferry.llm.secret_scan import scan
 from tableferry.llm.templates import main_text
 from tableferry.llm.token_counts import count_tokens
 from tableferry.llm.token_files import token_files
