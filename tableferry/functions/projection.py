@@ -47,9 +47,8 @@ class ProjectionOptions:
                 raise ValueError(f"{name} must be one of {values}, got {getattr(self, name)!r}")
 
 
-def quote_identifier(name: str, uppercase: bool = False) -> str:
+def quote_identifier(name: str) -> str:
     """Backtick-quoted identifier with embedded backticks escaped."""
-    name = name.upper() if uppercase else name
     return "`" + name.replace("`", "``") + "`"
 
 
@@ -132,11 +131,22 @@ def project(
     loaded_at: datetime,
     options: ProjectionOptions = ProjectionOptions(),
 ) -> DataFrame:
-    """Target rows of a source table: one narrow select, load stamp last."""
+    """Target rows of a source table: one narrow select, load stamp last.
+
+    The column list has to name exactly what is read, so that no column is lost unseen.
+    """
     if loaded_at.tzinfo is None:
         raise ValueError("loaded_at needs a time zone")
     names = target_names(columns)
     fields = {field.name: field for field in df.schema.fields}
+    listed = {column.name for column in columns}
+    if not listed or listed != set(fields):
+        missing, unlisted = sorted(listed - set(fields)), sorted(set(fields) - listed)
+        raise ColumnNameError(
+            f"columns listed but not read: {missing}; read but not listed: {unlisted}"
+            if listed
+            else "no columns listed"
+        )
     values = [
         target_value(column, fields[column.name], options).alias(name)
         for column, name in zip(columns, names)

@@ -128,9 +128,7 @@ def value_text(value: Column, data_type: T.DataType, is_json: bool = False) -> C
     if isinstance(data_type, T.BinaryType):
         return quoted_text(F.lower(F.hex(value)))
     if isinstance(data_type, T.TimestampType):
-        # Instants are written in UTC whatever the session zone is.
-        in_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), value.cast("timestamp_ntz"))
-        return _quoted_moment(in_utc, "+00:00")
+        return _quoted_moment(utc_moment(value), "+00:00")
     if isinstance(data_type, T.TimestampNTZType):
         return _quoted_moment(value)
     if isinstance(data_type, (T.DateType, T.DecimalType)):
@@ -138,6 +136,12 @@ def value_text(value: Column, data_type: T.DataType, is_json: bool = False) -> C
     return quoted_text(value.cast("string"))
 
 
+def utc_moment(instant: Column) -> Column:
+    """An instant as a zone-less moment in UTC; no session zone takes part, so none is ambiguous."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.unix_micros(instant) * F.expr("INTERVAL '0.000001' SECOND")
+
+
 def _quoted_moment(value: Column, zone: str = "") -> Column:
     # A fraction of a second is written with all six digits, or not at all.
     def six_digits(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 import re
 import time
-from collections.abc import Callable
+from collections.abc import Sequence
 from threading import Thread
 
 from pyspark.errors import AnalysisException
@@ -29,6 +29,9 @@ WRITE_OPTIONS = {
 # How long to wait for the count of a finished write.
 OBSERVE_SECONDS = 120.0
 
+# Seconds before the second and the third attempt of a write.
+WAITS = (1.0, 2.0)
+
 # SQLSTATE classes 22 (data exception) and 42 (syntax or access rule): trying again cannot help.
 _LASTING = re.compile(r"SQLSTATE: (22|42)")
 
@@ -38,25 +41,6 @@ def is_lasting(error: Exception) -> bool:
     return isinstance(error, (AnalysisException, ValueError)) or bool(_LASTING.search(str(error)))
 
 
-def retry_with_backoff(
-    action: Callable,
-    attempts: int = 3,
-    base_delay: float = 1.0,
-    give_up: Callable[[Exception], bool] = lambda error: False,
-    sleep: Callable[[float], None] = time.sleep,
-):
-    """Run ``action`` up to ``attempts`` times, waiting 1 s, 2 s, ...; the last error is raised."""
-    for attempt in range(attempts):
-        try:
-            return action()
-        except Exception as error:
-            if attempt == attempts - 1 or give_up(error):
-                raise
-            delay = base_delay * 2**attempt
-            log.warning("attempt %d failed, next in %ss: %s", attempt + 1, delay, error)
-            sleep(delay)
-
-
 def observed_rows(written: Observation, seconds: float | None = None) -> int | None:
     """Rows an observation counted, or ``None`` if they are not known in time.
 
@@ -100,13 +84,26 @@ def load_staging(
     rows: DataFrame,
     target: Target,
     table: str,
-    attempts: int = 3,
+    waits: Sequence[float] = WAITS,
     write_options: dict[str, str] | None = None,
 ) -> int | None:
-    """:func:`write_staging`, tried again when the environment failed.
+    """:func:`write_staging`, once more after each of ``waits`` (seconds) if the environment failed.
 
-    Spark already retries single tasks; this covers the failure of the whole write.
+    Returns the rows written; an error names those of the attempts before it. Spark already retries
+    single tasks; this covers the failure of the whole write. What an attempt left behind is dropped
+    by the next one before it writes.
     """
-    return retry_with_backoff(
-        lambda: write_staging(rows, target, table, write_options), attempts, give_up=is_lasting
-    )
+    failed: list[str] = []
+    pauses = iter(waits)
+    while True:
+        try:
+            return write_staging(rows, target, table, write_options)
+        except Exception as error:
+            pause = None if is_lasting(error) else next(pauses, None)
+            if pause is None:
+                if failed:
+                    error.add_note(f"earlier attempts: {failed}")
+                raise
+            failed.append(f"{type(error).__name__}: {error}")
+        log.warning("%s: write failed, once more in %s s: %s", table, pause, failed[-1])
+        time.sleep(pause)

@@ -106,9 +106,12 @@ def profile_lines(profile: DataFrame) -> DataFrame:
         F.col("rn").alias("position"),
         F.format_string("    %s: %s rows", "table_name", F.col("row_count").cast("string")).alias("line"),
     )
-    overflow = profile.filter((F.col("rn") == 1) & (F.col("n_more") > 0)).select(
+    listed = profile.groupBy("schema_name").agg(
+        F.max("rn").alias("last"), F.first("n_more").alias("n_more")
+    )
+    overflow = listed.filter(F.col("n_more") > 0).select(
         "schema_name",
-        (F.lit(LISTED) + 1).alias("position"),
+        (F.col("last") + 1).alias("position"),
         F.format_string("    ... and %d more tables", "n_more").alias("line"),
     )
     return heading.unionAll(tables).unionAll(overflow).orderBy("schema_name", "position")

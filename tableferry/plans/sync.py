@@ -20,7 +20,7 @@ from tableferry.operators.audit import (
     audit_record,
     ensure_audit_table,
 )
-from tableferry.operators.stage import load_staging
+from tableferry.operators.stage import WAITS, load_staging
 from tableferry.operators.target import STAGING, Target
 from tableferry.operators.validate import json_types_ok, validate_count
 from tableferry.plans.report import run_report, run_summary
@@ -112,7 +112,8 @@ def load_table(
         target.restore_if_missing(table)
         columns = source.columns(table)
         rows = project(source.read(table), columns, moment, options.projection)
-        written = load_staging(rows, target, table, options.write_attempts, options.write_options)
+        waits = WAITS[: options.write_attempts - 1]
+        written = load_staging(rows, target, table, waits, options.write_options)
         if written is None:
             log.warning("%s: rows written not reported, counting the source", table)
             written = source.count(table).first().row_count
@@ -139,7 +140,10 @@ def load_table(
         log.error("loading %s failed: %s", table, result["error"])
         log.debug("loading %s failed", table, exc_info=True)
     if result["status"] != SUCCESS:
-        target.drop(f"{table}{STAGING}")
+        try:
+            target.drop(f"{table}{STAGING}")
+        except Exception as error:  # the result keeps what went wrong first
+            log.warning("%s: staging not dropped: %s", table, error_text(error))
     log.info("%s: %s, %s rows", table, result["status"], result["rows_loaded"])
     return result
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.functions.projection import LOAD_STAMP, ProjectionOptions, hex_text
-from tableferry.functions.rowhash import with_row_hash
+from tableferry.functions.rowhash import utc_moment, with_row_hash
 from tableferry.functions.types import with_target_types
 from tableferry.operators.audit import AUDIT_TABLE, duplicate_audit_keys
 from tableferry.operators.counts import count_tables
@@ -63,14 +63,8 @@ def folder(spark: SparkSession, sf_dir: str, types=JSON_COLUMNS) -> ParquetSourc
     return ParquetSource(spark, sf_dir, types=types)
 
 
-def in_utc(instant: Column) -> Column:
-    """An instant as a zone-less UTC timestamp, whatever the session zone."""
-    local = instant.cast("timestamp_ntz")
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
-
-
 def stamped(df: DataFrame) -> DataFrame:
-    return df.withColumn(LOAD_STAMP, in_utc(F.col(LOAD_STAMP)))
+    return df.withColumn(LOAD_STAMP, utc_moment(F.col(LOAD_STAMP)))
 
 
 def load_one(
@@ -287,7 +281,7 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, target = full_run(spark, sf_dir)
     audit = target.read(AUDIT_TABLE)
     for name in ("LOAD_START", "LOAD_END", "LOADED_AT_UTC"):
-        audit = audit.withColumn(name, in_utc(F.col(name)))
+        audit = audit.withColumn(name, utc_moment(F.col(name)))
     unset = F.col("LAST_SOURCE_ID").isNull() & F.col("ROW_HASH").isNull()
     clean = F.col("ERROR_MESSAGE").isNull()
     return audit.withColumn("UNSET", unset & clean).drop("LAST_SOURCE_ID", "ROW_HASH", "ERROR_MESSAGE")

@@ -4,7 +4,9 @@ import os
 
 import pytest
 
-from tests.oracle_check import compare, connect, oracle_sql, queries
+from tableferry.registry.oracle import ORACLE
+from tableferry.registry.queries import QUERIES
+from tests.oracle_check import compare, connect
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
@@ -16,10 +18,10 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, connection, name):
     assert compare(spark, connection, name, DATA) is None
 

@@ -137,7 +137,14 @@ def test_odd_column_names(spark):
     df = spark.range(1).selectExpr("1 AS `a.b`", "2 AS `c d`", "3 AS `e``f`")
     columns = [SourceColumn(n, "integer") for n in df.columns]
     assert project(df, columns, STAMP).columns == ["A.B", "C D", "E`F", "LOADED_AT_UTC"]
-    assert quote_identifier("e`f", uppercase=True) == "`E``F`"
+    assert quote_identifier("e`f") == "`e``f`"
+
+
+@pytest.mark.parametrize("names", [["a"], ["a", "b", "c"], []])
+def test_column_list_that_differs_from_the_data_is_refused(spark, names):
+    columns = [SourceColumn(n, "integer") for n in names]
+    with pytest.raises(ColumnNameError, match="listed"):
+        project(spark.range(1).selectExpr("1 AS a", "2 AS b"), columns, STAMP)
 
 
 def test_bad_json_fails_or_is_null(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tableferry import CatalogSource, FrameSource, ParquetSource, ProjectionOptions, SyncOptions, Target, sync_all, sync_table
 from tableferry.operators import stage
 from tableferry.operators.audit import AUDIT_COLUMNS, AUDIT_TABLE, duplicate_audit_keys
-from tableferry.operators.stage import is_lasting, retry_with_backoff
+from tableferry.operators.stage import is_lasting
 from tableferry.operators.target import STAGING, SwapError
 from tableferry.plans import sync as sync_module
 from tableferry.plans.sync import attempt_table
@@ -405,41 +405,39 @@ def test_tables_added_later_are_seen(spark, target, tmp_path):
     assert [r["rows_loaded"] for r in sync_all(source, target).results] == [5, 2]
 
 
-def test_retry_waits_longer_each_time():
-    waits, calls = [], []
+def failing_write(monkeypatch, errors):
+    """Staging writes that raise the given errors in turn, then report 7 rows; returns the waits."""
+    waits, left = [], iter(errors)
 
-    def action():
-        calls.append(1)
-        if len(calls) < 3:
-            raise OSError("again")
-        return "done"
-
-    assert retry_with_backoff(action, sleep=waits.append) == "done"
-    assert waits == [1.0, 2.0]
+    def write(*args):
+        error = next(left, None)
+        if error is not None:
+            raise error
+        return 7
 
+    monkeypatch.setattr(stage, "write_staging", write)
+    monkeypatch.setattr(stage.time, "sleep", waits.append)
+    return waits
 
-def test_retry_raises_the_last_error():
-    waits = []
-    errors = iter([OSError("1"), OSError("2"), OSError("3")])
 
-    def action():
-        raise next(errors)
-
-    with pytest.raises(OSError, match="3"):
-        retry_with_backoff(action, sleep=waits.append)
+def test_write_is_tried_again_after_longer_waits(monkeypatch):
+    waits = failing_write(monkeypatch, [OSError("1"), OSError("2")])
+    assert stage.load_staging(None, None, "t") == 7
     assert waits == [1.0, 2.0]
 
 
-def test_errors_in_the_data_are_not_retried():
-    calls = []
+def test_the_last_error_is_raised(monkeypatch):
+    waits = failing_write(monkeypatch, [OSError("1"), OSError("2"), OSError("3")])
+    with pytest.raises(OSError, match="3") as raised:
+        stage.load_staging(None, None, "t")
+    assert waits == [1.0, 2.0] and "OSError: 2" in raised.value.__notes__[0]
 
-    def action():
-        calls.append(1)
-        raise RuntimeError("[MALFORMED_RECORD_IN_PARSING] ... SQLSTATE: 22023")
 
+def test_errors_in_the_data_are_not_retried(monkeypatch):
+    waits = failing_write(monkeypatch, [RuntimeError("[MALFORMED_RECORD_IN_PARSING] SQLSTATE: 22023")])
     with pytest.raises(RuntimeError):
-        retry_with_backoff(action, give_up=is_lasting, sleep=lambda s: None)
-    assert len(calls) == 1 and not is_lasting(OSError("lost connection"))
+        stage.load_staging(None, None, "t")
+    assert waits == [] and not is_lasting(OSError("lost connection"))
 
 
 def test_second_attempt_does_not_duplicate_rows(spark, target, monkeypatch):
@@ -455,7 +453,6 @@ def test_second_attempt_does_not_duplicate_rows(spark, target, monkeypatch):
     monkeypatch.setattr(stage, "write_staging", lost_acknowledgement)
     monkeypatch.setattr(stage.time, "sleep", lambda s: None)
     options = SyncOptions(load_ts=T1)
-    monkeypatch.setattr(stage.retry_with_backoff, "__defaults__", (3, 0.0, lambda e: False, lambda s: None))
     result = sync_table(people(spark, [(1, "a"), (2, "b")]), target, "people", options)
     assert (result["status"], result["rows_loaded"], len(calls)) == ("SUCCESS", 2, 2)
     assert stored(target, "people") == [(1, "a"), (2, "b")] and len(version_folders(target)) == 1
