@@ -12,6 +12,9 @@ from tableferry.llm.near_dups import one_of_each
 from tableferry.llm.pieces import encode_digest
 from tableferry.llm.secret_scan import redact
 
+#: Per cent of shared runs of five words from which the near-dedup stage takes texts for copies.
+SIMILARITY = 80
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; learned from the documents themselves."""
@@ -22,7 +25,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     ship(spark)
-    return one_of_each(docs)
+    return one_of_each(docs, SIMILARITY)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,9 +1,9 @@
 """MinHash near-duplicates by an inverted join over signature coordinates.
 
 Texts with the same words are one class. Each class has a signature of ``COORDINATES`` minima and is
-posted under its pairs (coordinate, value). Two classes as similar as asked for agree in ``MATCHES``
-coordinates or more (:func:`miss_chance` gives the odds against it), so they share a pair among each
-one's rarest ``COORDINATES - MATCHES + 1``: only those prefixes are joined, and the frequent pairs at
+posted under its pairs (coordinate, value). Two classes as similar as asked for agree in
+:func:`matches_of` coordinates or more (:func:`miss_chance` gives the odds against it), so they share a
+pair among each one's rarest ``COORDINATES - matches + 1``: only those prefixes are joined, and the frequent pairs at
 the end are skipped. Candidates count their collisions on the whole signatures, and those at or above
 the match threshold are confirmed on the full shingle sets.
 
@@ -18,7 +18,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from functools import reduce
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,8 @@ from tableferry.llm.common import BROADCAST_IDS, without, written
 WORDS = 5
 SIMILARITY = 85  # per cent
 COORDINATES = 32
-MATCHES = 16
+#: Bound of the chance that a pair as similar as asked for is missed.
+MISS = 1e-6
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 #: White space that parts words; anything else is part of one.
@@ -50,14 +51,24 @@ TEXTS = "node binary, text string"
 SHORT_LIST, BLOCK = 48, 512
 
 
-def miss_chance(similarity: float = SIMILARITY / 100) -> float:
-    """Chance that two texts of this similarity agree in fewer than ``MATCHES`` coordinates."""
+def missed(similarity: float, matches: int) -> float:
+    """Chance that two texts of this similarity agree in fewer than ``matches`` coordinates."""
     return sum(
         math.comb(COORDINATES, k) * similarity**k * (1 - similarity) ** (COORDINATES - k)
-        for k in range(MATCHES)
+        for k in range(matches)
     )
 
 
+def matches_of(similarity: int) -> int:
+    """The most matches that a pair of this similarity (per cent) lacks with a chance below ``MISS``."""
+    return max(m for m in range(1, COORDINATES + 1) if m == 1 or missed(similarity / 100, m) < MISS)
+
+
+def miss_chance(similarity: float = SIMILARITY / 100) -> float:
+    """Chance that two texts of this similarity are missed where it is the one asked for."""
+    return missed(similarity, matches_of(round(100 * similarity)))
+
+
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -146,7 +157,7 @@ def signed(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(work, SIGNED)
 
 
-def prefixes(classes: DataFrame) -> DataFrame:
+def prefixes(classes: DataFrame, similarity: int) -> DataFrame:
     """``node, n_shingles, weight, prefix``: the shared pairs under which a class is posted.
 
     ``weight`` sums how many classes hold its pairs.
@@ -164,7 +175,7 @@ def prefixes(classes: DataFrame) -> DataFrame:
         F.expr("shiftleft(cast(coordinate AS bigint), 32) | (cast(value AS bigint) & 4294967295)").alias("key"),
     )
     shared = postings.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1")
-    length = COORDINATES - MATCHES + 1
+    length = COORDINATES - matches_of(similarity) + 1
     return (
         postings.join(shared, "key")
         .groupBy("node", "n_shingles")
@@ -184,7 +195,7 @@ def prefixes(classes: DataFrame) -> DataFrame:
     )
 
 
-def colliding(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def colliding(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
     """The pairs ``a, b`` whose signatures agree in enough coordinates and whose sizes allow a link."""
     side = classes.select("node", "n_shingles", "signature")
     both = pairs.join(
@@ -199,8 +210,8 @@ def colliding(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         "a",
     )
     matches = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
-    sized = 100 * F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb")
-    return both.where(sized).where(matches >= MATCHES).select("a", "b")
+    sized = 100 * F.least("na", "nb") >= similarity * F.greatest("na", "nb")
+    return both.where(sized).where(matches >= matches_of(similarity)).select("a", "b")
 
 
 def texts_of(documents: DataFrame, members: DataFrame) -> DataFrame:
@@ -224,7 +235,9 @@ def texts_of(documents: DataFrame, members: DataFrame) -> DataFrame:
     return rows.mapInArrow(work, TEXTS).dropDuplicates(["node"])
 
 
-def confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame) -> DataFrame:
+def confirmed(
+    pairs: DataFrame, documents: DataFrame, classes: DataFrame, similarity: int
+) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     members = classes.join(ends, "node").select("doc_id")
@@ -246,13 +259,15 @@ def confirmed(pairs: DataFrame, documents: DataFrame, classes: DataFrame) -> Dat
                 right = shingles(tb.as_py().encode("utf-8", "surrogatepass"))
                 shared = len(np.intersect1d(left, right, assume_unique=True))
                 union = len(left) + len(right) - shared
-                keep.append(100 * shared >= SIMILARITY * union)
+                keep.append(100 * shared >= similarity * union)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return rows.select("a", "b", "ta", "tb").mapInArrow(work, "a binary, b binary")
 
 
-def cells(members: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
+def cells(
+    members: DataFrame, classes: DataFrame, documents: DataFrame, similarity: int
+) -> DataFrame:
     """Links between different components of long lists, found in cells of two blocks each.
 
     ``members``: ``key, node, root, n_shingles, prefix, size``. Each member meets every block of its
@@ -276,23 +291,26 @@ def cells(members: DataFrame, classes: DataFrame, documents: DataFrame) -> DataF
     return (
         dealt.repartition(parts, "key", "lo", "hi")
         .sortWithinPartitions("key", "lo", "hi", "node")
-        .mapInArrow(_cells, "a binary, b binary")
+        .mapInArrow(partial(_cells, similarity), "a binary, b binary")
     )
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cells(similarity: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     name, rows = None, []
     for batch in batches:
         for row in batch.to_pylist():
             cell = row["key"], row["lo"], row["hi"]
             if cell != name:
-                yield _links_of(name, rows)
+                yield _links_of(name, rows, similarity)
                 name, rows = cell, []
             rows.append(row)
-    yield _links_of(name, rows)
+    yield _links_of(name, rows, similarity)
 
 
-def _links_of(cell: tuple[int, int, int] | None, rows: list[dict]) -> pa.RecordBatch:
+def _links_of(
+    cell: tuple[int, int, int] | None, rows: list[dict], similarity: int
+) -> pa.RecordBatch:
+    matches = matches_of(similarity)
     parent: dict[bytes, bytes] = {}
 
     def find(x: bytes) -> bytes:
@@ -318,16 +336,16 @@ def _links_of(cell: tuple[int, int, int] | None, rows: list[dict]) -> pa.RecordB
             others = right[right > i] if lo == hi else right
             if not len(others):
                 continue
-            enough = (signatures[others] == signatures[i]).sum(axis=1) >= MATCHES
+            enough = (signatures[others] == signatures[i]).sum(axis=1) >= matches
             for j in others[enough].tolist():
                 a, b = find(rows[i]["root"]), find(rows[j]["root"])
                 if a == b or min(prefixes_of[i] & prefixes_of[j]) != key:
                     continue
                 x, y = members(i), members(j)
-                if 100 * min(len(x), len(y)) < SIMILARITY * max(len(x), len(y)):
+                if 100 * min(len(x), len(y)) < similarity * max(len(x), len(y)):
                     continue
                 shared = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * shared >= SIMILARITY * (len(x) + len(y) - shared):
+                if 100 * shared >= similarity * (len(x) + len(y) - shared):
                     parent[a] = b
                     links.append((rows[i]["node"], rows[j]["node"]))
     return pa.RecordBatch.from_arrays(
@@ -396,10 +414,10 @@ def open_lists(posted: DataFrame, found: DataFrame | None) -> DataFrame:
     return written(members.join(lists, "key"), "open")
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
+def near_duplicates(documents: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document.
 
-    ``component_id`` is the smallest id reachable over links; a document without words (null, empty or
+    Texts of ``similarity`` per cent or more are linked. ``component_id`` is the smallest id reachable over links; a document without words (null, empty or
     white space) is linked with nothing and is its own component. Rows that repeat an id are told apart
     by their texts. A row without an id takes part, and is kept only if nothing with an id is in its
     component, which then is null. Further columns are ignored.
@@ -416,7 +434,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    posted = written(prefixes(classes), "prefixes")
+    posted = written(prefixes(classes, similarity), "prefixes")
     found = None
     links: list[DataFrame] = []
     tested: list[DataFrame] = []
@@ -426,7 +444,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
             break
         if hub is None:
             short = members.where(f"size <= {SHORT_LIST}")
-            links.append(written(cells(members.where(f"size > {SHORT_LIST}"), classes, documents), "links"))
+            long = members.where(f"size > {SHORT_LIST}")
+            links.append(written(cells(long, classes, documents, similarity), "links"))
         else:
             short = members
         side = short.select("key", "weight", F.struct("node", "root", "n_shingles").alias("me"))
@@ -437,16 +456,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
             .where("x.root != y.root" + (" AND x.node < y.node" if hub is None else ""))
             .where(
                 100 * F.least("x.n_shingles", "y.n_shingles")
-                >= SIMILARITY * F.greatest("x.n_shingles", "y.n_shingles")
+                >= similarity * F.greatest("x.n_shingles", "y.n_shingles")
             )
             .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
             .distinct()
         )
         for before in tested:
             pairs = pairs.join(before, ["a", "b"], "left_anti")
-        candidates = written(colliding(pairs, classes), "candidates")
+        candidates = written(colliding(pairs, classes, similarity), "candidates")
         tested.append(candidates)
-        links.append(written(confirmed(candidates, documents, classes), "links"))
+        links.append(written(confirmed(candidates, documents, classes, similarity), "links"))
         found = components(reduce(DataFrame.unionByName, links))
     if found is None:
         found = classes.select("node", F.col("node").alias("root")).limit(0)
@@ -466,10 +485,10 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(documents: DataFrame) -> DataFrame:
+def one_of_each(documents: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """The documents with one of each component, the one with the smallest id; all columns.
 
     Rows that repeat an id stay or go together. Documents without words stay.
     """
-    found = written(near_duplicates(documents), "near")
+    found = written(near_duplicates(documents, similarity), "near")
     return without(documents, found.where("NOT kept").select("doc_id"))

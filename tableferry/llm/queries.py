@@ -12,7 +12,7 @@ from tableferry.llm.common import new_folder, ship, table
 from tableferry.llm.decontaminate import leaks
 from tableferry.llm.language import identify
 from tableferry.llm.licenses import scan_licenses
-from tableferry.llm.near_dups import near_duplicates
+from tableferry.llm.near_dups import SIMILARITY, near_duplicates
 from tableferry.llm.pieces import encode_digest
 from tableferry.llm.quality import quality
 from tableferry.llm.secret_scan import scan
@@ -33,7 +33,7 @@ def shipped(query: Query) -> Query:
 
 @shipped
 def op1_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), SIMILARITY)
 
 
 @shipped
