@@ -20,7 +20,7 @@ SENTENCES = (
     ("lgpl", "lesser", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public licen[cs]e"),
     ("agpl", "affero", "gnu affero general public licen[cs]e(?: as published by the free software foundation)?"),
     ("mpl", "mozilla", "this source code form is subject to the terms of the mozilla public licen[cs]e(?: v 2 0)?"),
-    ("apache", "apache", "you may not use this file except in compliance with the licen[cs]e"),
+    ("apache", "in compliance", "you may not use this file except in compliance with the licen[cs]e"),
     ("unlicense", "public domain", "this is free and unencumbered software released into the public domain"),
     ("zlib", "warranty", "this software is provided as is without any express or implied warranty"),
     ("wtfpl", "what the", "do what the f[a-z]* you want to public licen[cs]e"),
@@ -78,7 +78,7 @@ NAMES = (
     ("zlib", "zlib", "zlib(?: libpng)?", "zlib"),
     ("unlicense", "unlicen", "unlicen[cs]e", "unlicen[cs]e"),
     ("wtfpl", "wtfpl", "wtfpl", "wtfpl"),
-    ("ncsa", "ncsa", "(?:university of illinois )?(?:ncsa )?open source licen[cs]e", "ncsa"),
+    ("ncsa", "open source licen", "(?:university of illinois )?(?:ncsa )?open source licen[cs]e", "ncsa"),
     ("psf-2.0", "python", "python software foundation licen[cs]e(?: version 2)?", "(?:psf|python) 2 0"),
     ("php-3.01", "php", "php licen[cs]e(?: version)?(?: 3 01?)?", "php 3 01?"),
     ("ruby", "ruby", "ruby", "ruby"),
@@ -96,11 +96,11 @@ NAMES = (
     ("vim", "vim", "vim", "vim"),
     ("w3c", "w3c", "w3c(?: software)?(?: notice)?", "w3c"),
     ("zpl-2.1", "zope", "zope public licen[cs]e", "zpl 2 1"),
-    ("qpl-1.0", "qpl", "q(?:t)? ?public licen[cs]e", "qpl 1 0"),
+    ("qpl-1.0", "public licen", "q(?:t)? ?public licen[cs]e", "qpl 1 0"),
     ("sspl-1.0", "server side", "server side public licen[cs]e", "sspl 1 0"),
     ("busl-1.1", "business source", "business source licen[cs]e(?: 1 1)?", "busl 1 1"),
     ("elastic-2.0", "elastic", "elastic licen[cs]e(?: 2 0)?", "elastic 2 0"),
     ("polyform", "polyform", "polyform (?:noncommercial|small business|strict)", "polyform [a-z]+ 1 0 0"),
-    ("openrail", "openrail", "(?:creative ml |bigscience )?open ?rail(?: m)?", "openrail"),
+    ("openrail", "openrail|open rail", "(?:creative ml |bigscience )?open ?rail(?: m)?", "openrail"),
     ("llama", "llama", "llama [23](?: [0-9])? community", ""),
 )
