@@ -215,12 +215,23 @@ def colliding(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFram
 
 
 def texts_of(documents: DataFrame, members: DataFrame) -> DataFrame:
-    """``node, text`` (normal words) of the classes whose first ``doc_id`` is in ``members``."""
-    ids = members.select("doc_id").distinct()
+    """``node, text`` (normal words) of the classes ``node, doc_id``, found by the id of each.
+
+    Classes without an id are found by their node, among all rows without an id.
+    """
+    ids = members.where("doc_id IS NOT NULL").select("doc_id").distinct()
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    rows = documents.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    rows = documents.select("doc_id", "text")
+    texts = _normal_texts(rows.join(ids, "doc_id", "left_semi"))
+    nameless = members.where("doc_id IS NULL").select("node").distinct()
+    if not nameless.isEmpty():
+        others = _normal_texts(rows.where("doc_id IS NULL")).dropDuplicates(["node"])
+        texts = texts.unionByName(others.join(nameless, "node", "left_semi"))
+    return texts.dropDuplicates(["node"])
+
 
+def _normal_texts(rows: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [normal_words(t.as_py() or "") for t in batch.column("text")]
@@ -232,7 +243,7 @@ def texts_of(documents: DataFrame, members: DataFrame) -> DataFrame:
                 names=["node", "text"],
             )
 
-    return rows.mapInArrow(work, TEXTS).dropDuplicates(["node"])
+    return rows.select("text").mapInArrow(work, TEXTS)
 
 
 def confirmed(
@@ -240,7 +251,7 @@ def confirmed(
 ) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    members = classes.join(ends, "node").select("doc_id")
+    members = classes.join(ends, "node").select("node", "doc_id")
     texts = written(texts_of(documents, members), "texts")
     rows = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").join(
         texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a"
@@ -279,7 +290,7 @@ def cells(
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     placed = members.withColumn("blocks", blocks).withColumn("block", own)
     ids = placed.select("node").distinct().join(classes, "node")
-    texts = written(texts_of(documents, ids.select("doc_id")), "texts")
+    texts = written(texts_of(documents, ids.select("node", "doc_id")), "texts")
     full = placed.join(classes.select("node", "signature"), "node").join(texts, "node")
     dealt = (
         full.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
@@ -415,12 +426,18 @@ def open_lists(posted: DataFrame, found: DataFrame | None) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every document.
+    """``doc_id, n_shingles, component_id, kept`` of every document; see :func:`labelled`."""
+    return labelled(documents, similarity).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def labelled(documents: DataFrame, similarity: int) -> DataFrame:
+    """``doc_id, node, n_shingles, component_id, kept, main`` of every document.
 
     Texts of ``similarity`` per cent or more are linked. ``component_id`` is the smallest id reachable over links; a document without words (null, empty or
     white space) is linked with nothing and is its own component. Rows that repeat an id are told apart
     by their texts. A row without an id takes part, and is kept only if nothing with an id is in its
-    component, which then is null. Further columns are ignored.
+    component, which then is null. ``main`` tells the one node of a component that has its id (null
+    without words). Further columns are ignored.
     """
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = written(signed(documents), "signed")
@@ -474,21 +491,82 @@ def near_duplicates(documents: DataFrame, similarity: int = SIMILARITY) -> DataF
         .join(found, "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
     )
-    least = labels.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = labels.join(least, "root").select("node", "component_id")
+    # The smallest id, and of its texts (or of all, without ids) the smallest node.
+    least = labels.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("node"))).alias("least")
+    )
+    named = labels.join(least, "root").select(
+        "node",
+        F.col("least.doc_id").alias("component_id"),
+        (F.col("node") == F.col("least.node")).alias("main"),
+    )
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select("doc_id", "node", "n_shingles").join(named, "node", "left").select(
         "doc_id",
+        "node",
         "n_shingles",
         component.alias("component_id"),
         component.eqNullSafe(F.col("doc_id")).alias("kept"),
+        "main",
     )
 
 
 def one_of_each(documents: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """The documents with one of each component, the one with the smallest id; all columns.
+    """The documents with one row of each component, of the smallest id; all columns.
 
-    Rows that repeat an id stay or go together. Documents without words stay.
+    Rows without an id go if one with an id is in their component, else one of them stays. Of rows
+    that repeat an id each is judged by its own text. Documents without words stay.
     """
-    found = written(near_duplicates(documents, similarity), "near")
-    return without(documents, found.where("NOT kept").select("doc_id"))
+    found = written(labelled(documents, similarity), "near").withColumn(
+        "stays", F.expr("node IS NULL OR (kept AND main)")
+    )
+    ids = written(
+        found.where("doc_id IS NOT NULL")
+        .groupBy("doc_id")
+        .agg(F.bool_or("stays").alias("any"), F.expr("count(*) > 1 AND count(node) > 0").alias("mixed")),
+        "ids",
+    )
+    # Rows that their id tells apart go or stay by it; the others by id and text.
+    named = without(documents, ids.where("NOT any OR mixed").select("doc_id"))
+    mixed = ids.where("any AND mixed").select("doc_id")
+    nameless = documents.where(F.col("doc_id").cast("long").isNull())
+    named = named.where(F.col("doc_id").cast("long").isNotNull())
+    return named.unionByName(
+        _one_of_each_text(nameless, found.where("stays AND doc_id IS NULL"))
+    ).unionByName(
+        _one_of_each_text(
+            _with_ids(documents, mixed), found.where("stays").join(mixed, "doc_id", "left_semi")
+        )
+    )
+
+
+def _with_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    ids = ids.toDF("wanted")
+    return documents.join(ids, documents["doc_id"].cast("long") == ids["wanted"], "left_semi")
+
+
+def _one_of_each_text(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One of the rows of each id and text in ``wanted``, and all rows without words; all columns."""
+
+    @F.arrow_udf("binary")
+    def node_of(texts: pa.Array) -> pa.Array:
+        words = [normal_words(t.as_py() or "") for t in texts]
+        return pa.array([_node(w) if w else None for w in words], pa.binary())
+
+    node, number = (_free(documents, name) for name in ("node", "number"))
+    rows = documents.withColumn(node, node_of("text")).withColumn(number, F.col("doc_id").cast("long"))
+    wanted = wanted.where("node IS NOT NULL").select("node", "doc_id").distinct().toDF("a", "b")
+    # One row of each id and text first, so that many copies are not joined in one place.
+    one = rows.where(F.col(node).isNotNull()).dropDuplicates([node, number])
+    kept = one.join(
+        wanted, (one[node] == wanted["a"]) & one[number].eqNullSafe(wanted["b"]), "left_semi"
+    )
+    return rows.where(F.col(node).isNull()).unionByName(kept).drop(node, number)
+
+
+def _free(documents: DataFrame, name: str) -> str:
+    """A column name that the documents do not have."""
+    taken = {column.lower() for column in documents.columns}
+    while name in taken:
+        name += "_"
+    return name
