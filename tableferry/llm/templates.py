@@ -24,8 +24,11 @@ from pyspark.sql import functions as F
 
 from tableferry.llm.common import written
 
-#: A class is valid if this share of the host's pages has it, and at least so many pages.
+#: A token is template if this share of the host's different pages has it, and at least so many of them.
+#: Pages with the same main text count as one, so copies of an article do not make it a template.
 SUPPORT, MIN_PAGES = 0.6, 4
+#: Outside articles so many will do.
+MIN_OUTSIDE = 2
 
 MARKUP = re.compile(
     r"<(?:"
@@ -51,6 +54,7 @@ BREAKS = frozenset(
     "p h1 h2 h3 h4 h5 h6 li dt dd tr td th caption blockquote pre address figcaption hr legend "
     "summary option thead tbody tfoot hgroup center".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Parts that are never main text, by tag, role and words of class and id.
 OUTSIDE_TAGS = frozenset("head nav aside footer form menu dialog select button fieldset".split())
@@ -68,7 +72,7 @@ OUTSIDE_WORDS = re.compile(
 INNER = frozenset(("article", "main"))
 SPACE = re.compile(r"\s+")
 
-TOKENS = "host string, page long, kind string, token long, path string, times long, chars long"
+TOKENS = "host string, content long, kind string, token long, path string, chars long"
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 
@@ -79,6 +83,7 @@ class Block:
     outside: bool  # in a part that is never main text
     inner: bool  # in an article or main part
     linked: int  # characters inside links
+    heading: bool = False
 
 
 def parse(source: str) -> tuple[list[str], list[Block]]:
@@ -88,6 +93,7 @@ def parse(source: str) -> tuple[list[str], list[Block]]:
     stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
     parts: list[str] = []
     links = linked = 0
+    heading = False
 
     def flush() -> None:
         nonlocal linked
@@ -96,7 +102,7 @@ def parse(source: str) -> tuple[list[str], list[Block]]:
             parts.clear()
             if text:
                 _, path, outside, inner = stack[-1]
-                blocks.append(Block(path, text, outside, inner, linked))
+                blocks.append(Block(path, text, outside, inner, linked, heading))
         linked = 0
 
     def add(text: str) -> None:
@@ -121,6 +127,7 @@ def parse(source: str) -> tuple[list[str], list[Block]]:
         elif name in STRUCTURE:
             flush()
             links = 0
+            heading = False
             if match["end"]:
                 open_tags = [entry[0] for entry in stack]
                 if name in open_tags:
@@ -135,6 +142,7 @@ def parse(source: str) -> tuple[list[str], list[Block]]:
                 stack.append((name, path, outside or own, inner or (name in INNER and not own)))
         elif name in BREAKS:
             flush()
+            heading = name in HEADINGS and not match["end"]
     if at < len(source):
         add(source[at:])
     flush()
@@ -166,20 +174,34 @@ def _token(kind: str, path: str, text: str = "") -> int:
     return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
 
 
-def tokens_of(source: str) -> list[tuple[str, int, str, int, int]]:
-    """Kind, token, path, times and characters (outside links) of the tokens of a page."""
+def block_token(block: Block) -> tuple[str, int]:
+    """Kind and token of a block; what stands inside an article is told from what does not."""
+    kind = "inner" if block.inner and not block.outside else "text"
+    return kind, _token(kind, block.path, block.text)
+
+
+def tokens_of(source: str) -> list[tuple[int, str, int, str, int]]:
+    """Content, kind, token, path and characters (outside links) of the tokens of a page.
+
+    The content tells pages of different main text apart: what stands in articles, else what is not
+    outside the main text. A token ``page`` stands for the page itself. Headings of an article belong
+    to it, however many articles share them.
+    """
     paths, blocks = parse(source)
-    times: Counter = Counter()
+    slots = [b for b in blocks if not b.outside]
+    main = [b for b in slots if b.inner] or slots
+    content = _token("content", "", "\0".join(b.text for b in main))
+    found = {("page", 0, ""), *(("tag", _token("tag", path), path) for path in paths)}
     chars: Counter = Counter()
-    for path in paths:
-        times["tag", _token("tag", path), path] += 1
     for block in blocks:
-        times["text", _token("text", block.path, block.text), block.path] += 1
+        kind, token = block_token(block)
+        if kind == "text" or not block.heading:
+            found.add((kind, token, block.path))
         if not block.outside:
             chars["tag", _token("tag", block.path), block.path] += max(
                 0, len(block.text) - block.linked
             )
-    return [(*key, count, chars[key]) for key, count in times.items()]
+    return [(content, *key, chars[key]) for key in found | set(chars)]
 
 
 def host() -> Column:
@@ -193,45 +215,40 @@ def templates(pages: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                (name, page, *token)
-                for name, page, source in zip(
+                (name, *token)
+                for name, source in zip(
                     batch.column("host").to_pylist(),
-                    batch.column("page").to_pylist(),
                     batch.column("html").to_pylist(),
                     strict=True,
                 )
                 for token in tokens_of(source or "")
             ]
-            columns = zip(*rows, strict=True) if rows else [[]] * 7
-            kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), *[pa.int64()] * 2)
+            columns = zip(*rows, strict=True) if rows else [[]] * 6
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                 names=[part.split()[0] for part in TOKENS.split(", ")],
             )
 
-    known = pages.select(
-        host().alias("host"), F.xxhash64("page_id", "url", "html").alias("page"), "html"
-    ).where("host IS NOT NULL")
-    sizes = known.groupBy("host").agg(F.count("*").alias("n_pages"))
-    vectors = (
+    known = pages.select(host().alias("host"), "html").where("host IS NOT NULL")
+    # One row a token and content before tokens meet, so a token of all pages is not in one place.
+    tokens = (
         known.mapInArrow(work, TOKENS)
+        .groupBy("host", "kind", "token", "content")
+        .agg(F.first("path").alias("path"), F.max("chars").alias("chars"))
         .groupBy("host", "kind", "token")
-        .agg(
-            F.count("*").alias("support"),
-            # The occurrence vector: equal sums, equal vectors (but for chance).
-            F.sum((F.col("page") * F.col("times").cast("decimal(19,0)")).cast("decimal(38,0)")).alias("vector"),
-            F.first("path").alias("path"),
-            F.sum("chars").alias("chars"),
-        )
-        .where(F.col("support") >= MIN_PAGES)
+        .agg(F.count("*").alias("support"), F.first("path").alias("path"), F.sum("chars").alias("chars"))
+        .where(F.col("support") >= MIN_OUTSIDE)
     )
-    frequent = vectors.join(sizes, "host").where(F.col("support") >= SUPPORT * F.col("n_pages"))
-    classes = frequent.groupBy("host", "vector").agg(
-        F.collect_list(F.when(F.col("kind") == "text", F.col("token"))).alias("texts"),
-        F.max(F.when(F.col("kind") == "tag", F.struct("chars", "path"))).alias("part"),
+    tokens = written(tokens, "tokens")
+    sizes = tokens.where("kind = 'page'").select("host", F.col("support").alias("n_contents"))
+    least = F.when(F.col("kind") == "inner", MIN_PAGES).otherwise(MIN_OUTSIDE)
+    frequent = tokens.join(sizes, "host").where(
+        (F.col("support") >= least) & (F.col("support") >= SUPPORT * F.col("n_contents"))
     )
-    return classes.groupBy("host").agg(
-        F.flatten(F.collect_list("texts")).alias("texts"), F.max("part")["path"].alias("part")
+    return frequent.groupBy("host").agg(
+        F.collect_list(F.when(F.col("kind").isin("text", "inner"), F.col("token"))).alias("texts"),
+        F.max(F.when(F.col("kind") == "tag", F.struct("chars", "path")))["path"].alias("part"),
     )
 
 
@@ -245,7 +262,7 @@ def extract(source: str, texts: set[int], part: str | None) -> str:
     elif part is not None:
         own = [b for b in slots if b.path == part or b.path.startswith(part + "/")]
         slots = own or slots
-    kept = [b.text for b in slots if not texts or _token("text", b.path, b.text) not in texts]
+    kept = [b.text for b in slots if not texts or block_token(b)[1] not in texts]
     return "\n\n".join(kept)
 
 
