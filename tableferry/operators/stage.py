@@ -29,8 +29,17 @@ WRITE_OPTIONS = {
 # How long to wait for the count of a finished write.
 OBSERVE_SECONDS = 120.0
 
+# Most seconds before a further attempt of a write.
+LONGEST_WAIT = 60.0
+
+
+def waits_of(attempts: int) -> tuple[float, ...]:
+    """Seconds before each attempt of a write but the first: 1, 2, 4 and so on."""
+    return tuple(min(2.0**i, LONGEST_WAIT) for i in range(attempts - 1))
+
+
 # Seconds before the second and the third attempt of a write.
-WAITS = (1.0, 2.0)
+WAITS = waits_of(3)
 
 # SQLSTATE classes 22 (data exception) and 42 (syntax or access rule): trying again cannot help.
 _LASTING = re.compile(r"SQLSTATE: (22|42)")

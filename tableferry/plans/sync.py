@@ -20,7 +20,7 @@ from tableferry.operators.audit import (
     audit_record,
     ensure_audit_table,
 )
-from tableferry.operators.stage import WAITS, load_staging
+from tableferry.operators.stage import load_staging, waits_of
 from tableferry.operators.target import STAGING, Target
 from tableferry.operators.validate import json_types_ok, validate_count
 from tableferry.plans.report import run_report, run_summary
@@ -77,6 +77,10 @@ class SyncOptions:
     projection: ProjectionOptions = ProjectionOptions()
     clock: Callable[[], datetime] = utc_now
 
+    def __post_init__(self):
+        if self.write_attempts < 1:
+            raise ValueError(f"write_attempts must be 1 or more, not {self.write_attempts}")
+
 
 def new_result(table: str, status: str = FAILED, error: str | None = None, counts=True) -> dict:
     known = 0 if counts else None
@@ -112,7 +116,7 @@ def load_table(
         target.restore_if_missing(table)
         columns = source.columns(table)
         rows = project(source.read(table), columns, moment, options.projection)
-        waits = WAITS[: options.write_attempts - 1]
+        waits = waits_of(options.write_attempts)
         written = load_staging(rows, target, table, waits, options.write_options)
         if written is None:
             log.warning("%s: rows written not reported, counting the source", table)

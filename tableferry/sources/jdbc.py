@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import math
+import re
 import threading
 from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
@@ -13,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tableferry.functions.projection import quote_identifier
 from tableferry.functions.types import SourceColumn
@@ -20,6 +22,9 @@ from tableferry.sources.base import Source, introspect_columns
 
 log = logging.getLogger(__name__)
 
+# A database that lacks what page ranges are asked with; any other error is one of the table.
+_LACKING = re.compile(r"does not exist|not supported", re.I)
+
 
 def quote_name(name: str) -> str:
     """Double-quoted identifier for the source database, embedded quotes doubled."""
@@ -71,12 +76,19 @@ def sql_literal(value) -> str:
     return str(value)
 
 
-def range_predicates(key: str, starts: Sequence) -> list[str]:
+def range_predicates(key: str, starts: Sequence, places: Sequence[int] | None = None) -> list[str]:
     """Disjoint ranges of a key that together cover a table, from the first key of each of its
-    tiles. A key that starts several tiles gets a range of its own. Rows without a key, and keys
+    tiles. ``places``: where the database sorts each of them, equal ones in one place; without,
+    they are sorted here, which is right for numbers, dates and instants, not for text. A key that starts several tiles gets a range of its own. Rows without a key, and keys
     below the first that turn up while the table is read, share the last range."""
-    counts = Counter(starts)
-    bounds = sorted(counts)
+    if places is None:
+        counts = Counter(starts)
+        bounds = sorted(counts)
+    else:
+        # One spelling for each place: keys that the database takes as equal share a range.
+        spelled = dict(zip(places, starts, strict=True))
+        bounds = [spelled[place] for place in sorted(spelled)]
+        counts = Counter(spelled[place] for place in places)
     predicates = []
     for i, low in enumerate(bounds):
         literal = sql_literal(low)
@@ -201,10 +213,18 @@ class JdbcSource(Source):
         # The database cuts the sorted keys into tiles of equal size; one row per tile comes back.
         key = quote_name(split.column)
         parts = split.parts or self.max_connections
-        starts = self._query(
-            f"SELECT MIN(k) AS start FROM (SELECT {key} AS k, NTILE({parts}) OVER (ORDER BY {key})"
+        tiles = (
+            f" FROM (SELECT {key} AS k, NTILE({parts}) OVER (ORDER BY {key})"
             f" AS tile FROM {name} WHERE {key} IS NOT NULL) t GROUP BY tile"
         )
+        starts = self._query(f"SELECT MIN(k) AS start{tiles}")
+        if isinstance(starts.schema[0].dataType, StringType):
+            # How text is sorted, and what is equal, is the collation's to say.
+            rows = self._query(
+                f"SELECT start, DENSE_RANK() OVER (ORDER BY start) AS place"
+                f" FROM (SELECT MIN(k) AS start{tiles}) s"
+            ).collect()
+            return range_predicates(key, [row[0] for row in rows], [int(row[1]) for row in rows])
         return range_predicates(key, [row[0] for row in starts.collect()])
 
     def _page_ranges(self, name: str, parts: int | None) -> list[tuple[str, list[str]]]:
@@ -220,6 +240,8 @@ class JdbcSource(Source):
                 f" (SELECT relid::oid FROM pg_partition_tree({table}) WHERE isleaf)"
             ).collect()
         except Exception as error:
+            if not _LACKING.search(str(error)):
+                raise
             log.warning("%s: no page ranges, read by one task: %s", name, error)
             stored = []
         total = sum(row.bytes for row in stored)
