@@ -1,12 +1,10 @@
-"""Main text of web pages by template deduction over pages of one host.
+"""Main text of web pages by tag rules and the texts that pages of one host repeat.
 
 Tokens of a page are its structural tags (told apart by their path) and its text blocks (told apart by
-path and words). A token's occurrence vector is how often each page of the host has it; tokens with one
-vector are an equivalence class, and a class is valid if enough pages of the host have it. Vectors are
-compared by a sum of page hashes, which Spark adds up in parts, so a host with very many pages is
-never in one place. Valid classes, nested by their paths, are the host's template: text in them is
-boilerplate, and what is left are slots. The main text are the slots inside the article, or, where no
-page part says so, inside the template's part with the most text of its own.
+path and words). Tokens that enough different pages of a host have are its template: text in them is
+boilerplate. The main text is what else stands inside the article, or, where no page part says so,
+inside the template's part with the most text. Equivalence classes of tokens by occurrence vectors are
+not formed: no class is validated or nested, and no slots are deduced from them.
 """
 
 from __future__ import annotations
