@@ -10,15 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tableferry.llm.common import new_folder, ship, table
 from tableferry.llm.decontaminate import leaks
+from tableferry.llm.hard_negatives import hard_negatives
 from tableferry.llm.language import identify
 from tableferry.llm.licenses import scan_licenses
 from tableferry.llm.near_dups import SIMILARITY, near_duplicates
 from tableferry.llm.pieces import encode_digest
 from tableferry.llm.quality import quality
 from tableferry.llm.secret_scan import scan
+from tableferry.llm.spelling import spelling_variants
 from tableferry.llm.templates import main_text
 from tableferry.llm.token_counts import count_tokens
 from tableferry.llm.token_files import token_files
+from tableferry.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,6 +85,21 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@shipped
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@shipped
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+@shipped
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -95,5 +113,8 @@ QUERIES: dict[str, Query] = {
         op8_token_counts,
         op9_quality_ledger,
         op10_decontaminate,
+        op11_toxicity,
+        op12_hard_negatives,
+        op13_spelling_variants,
     )
 }

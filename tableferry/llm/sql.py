@@ -64,7 +64,33 @@ FROM documents d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT doc_id, min(other) AS c FROM reach GROUP BY doc_id) m ON m.doc_id = d.doc_id
 """
 
+HARD_NEGATIVES = """
+WITH rows AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike,
+         CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor, anchor_id, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS w
+  FROM scored WHERE alike QUALIFY w <= 5),
+negatives AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score,
+         s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor, p.w ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON s.anchor = p.anchor AND NOT s.alike
+    AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT * FROM negatives WHERE rank <= 3
+"""
+
 ORACLE: dict[str, str] = {
+    "op12_hard_negatives": HARD_NEGATIVES,
     "op1_near_dups": NEAR_DUPS,
     "op9_quality_ledger": QUALITY,
 }
