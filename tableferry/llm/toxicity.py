@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 
 #: n-grams are hashed into so many places.
 PLACES = 1 << 20
-ORDERS = (3, 5, 7)
+ORDERS = (3, 4, 6, 8)
 #: Bounds of the labelled rows, per class: for the counts, and of these for the fit.
 COUNT_ROWS = 400_000
-FIT_ROWS = 1_000
+FIT_ROWS = 3_000
 #: Added to each count of the toxic class, and in proportion to the clean one.
 SMOOTHING = 1.0
 #: Standard errors by which a ratio is drawn towards zero.
