@@ -206,7 +206,7 @@ def ratios_of(counts: np.ndarray, texts: np.ndarray) -> np.ndarray:
 
 
 def sampled(rows: DataFrame, wanted: np.ndarray) -> list:
-    """``toxic, places`` of the documents chosen for the fit, one row of each id."""
+    """``doc_id, toxic, places`` (32-bit numbers) of the documents chosen for the fit, one row of each id."""
     marks = rows.sparkSession.sparkContext.broadcast(wanted)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,25 +216,28 @@ def sampled(rows: DataFrame, wanted: np.ndarray) -> list:
                 [
                     batch.column("doc_id"),
                     batch.column("toxic"),
-                    pa.array([p.astype(np.int32) for p in places], pa.list_(pa.int32())),
+                    pa.array([p.astype("<u4").tobytes() for p in places], pa.binary()),
                 ],
                 names=["doc_id", "toxic", "places"],
             )
 
-    found = rows.where("fit").mapInArrow(work, "doc_id long, toxic int, places array<int>")
-    order = Window.partitionBy("doc_id").orderBy(F.size("places"), F.hash("places"))
+    found = rows.where("fit").mapInArrow(work, "doc_id long, toxic int, places binary")
+    order = Window.partitionBy("doc_id").orderBy("places")
     one = found.withColumn("rank", F.row_number().over(order)).where("rank = 1")
     return sorted(one.select("doc_id", "toxic", "places").collect(), key=lambda r: r["doc_id"])
 
 
 def solve(rows: list, ratios: np.ndarray) -> Model:
     """Logistic regression on the scaled features; both classes weigh the same."""
-    texts = [np.array(r["places"], dtype=np.int64) for r in rows]
+    places = np.flatnonzero(ratios)
+    column_of = np.zeros(PLACES, dtype=np.int32)
+    column_of[places] = np.arange(len(places))
+    texts = [np.frombuffer(r["places"], dtype="<u4") for r in rows]
     labels = np.array([r["toxic"] for r in rows], dtype=np.float64)
     share = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum()))
-    values = np.concatenate([scaled(ratios[t]) for t in texts])
-    places, column = np.unique(np.concatenate(texts), return_inverse=True)
-    row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    values = np.concatenate([scaled(ratios[t]).astype(np.float32) for t in texts])
+    column = np.concatenate([column_of[t] for t in texts])
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in texts])
     weights, constant = np.full(len(places), STEP), 0.0
     size, size_constant = np.full(len(places), 1e-10), 1e-10
     for _ in range(ROUNDS):
