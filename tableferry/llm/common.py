@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
-from contextlib import suppress
+from contextlib import contextmanager, suppress
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +21,17 @@ from tableferry.storage import delete_folder
 
 #: So many ids (8 bytes each) may be broadcast.
 BROADCAST_IDS = 1_000_000
+#: Bound of each of the two halves of :class:`Remembered`: characters, and so many for each piece.
+CACHE_CHARS, PIECE_CHARS = 24_000_000, 50
+#: Bytes of a batch of rows on its way to a Python worker.
+BATCH_BYTES = 16 << 20
 _folders: dict[str, SparkSession] = {}
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application."""
+    """Give the executors this package, once per application, and batches of bounded size."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     application = spark.sparkContext.applicationId
     if application in _shipped:
         return
@@ -79,6 +85,44 @@ def slices(texts: Iterable[str | None], limit: int) -> Iterator[list[str]]:
         yield run
 
 
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """Without Python's search for cycles, which walks long lists of pieces again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
+class Remembered:
+    """What a worker has worked out for pieces of text.
+
+    ``young`` holds what was asked for of late, and an older half what was asked for before; when the
+    young half is full it becomes the old one. Bounded by characters, so that long pieces are soon gone.
+    """
+
+    def __init__(self, limit: int = CACHE_CHARS):
+        self.limit = limit
+        self.young: dict = {}
+        self.old: dict = {}
+        self.size = 0
+
+    def missing(self, wanted: Iterable[set[str]]) -> set[str]:
+        """The pieces that have to be worked out and put into ``young``; all others are in it now."""
+        if self.size > self.limit:
+            self.old, self.young, self.size = self.young, {}, 0
+        new: set[str] = set()
+        for pieces in wanted:
+            new.update(pieces.difference(self.young))
+        self.size += sum(map(len, new)) + PIECE_CHARS * len(new)
+        known = new & self.old.keys()
+        self.young.update((piece, self.old[piece]) for piece in known)
+        return new - known
+
+
 def without(documents: DataFrame, ids: DataFrame) -> DataFrame:
     """The documents whose ``doc_id`` is not among ``ids`` (one long column); null ids stay.
 

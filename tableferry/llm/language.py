@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: n-grams are hashed into so many places.
@@ -23,7 +23,8 @@ ORDERS = (1, 2, 3)
 #: Bounds of the labelled sample: landmarks, and rows for the fit, per language (about).
 LANDMARKS = 24
 FIT_ROWS = 300
-#: Languages with fewer labelled rows are learned from what there is; more languages than this raise.
+#: Languages with fewer labelled rows are learned from what there is; of more languages than this, those
+#: with the most labelled rows are learned.
 MAX_LANGUAGES = 400
 RIDGE = 1e-2
 #: Texts scored at a time.
@@ -104,20 +105,20 @@ def held_out() -> Column:
 
 
 def sample(documents: DataFrame) -> list:
-    """Presence of a bounded choice of labelled documents, about as many of each language.
+    """Presence of a bounded choice of labelled documents, at most so many of each language.
 
-    The choice is by a hash of the id within the share that the language's size allows, so it is
-    made where the rows are; only places of n-grams come to the driver.
+    The choice is by a hash of id and text within the share that the language's size allows, so it is
+    made where the rows are; of rows with equal hashes, too, no more than wanted are taken. Only places
+    of n-grams come to the driver.
     """
     training = documents.where(F.col("lang").isNotNull() & ~F.coalesce(held_out(), F.lit(False)))
-    sizes = {r["lang"]: r["count"] for r in training.groupBy("lang").count().collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"{len(sizes)} languages")
+    counted = training.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    sizes = {r["lang"]: r["count"] for r in counted.collect()}
     wanted = LANDMARKS + FIT_ROWS
-    rank = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000_000))
+    rank = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000_000))
     share = F.lit(0)
     for lang, size in sorted(sizes.items()):
-        share = F.when(F.col("lang") == lang, int(1e9 * min(1.0, wanted / size))).otherwise(share)
+        share = F.when(F.col("lang") == lang, int(1e9 * min(1.0, 1.2 * wanted / size))).otherwise(share)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,7 +128,14 @@ def sample(documents: DataFrame) -> list:
                 names=["lang", "rank", "places"],
             )
 
-    chosen = training.where(rank < share).select("text", "lang", rank.alias("rank"))
+    order = Window.partitionBy("lang").orderBy("rank")
+    chosen = (
+        training.where(rank < share)
+        .select("text", "lang", rank.alias("rank"))
+        .withColumn("nth", F.row_number().over(order))
+        .where(F.col("nth") <= wanted)
+        .select("text", "lang", "rank")
+    )
     found = chosen.mapInArrow(work, "lang string, rank long, places array<int>").collect()
     return sorted(found, key=lambda r: (r["rank"], r["lang"], r["places"]))
 

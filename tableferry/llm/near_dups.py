@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableferry.llm.common import BROADCAST_IDS, without, written
+from tableferry.llm.common import BROADCAST_IDS, slices, without, written
 
 WORDS = 5
 SIMILARITY = 85  # per cent
@@ -47,6 +47,8 @@ _SHIFT = _rng.integers(0, 1 << 32, COORDINATES, dtype=np.uint32)
 
 SIGNED = "doc_id long, node binary, n_shingles long, signature array<int>"
 TEXTS = "node binary, text string"
+#: Characters of text that a worker holds at a time.
+SLICE_CHARS = 4_000_000
 #: Lists of more members than this are compared in cells of blocks of about so many members.
 SHORT_LIST, BLOCK = 48, 512
 
@@ -234,14 +236,15 @@ def texts_of(documents: DataFrame, members: DataFrame) -> DataFrame:
 def _normal_texts(rows: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [normal_words(t.as_py() or "") for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([_node(w) for w in words], pa.binary()),
-                    pa.array([w.decode("utf-8", "surrogatepass") for w in words], pa.string()),
-                ],
-                names=["node", "text"],
-            )
+            for texts in slices((t.as_py() for t in batch.column("text")), SLICE_CHARS):
+                words = [normal_words(text) for text in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([_node(w) for w in words], pa.binary()),
+                        pa.array([w.decode("utf-8", "surrogatepass") for w in words], pa.string()),
+                    ],
+                    names=["node", "text"],
+                )
 
     return rows.select("text").mapInArrow(work, TEXTS)
 

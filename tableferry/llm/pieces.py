@@ -23,13 +23,11 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2
 
-from tableferry.llm.common import slices
+from tableferry.llm.common import Remembered, no_collection, slices
 
 MARK = "▁"
 MARK_BYTES = MARK.encode("utf-8")
 CUT = re.compile(f"(?<=[^{MARK}])(?={MARK})")
-#: Stretches whose ids a worker remembers; beyond it, it starts anew.
-CACHE_ENTRIES = 300_000
 #: Characters of text that a worker encodes at a time.
 SLICE_CHARS = 1_000_000
 
@@ -168,8 +166,9 @@ class PieceCodec:
         self.widths[self.end] = 0
         self.may_be_unknown = not any(p.type == kinds.BYTE for p in proto.pieces)
         self.decimals = list(map(str, range(len(proto.pieces))))
-        self.known: dict[str, bytes] = {}
+        self.known = Remembered()
 
+    @no_collection()
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Of each text: its ids, and begin and end of the source bytes that each stands for.
 
@@ -178,16 +177,9 @@ class PieceCodec:
         """
         normal = [self.normalizer(text) for text in texts]
         cut = [self._stretches(n.decode("utf-8")) for n, _ in normal]
-        known = self.known
-        new: set[str] = set()
-        for stretches in cut:
-            new.update(set(stretches).difference(known))
-        if len(known) + len(new) > CACHE_ENTRIES:
-            known.clear()
-            new = {s for stretches in cut for s in stretches}
-        self._learn(list(new))
+        self._learn(list(self.known.missing(map(set, cut))))
         out = []
-        get, end = known.__getitem__, np.array([self.end], dtype="<i4").tobytes()
+        get, end = self.known.young.__getitem__, np.array([self.end], dtype="<i4").tobytes()
         for stretches, (text, source) in zip(cut, normal, strict=True):
             ids = np.frombuffer(b"".join(map(get, stretches)) + end, dtype="<i4")
             bounds = np.zeros(len(ids) + 1, dtype=np.int64)
@@ -215,7 +207,7 @@ class PieceCodec:
         raw = np.fromiter(chain.from_iterable(found), dtype="<i4").tobytes()
         ends = [4 * n for n in accumulate(map(len, found))]
         begins = [0, *ends]
-        self.known.update(
+        self.known.young.update(
             (stretch, raw[a:b]) for stretch, a, b in zip(new, begins, ends, strict=False)
         )
 

@@ -32,7 +32,7 @@ RUN = r"[A-Za-z0-9+/_=-]{16,}"
 #: Key characters lie between the codes of "+" and "z".
 FIRST, CODES = 0x2B, 0x7B - 0x2B
 KEY_CHARACTERS = 66
-#: About so many documents (chosen by a hash of the id) give the labelled samples.
+#: About so many documents (chosen by a hash of id and text) give the labelled samples.
 SAMPLE_DOCUMENTS = 400
 SMOOTHING = 0.5
 #: The ratio that a run needs, in thousandths of a natural logarithm.
@@ -66,11 +66,14 @@ class MarkovModel:
 
 
 def samples(documents: DataFrame) -> DataFrame:
-    """Labelled strings: ``value, random`` from a bounded choice of documents."""
+    """Labelled strings: ``value, random`` from a bounded choice of documents, by a hash of id and text."""
     share = min(1.0, SAMPLE_DOCUMENTS / max(1, documents.count()))
     chosen = documents.where(
-        F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)
-    ).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < int(share * 1_000_000)
+    ).select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc_id"),
+        F.coalesce("text", F.lit("")).alias("text"),
+    )
     random = chosen.select(
         F.explode(
             F.expr(
@@ -79,7 +82,7 @@ def samples(documents: DataFrame) -> DataFrame:
                   filter(regexp_extract_all(text, {quoted(ASSIGN)}, 2),
                          v -> length(v) >= {MIN_ASSIGN}),
                   regexp_extract_all(text, 'AKIA[A-Z0-9]{{{MIN_ACCESS - 4},}}', 0),
-                  array(sha2(cast(doc_id AS string), 256),
+                  array(sha2(doc_id, 256),
                         base64(unhex(sha2(concat('a', doc_id), 256))),
                         base64(unhex(sha2(concat('b', doc_id), 512))),
                         lower(base64(unhex(sha2(concat('c', doc_id), 256)))),

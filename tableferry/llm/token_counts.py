@@ -19,13 +19,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tableferry.llm.common import slices
+from tableferry.llm.common import Remembered, no_collection, slices
 
 #: Pattern of the byte-level pre-tokenizer: a fixed value of the format.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SAFE_CUT = regex.compile(r"(?<=\S)(?= \S)", regex.V1)
-#: Counts a worker remembers; beyond it, it starts anew.
-CACHE_ENTRIES = 500_000
 #: Characters of text that a worker splits at a time.
 SLICE_CHARS = 2_000_000
 NO_PAIR = np.int64(1) << 40
@@ -148,14 +146,14 @@ class TokenCounter:
         self.special_cut = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
         self.pattern = regex.compile(PATTERN)
         self.merges = MergeRanks(model["vocab"], model["merges"])
-        self.after_space: dict[str, int] = {}  # by the piece without its space
-        self.literal: dict[str, int] = {}
+        self.after_space = Remembered()  # by the piece without its space
+        self.literal = Remembered()
 
+    @no_collection()
     def counts(self, texts: list[str]) -> list[int]:
         spaced: list[list[str]] = []
         literal: list[list[str]] = []
         extra: list[int] = []
-        new_spaced: set[str] = set()
         for text in texts:
             parts = [text]
             if any(mark in text for mark in self.special):
@@ -164,24 +162,17 @@ class TokenCounter:
             plain, rest = [], []
             for part in parts:
                 head, *tail = part.split(" ")
-                new = set(tail).difference(self.after_space)
+                new = set(tail).difference(self.after_space.young)
                 if safe(head) and all(map(safe, new)):
                     rest.append(head)
                     plain += tail
-                    new_spaced |= new
                 elif part:
                     rest += SAFE_CUT.split(part)
             spaced.append(plain)
             literal.append(rest)
-        if len(self.after_space) + len(new_spaced) > CACHE_ENTRIES:
-            self.after_space.clear()
-            new_spaced = {piece for pieces in spaced for piece in pieces}
-        self._learn(new_spaced, self.after_space, " ")
-        if len(self.literal) > CACHE_ENTRIES // 4:
-            self.literal.clear()
-        new_literal = {piece for pieces in literal for piece in pieces}
-        self._learn(new_literal.difference(self.literal), self.literal, "")
-        after, alone = self.after_space.__getitem__, self.literal.__getitem__
+        self._learn(self.after_space.missing(map(set, spaced)), self.after_space.young, " ")
+        self._learn(self.literal.missing(map(set, literal)), self.literal.young, "")
+        after, alone = self.after_space.young.__getitem__, self.literal.young.__getitem__
         return [
             sum(map(after, a)) + sum(map(alone, b)) + c
             for a, b, c in zip(spaced, literal, extra, strict=True)

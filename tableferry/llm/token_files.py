@@ -21,10 +21,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tableferry.llm.common import slices, table
+from tableferry.llm.common import Remembered, no_collection, slices, table
 
-#: Pieces whose ids a worker remembers; beyond it, it starts anew.
-CACHE_ENTRIES = 400_000
 #: Characters of text that a worker splits at a time.
 SLICE_CHARS = 2_000_000
 SEQUENCE = 2048
@@ -55,8 +53,8 @@ class Encoder:
         size = max(names.values())
         self.dtype = np.dtype("<u2") if max(size, end_id) < 1 << 16 else np.dtype("<u4")
         self.end = np.array([end_id], dtype=self.dtype).tobytes()
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known = Remembered()
+        self.words = Remembered()
         self.ends_word = np.zeros(size + 1, dtype=bool)
         self.ends_word[[i for name, i in names.items() if name.endswith("</w>")]] = True
         if self._ids("A b,! c") != [i for t in ("a", "b", ",!", "c") for i in self._ids(t)]:
@@ -68,36 +66,34 @@ class Encoder:
     def _bytes(self, text: str) -> bytes:
         return np.array(self._ids(text), dtype=self.dtype).tobytes()
 
+    @no_collection()
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with the end id."""
-        known = self.known
         cut = [text.replace("\n", " ").split(" ") for text in texts]
-        new: set[str] = set()
-        for pieces in cut:
-            new.update(set(pieces).difference(known))
-        if len(known) + len(new) > CACHE_ENTRIES:
-            known.clear()
-            new = {piece for pieces in cut for piece in pieces}
-        self._learn(new)
-        get = known.__getitem__
+        self._learn(self.known.missing(map(set, cut)))
+        get = self.known.young.__getitem__
         return [b"".join(map(get, pieces)) + self.end for pieces in cut]
 
     def _learn(self, new: set[str]) -> None:
-        parts: list[tuple[str, str, str]] = []
-        for piece in new:
+        known = self.known.young
+        # Letters alone and letters with marks behind, each with its words; the rest goes as it is.
+        plain = [piece for piece in new if piece.isalpha()]
+        bare = [piece.lower() if piece.isascii() else piece for piece in plain]
+        marked, parts = [], []
+        for piece in new.difference(plain):
             match = LETTERS_AND_MARKS.fullmatch(piece)
             if match and match[1].isalpha():
-                word = match[1].lower() if match[1].isascii() else match[1]
-                parts.append((piece, word, match[2]))
+                marked.append(piece)
+                parts.append((match[1].lower() if match[1].isascii() else match[1], match[2]))
             else:
-                self.known[piece] = self._bytes(piece)
-        if len(self.words) > CACHE_ENTRIES:
-            self.words.clear()
-        self._learn_words(list({w for _, w, _ in parts}.difference(self.words)))
-        for mark in {m for _, _, m in parts}.difference(self.words):
-            self.words[mark] = self._bytes(mark)
-        words = self.words
-        self.known.update((piece, words[word] + words[marks]) for piece, word, marks in parts)
+                known[piece] = self._bytes(piece)
+        marks = {m for _, m in parts}
+        new_words = self.words.missing([set(bare), {w for w, _ in parts}, marks])
+        self._learn_words(list(new_words - marks))
+        words = self.words.young
+        words.update((mark, self._bytes(mark)) for mark in new_words & marks)
+        known.update(zip(plain, map(words.__getitem__, bare), strict=True))
+        known.update(zip(marked, [words[word] + words[end] for word, end in parts], strict=True))
 
     def _learn_words(self, new: list[str]) -> None:
         for at in range(0, len(new), 2000):
@@ -106,10 +102,10 @@ class Encoder:
             ids = np.array(joined[0].ids, dtype=self.dtype)
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             if len(ends) != len(some):  # a letter that the library does not count as one
-                self.words.update((word, self._bytes(word)) for word in some)
+                self.words.young.update((word, self._bytes(word)) for word in some)
                 continue
             raw, bounds = ids.tobytes(), [0, *(ends * self.dtype.itemsize).tolist()]
-            self.words.update(
+            self.words.young.update(
                 (word, raw[a:b]) for word, a, b in zip(some, bounds, bounds[1:], strict=False)
             )
 

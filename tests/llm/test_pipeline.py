@@ -14,7 +14,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
 def test_run_keeps_what_the_stages_keep(spark):
     documents = spark.read.parquet(f"{DATA}/documents.parquet")
     benchmark = spark.read.parquet(f"{DATA}/benchmark.parquet")
-    kept = {r.doc_id for r in near_dups.near_duplicates(documents).collect() if r.kept}
+    near = near_dups.near_duplicates(documents, corpus_pipeline.SIMILARITY)
+    kept = {r.doc_id for r in near.collect() if r.kept}
     leaked = {r.doc_id for r in decontaminate.leaks(documents, benchmark).collect()}
     rows = corpus_pipeline.run(spark, DATA).collect()
     assert {r.doc_id for r in rows} == kept - leaked and len(rows) == len(kept - leaked)
