@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tableferry.registry.queries import EXCLUDED, PLAIN_LOADS, REPORT_TITLE, TABLES
+from tableferry.registry.queries import EXCLUDED, MIDDLE, PLAIN_LOADS, REPORT_TITLE, TABLES
 
 # Columns of the given tables.
 COLUMNS = {
@@ -145,6 +145,85 @@ def _row_hash(table: str, key: str, *parts: str) -> str:
     return f"""SELECT {key}, md5('[' || {row} || ']') AS "ROW_HASH" FROM {table}"""
 
 
+# Columns that are neither numbers nor text in double quotes.
+_MOMENTS = ("o_orderdate", "l_shipdate", "ts")
+_TEXTS = """
+    r_name n_name c_name c_mktsegment s_name p_name p_brand p_type o_orderstatus o_orderpriority l_returnflag
+    l_linestatus event_type text lang source url html role
+""".split()
+_FLOATS = """
+    '[' || list_aggregate(list_transform(embedding, lambda x: CAST(x AS VARCHAR)), 'string_agg', ', ') || ']'
+"""
+_ALL_COLUMNS = COLUMNS | {
+    "events": "event_id ts user_id event_type value props",
+    "embeddings": "vec_id embedding label",
+}
+
+
+def _checksum(table: str) -> str:
+    def part(column: str) -> str:
+        if column in _MOMENTS:
+            return _moment(column)
+        if column in _TEXTS:
+            return _json_text(column)
+        return {"props": "props", "embedding": _FLOATS}.get(column, _number(column))
+
+    hashed = _row_hash(table, "1 AS one", *map(part, _ALL_COLUMNS[table].split()))
+
+    def half(start: int) -> str:
+        number = f"""CAST('0x' || substr("ROW_HASH", {start}, 16) AS UBIGINT)"""
+        return f"CAST(COALESCE(SUM({number}), 0) AS VARCHAR)"
+
+    return f"""
+        SELECT '{table}' AS table_name, COUNT(*) AS row_count,
+               COUNT(*) || ':' || {half(1)} || ':' || {half(17)} AS checksum FROM ({hashed})
+    """
+
+
+_VERSIONS = """
+    new AS (
+        SELECT CASE WHEN o_orderkey % 50 <> 8 THEN o_orderkey END AS k, o_custkey, o_totalprice, o_orderpriority
+        FROM orders),
+    old AS (
+        SELECT CASE WHEN o_orderkey % 50 <> 8 THEN o_orderkey END AS k, o_custkey,
+               CASE WHEN o_orderkey % 10 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+               CASE WHEN o_orderkey % 50 = 8 AND o_custkey % 2 = 0 THEN 'none' ELSE o_orderpriority END
+                   AS o_orderpriority
+        FROM orders WHERE o_orderkey % 10 <> 3
+        UNION ALL SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders WHERE o_orderkey % 25 = 0
+        UNION ALL SELECT CASE WHEN (o_orderkey + 1000000000) % 50 <> 8 THEN o_orderkey + 1000000000 END, o_custkey,
+                         o_totalprice, o_orderpriority FROM orders WHERE o_orderkey % 10 = 7)
+"""
+
+_LINEITEM_PARTS = [
+    *(_number(c) for c in COLUMNS["lineitem"].split()[:8]),
+    _json_text("l_returnflag"),
+    _json_text("l_linestatus"),
+    _moment("l_shipdate"),
+]
+
+
+def _altered(parts: list[str], n_old: int) -> str:
+    key = "l_orderkey, l_partkey, l_linenumber"
+    chosen = "(SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem ORDER BY ALL LIMIT 3)"
+    hashed = _row_hash("lineitem", f"{key}, l_suppkey", *parts)
+    return f"""
+        SELECT {key}, "ROW_HASH" AS row_hash, CAST({n_old} * COUNT(*) AS BIGINT) AS n_old,
+               CAST({1 - n_old} * COUNT(*) AS BIGINT) AS n_new
+        FROM ({hashed}) WHERE (l_orderkey, l_linenumber, l_partkey, l_suppkey) IN {chosen} GROUP BY ALL
+    """
+
+
+_INCREMENTS = f"""
+    SELECT {STAMP} AS "LOAD_START", COUNT(*) AS "ROWS_LOADED", epoch_us(MAX(ts)) AS "LAST_SOURCE_ID"
+    FROM events WHERE ts < TIMESTAMP '{MIDDLE}'
+    UNION ALL
+    SELECT {LATER}, COUNT(*) FILTER (ts >= TIMESTAMP '{MIDDLE}'), epoch_us(MAX(ts)) FROM events
+    UNION ALL
+    SELECT TIMESTAMP '2024-01-03 00:00:00', 0, epoch_us(MAX(ts)) FROM events
+"""
+
+
 def _head(column: str) -> str:
     return f"substr(COALESCE({column}, ''), 1, 50)"
 
@@ -336,4 +415,25 @@ ORACLE: dict[str, str] = {
     "purge_totals": f"""
         SELECT COUNT(*) AS messages, COUNT(*) FILTER ({_PURGE}) AS purged FROM conversations
     """,
+    "change_sets": f"""
+        WITH {_VERSIONS},
+        d AS (SELECT * EXCLUDE (s), SUM(s) AS delta
+              FROM (SELECT *, 1 AS s FROM new UNION ALL SELECT *, -1 FROM old) GROUP BY ALL HAVING SUM(s) <> 0),
+        p AS (SELECT k FROM d WHERE k IS NOT NULL GROUP BY k
+              HAVING SUM(GREATEST(delta, 0)) = 1 AND SUM(GREATEST(-delta, 0)) = 1),
+        f AS (SELECT d.*, p.k IS NOT NULL AS paired FROM d LEFT JOIN p ON d.k = p.k)
+        SELECT CASE WHEN paired THEN 'update' WHEN delta > 0 THEN 'insert' ELSE 'delete' END AS op,
+               CAST(ABS(delta) AS BIGINT) AS copies, k, o_custkey, o_totalprice, o_orderpriority
+        FROM f WHERE NOT paired OR delta > 0
+    """,
+    "change_sets_applied": f"WITH {_VERSIONS} SELECT * FROM new",
+    "table_checksums": " UNION ALL ".join(_checksum(table) for table in TABLES),
+    "checksum_tree_rows": _altered(_LINEITEM_PARTS, 1)
+    + " UNION ALL "
+    + _altered([p.replace("l_quantity", "(l_quantity + 1)") for p in _LINEITEM_PARTS], 0),
+    "incremental_events": f"""
+        SELECT * REPLACE (CASE WHEN "TS" < TIMESTAMP '{MIDDLE}' THEN {STAMP} ELSE {LATER} END AS "LOADED_AT_UTC")
+        FROM ({_EVENTS})
+    """,
+    "incremental_audit": f"""SELECT *, 'INCREMENTAL' AS "LOAD_TYPE", 'SUCCESS' AS "STATUS" FROM ({_INCREMENTS})""",
 }

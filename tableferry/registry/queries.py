@@ -12,15 +12,18 @@ from tableferry.functions.projection import LOAD_STAMP, ProjectionOptions, hex_t
 from tableferry.functions.rowhash import utc_moment, with_row_hash
 from tableferry.functions.types import with_target_types
 from tableferry.operators.audit import AUDIT_TABLE, duplicate_audit_keys
+from tableferry.operators.changes import apply_changes, change_sets
+from tableferry.operators.checksum import Fingerprint, checksums, differing_rows
 from tableferry.operators.counts import count_tables
 from tableferry.operators.messages import message_head, purge_counts, select_purgeable
 from tableferry.operators.target import Target
 from tableferry.operators.validate import check_json_types, target_column_catalog
+from tableferry.plans.increment import LOAD_ID, Cursor, sync_increment
 from tableferry.plans.profile import catalog_profile, list_base_tables, profile_lines, tables_per_schema
 from tableferry.plans.reconcile import mismatch_lines, reconcile, reconcile_lines, total_line
 from tableferry.plans.report import failed, succeeded
 from tableferry.plans.sync import SyncOptions, SyncRun, sync_all, sync_table
-from tableferry.registry.workspace import workspace_target
+from tableferry.registry.workspace import workspace_folder, workspace_target
 from tableferry.sources import (
     FrameSource,
     ParquetSource,
@@ -419,6 +422,96 @@ def purge_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return purge_counts(folder(spark, sf_dir).read("conversations"), PHRASES)
 
 
+# --- changes, checksums, increments -----------------------------------------------------------
+
+
+def order_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two versions of the orders: of the older one rows are missing, altered, repeated and too many;
+    in both some have no key."""
+    key = F.when(F.col("o_orderkey") % 50 != 8, F.col("o_orderkey")).alias("k")
+    rest = ("o_custkey", "o_totalprice", "o_orderpriority")
+    orders = folder(spark, sf_dir).read("orders")
+    number = F.col("o_orderkey")
+    altered = orders.where(number % 10 != 3).withColumns(
+        {
+            "o_totalprice": F.when(number % 10 == 5, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+            "o_orderpriority": F.when(
+                (number % 50 == 8) & (F.col("o_custkey") % 2 == 0), F.lit("none")
+            ).otherwise(F.col("o_orderpriority")),
+        }
+    )
+    gone = orders.where(number % 10 == 7).withColumn("o_orderkey", number + 1_000_000_000)
+    parts = (altered, orders.where(number % 25 == 0), gone)
+    old = parts[0].select(key, *rest)
+    for part in parts[1:]:
+        old = old.unionAll(part.select(key, *rest))
+    return old, orders.select(key, *rest)
+
+
+def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = change_sets(*order_versions(spark, sf_dir), ["k"])
+    return changes.select("op", F.col("copies").cast("bigint").alias("copies"), "row.*")
+
+
+def order_changes_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older version with the changes applied is the newer one."""
+    old, new = order_versions(spark, sf_dir)
+    return apply_changes(old, change_sets(old, new, ["k"]))
+
+
+def table_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checksums(folder(spark, sf_dir), TABLES)
+
+
+def altered_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three altered rows among as many rows as before, found by their buckets."""
+    source = folder(spark, sf_dir)
+    rows, columns_of = source.read("lineitem"), source.columns("lineitem")
+    place = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    chosen = rows.orderBy(*place).limit(3).select(*place, F.lit(1).alias("more"))
+    altered = rows.join(F.broadcast(chosen.distinct()), place, "left").withColumn(
+        "l_quantity", F.col("l_quantity") + F.coalesce("more", F.lit(0))
+    )
+    key = ["l_orderkey", "l_partkey", "l_linenumber"]
+    sides = [
+        Fingerprint(spark, workspace_folder(spark, f"lineitem_{name}"), key).write(version, columns_of)
+        for name, version in (("old", rows), ("new", altered.select(*rows.columns)))
+    ]
+    return differing_rows(*sides)
+
+
+MIDDLE = "2024-01-16 00:00:00"
+LAST_TS = datetime(2024, 1, 3, tzinfo=timezone.utc)
+
+
+def incremental_target(spark: SparkSession, sf_dir: str) -> Target:
+    """Events of the first half of the time, then all of them, then once more nothing new."""
+    target = workspace_target(spark, "increments", sf_dir)
+    target.drop_schema()
+    target.ensure()
+    events = folder(spark, sf_dir).read("events")
+    half = events.where(F.col("ts") < F.lit(MIDDLE).cast("timestamp_ntz"))
+    cursor = Cursor("ts", ["event_id"], overlap=3_600_000_000)
+    for moment, rows in ((LOAD_TS, half), (LATER_TS, events), (LAST_TS, events)):
+        source = FrameSource(spark, {"events": rows}, types=JSON_COLUMNS)
+        result = sync_increment(source, target, "events", cursor, SyncOptions(load_ts=moment))
+        if result["status"] != "SUCCESS":
+            raise RuntimeError(result["error"])
+    return target
+
+
+def incremental_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = incremental_target(spark, sf_dir).read("events").drop(LOAD_ID)
+    return stamped(rows).withColumn("PROPS", F.to_json("PROPS"))
+
+
+def incremental_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audit = incremental_target(spark, sf_dir).read(AUDIT_TABLE)
+    return audit.select(
+        utc_moment(F.col("LOAD_START")).alias("LOAD_START"), "LOAD_TYPE", "ROWS_LOADED", "LAST_SOURCE_ID", "STATUS"
+    )
+
+
 PLAIN_LOADS = tuple(t for t in TABLES if t not in ("events", "embeddings"))
 
 QUERIES: dict[str, Query] = {
@@ -459,4 +552,10 @@ QUERIES: dict[str, Query] = {
     "row_hash_conversations": row_hash("conversations", "conv_id", "turn"),
     "purge_messages": purge_messages,
     "purge_totals": purge_totals,
+    "change_sets": order_changes,
+    "change_sets_applied": order_changes_applied,
+    "table_checksums": table_checksums,
+    "checksum_tree_rows": altered_lineitem,
+    "incremental_events": incremental_events,
+    "incremental_audit": incremental_audit,
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import hashlib
 import re
+import uuid
 from contextlib import suppress
 
 from pyspark.sql import SparkSession
@@ -17,15 +18,26 @@ _targets: list[Target] = []
 _roots: dict[str, SparkSession] = {}
 
 
+def _application_root(spark: SparkSession) -> str:
+    application = re.sub(r"\W+", "_", spark.sparkContext.applicationId).lower()
+    root = f"{shared_root(spark)}/tableferry/{application}"
+    _roots[root] = spark
+    return root
+
+
+def workspace_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder of this application; it goes when the application ends."""
+    return f"{_application_root(spark)}/{purpose}_{uuid.uuid4().hex}"
+
+
 def workspace_target(spark: SparkSession, purpose: str, sf_dir: str) -> Target:
     """A schema of this application for one purpose and data folder.
 
     Running a query again refreshes the same tables, so storage does not grow with runs.
     """
-    application = re.sub(r"\W+", "_", spark.sparkContext.applicationId).lower()
+    root = _application_root(spark)
+    application = root.rsplit("/", 1)[1]
     data = hashlib.md5(str(sf_dir).encode()).hexdigest()[:8]
-    root = f"{shared_root(spark)}/tableferry/{application}"
-    _roots[root] = spark
     target = Target(spark, f"ods_{purpose}_{data}_{application}", root).ensure()
     _targets.append(target)
     return target
