@@ -24,7 +24,7 @@ BROADCAST_IDS = 1_000_000
 #: Bound of each of the two halves of :class:`Remembered`: characters, and so many for each piece.
 CACHE_CHARS, PIECE_CHARS = 24_000_000, 50
 #: Bytes of a batch of rows on its way to a Python worker.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 _folders: dict[str, SparkSession] = {}
 _shipped: set[str] = set()
 
