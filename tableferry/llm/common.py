@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import os
 import tempfile
@@ -12,6 +13,7 @@ from collections.abc import Iterable, Iterator
 from contextlib import contextmanager, suppress
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ BROADCAST_IDS = 1_000_000
 #: Bound of each of the two halves of :class:`Remembered`: characters, and so many for each piece.
 CACHE_CHARS, PIECE_CHARS = 24_000_000, 50
 #: Bytes of a batch of rows on its way to a Python worker.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _folders: dict[str, SparkSession] = {}
 _shipped: set[str] = set()
 
@@ -85,6 +87,13 @@ def slices(texts: Iterable[str | None], limit: int) -> Iterator[list[str]]:
         yield run
 
 
+def tidy() -> None:
+    """Give free memory back at the end of a task: its worker waits for others beside the next stages."""
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 @contextmanager
 def no_collection() -> Iterator[None]:
     """Without Python's search for cycles, which walks long lists of pieces again and again."""

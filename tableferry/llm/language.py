@@ -17,6 +17,8 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tableferry.llm.common import tidy
+
 #: n-grams are hashed into so many places.
 PLACES = 1 << 15
 ORDERS = (1, 2, 3)
@@ -220,5 +222,6 @@ def identified(documents: DataFrame, model: Model | None = None) -> DataFrame:
                 found = learned.predict(batch.column(place).to_pylist())
                 keep = [lang != UNDETERMINED and score >= REJECT_BELOW for lang, score in found]
                 yield batch.filter(pa.array(keep, pa.bool_()))
+        tidy()
 
     return documents.mapInArrow(work, documents.schema)

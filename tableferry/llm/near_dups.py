@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableferry.llm.common import BROADCAST_IDS, slices, without, written
+from tableferry.llm.common import BROADCAST_IDS, slices, tidy, without, written
 
 WORDS = 5
 SIMILARITY = 85  # per cent
@@ -48,7 +48,7 @@ _SHIFT = _rng.integers(0, 1 << 32, COORDINATES, dtype=np.uint32)
 SIGNED = "doc_id long, node binary, n_shingles long, signature array<int>"
 TEXTS = "node binary, text string"
 #: Characters of text that a worker holds at a time.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 #: Lists of more members than this are compared in cells of blocks of about so many members.
 SHORT_LIST, BLOCK = 48, 512
 
@@ -155,6 +155,7 @@ def signed(documents: DataFrame) -> DataFrame:
                 ],
                 names=["doc_id", "node", "n_shingles", "signature"],
             )
+        tidy()
 
     return documents.select("doc_id", "text").mapInArrow(work, SIGNED)
 
@@ -245,6 +246,7 @@ def _normal_texts(rows: DataFrame) -> DataFrame:
                     ],
                     names=["node", "text"],
                 )
+        tidy()
 
     return rows.select("text").mapInArrow(work, TEXTS)
 
@@ -275,6 +277,7 @@ def confirmed(
                 union = len(left) + len(right) - shared
                 keep.append(100 * shared >= similarity * union)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        tidy()
 
     return rows.select("a", "b", "ta", "tb").mapInArrow(work, "a binary, b binary")
 
@@ -319,6 +322,7 @@ def _cells(similarity: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
                 name, rows = cell, []
             rows.append(row)
     yield _links_of(name, rows, similarity)
+    tidy()
 
 
 def _links_of(

@@ -23,13 +23,13 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2
 
-from tableferry.llm.common import Remembered, no_collection, slices
+from tableferry.llm.common import Remembered, no_collection, slices, tidy
 
 MARK = "▁"
 MARK_BYTES = MARK.encode("utf-8")
 CUT = re.compile(f"(?<=[^{MARK}])(?={MARK})")
 #: Characters of text that a worker encodes at a time.
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 250_000
 #: Bound of the pieces that a worker remembers; a tenth of them is asked for most of the time.
 CACHE_CHARS = 4_000_000
 
@@ -285,6 +285,7 @@ def encode_digest(documents: DataFrame, model: str) -> DataFrame:
                     ],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_crc32"],
                 )
+        tidy()
 
     return documents.select("doc_id", "text").mapInArrow(work, DIGEST)
 
