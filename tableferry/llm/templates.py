@@ -1,10 +1,18 @@
-"""Main text of web pages by tag rules and the texts that pages of one host repeat.
-
-Tokens of a page are its structural tags (told apart by their path) and its text blocks (told apart by
-path and words). Tokens that enough different pages of a host have are its template: text in them is
-boilerplate. The main text is what else stands inside the article, or, where no page part says so,
-inside the template's part with the most text. Equivalence classes of tokens by occurrence vectors are
-not formed: no class is validated or nested, and no slots are deduced from them.
+"""Main text of web pages by equivalence classes of tokens, which make the template of each host.
+
+Tokens of a page are its tags (told apart by their path), the ends of its parts, and its text blocks
+(told apart by path and words). The occurrence vector of a token says how often each different page of
+the host has it; tokens of the same vector are an equivalence class. A class counts if enough pages have
+it and enough tokens are in it, and is made valid: tokens that leave the order of their class on any
+page go, and so does a class that crosses a more frequent one or lies in different gaps of the classes
+around it. Valid classes nested into each other are the template of a host, the gaps between their
+tokens its slots. The main text is what the slots hold inside the article, or, where no page part says
+so, inside the template's part with the most text.
+
+Pages count as one where their main text is the same, so that copies of an article do not make it a
+template. A text inside an article is template only on hosts of four or more different pages that all
+have it, and if all such texts together are less than half of the mean article: near copies keep
+theirs. Headings of an article always stay.
 """
 
 from __future__ import annotations
@@ -12,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,23 +31,22 @@ from pyspark.sql import functions as F
 
 from tableferry.llm.common import written
 
-#: A token is template if this share of the host's different pages has it, and at least so many of them.
-#: Pages with the same main text count as one, so copies of an article do not make it a template.
-SUPPORT, MIN_PAGES = 0.6, 4
-#: Outside articles so many will do.
-MIN_OUTSIDE = 2
-
-MARKUP = re.compile(
-    r"<(?:"
-    r"(?P<end>/?)(?P<name>(?!(?:script|style|title|textarea|noscript|iframe|template|svg|math)\b)"
-    r"[a-z][a-z0-9:-]*)(?P<attributes>[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>"
-    r"|!--.*?(?:-->|\Z)"
-    r"|(?P<raw>script|style|title|textarea|noscript|iframe|template|svg|math)\b"
-    r"[^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|[!?/][^>]*>"
-    r")",
-    re.S | re.I,
-)
+#: A class counts if this share of the host's different pages has it, at least so many of them, and if
+#: it has so many tokens.
+SUPPORT, MIN_PAGES, MIN_TOKENS = 0.6, 2, 3
+#: Texts inside articles: on all of at least so many pages.
+MIN_ARTICLES = 4
+#: Templates of up to so many tokens (8 bytes each) over all hosts are broadcast.
+BROADCAST_TOKENS = 1_000_000
+
+TAG = re.compile(r"<(?:(/?)([a-z][a-z0-9:-]*)|(!--)|([!?/]))", re.I)
+SPECIAL = re.compile(r"[>\"']")
+#: Elements whose content is not markup; it is left out.
+RAW = re.compile(r"(script|style|title|textarea|noscript|iframe|template|svg|math)\b", re.I)
+RAW_END = {
+    name: re.compile(rf"</{name}\s*>", re.I)
+    for name in "script style title textarea noscript iframe template svg math".split()
+}
 ATTRIBUTE = re.compile(
     r"""(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I
 )
@@ -53,30 +61,37 @@ BREAKS = frozenset(
     "summary option thead tbody tfoot hgroup center".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-#: Parts that are never main text, by tag, role and words of class and id.
+#: Parts that are never main text, by tag, by role, and by a class or id made of such words alone.
 OUTSIDE_TAGS = frozenset("head nav aside footer form menu dialog select button fieldset".split())
 OUTSIDE_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split()
 )
-OUTSIDE_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|banner|promo\w*|sponsor\w*|nav\w*|menu\w*|sidebar\w*|side|"
-    r"footer|masthead|topbar|breadcrumbs?|cookies?|consent|gdpr|notices?|notification\w*|alerts?|popup|"
+OUTSIDE_WORD = re.compile(
+    r"ads?|advert\w*|adbox|banners?|promo\w*|sponsor\w*|nav(?:bar|igation|s)?|menus?|sidebars?|side|"
+    r"footer|masthead|topbar|breadcrumbs?|cookies?|consent|gdpr|notices?|notifications?|alerts?|popup|"
     r"modal|newsletter|subscri\w*|share\w*|sharing|social|related|recommend\w*|comments?|commentlist|"
-    r"repl(?:y|ies)|respond|disqus|widgets?|toolbar|paginat\w*|pager|login|signup|signin|search\w*|"
-    r"header)(?:$|[\s_-])",
-    re.I,
+    r"repl(?:y|ies)|respond|disqus|widgets?|toolbar|paginat\w*|pager|login|signup|signin|search\w*|header"
+)
+#: Words that such names have beside them.
+BESIDE_WORD = re.compile(
+    r"site|page|main|top|bottom|left|right|primary|secondary|global|list|box|bar|block|area|section|"
+    r"wrap(?:per)?|container|inner|outer|form|links?|buttons?|icons?|posts?|articles?|items?|reader|user|"
+    r"js|\d*"
 )
 INNER = frozenset(("article", "main"))
 SPACE = re.compile(r"\s+")
 
-TOKENS = "host string, content long, kind string, token long, path string, chars long"
+#: Kinds of tokens: the page itself, part, other tag or end of a part, text, text inside an article.
+PAGE, PART, MARK, TEXT, ARTICLE = range(5)
+VOCABULARY = "array<struct<token: long, kind: int, times: int, place: int, chars: long>>"
+STREAM = f"host string, content long, article long, vocabulary {VOCABULARY}, stream array<int>"
+CLASSES = "array<struct<id: int, tokens: array<long>>>"
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 
 @dataclass
 class Block:
-    path: str
+    part: int  # token of the part it stands in
     text: str
     outside: bool  # in a part that is never main text
     inner: bool  # in an article or main part
@@ -84,14 +99,86 @@ class Block:
     heading: bool = False
 
 
-def parse(source: str) -> tuple[list[str], list[Block]]:
-    """Paths of the structural tags in page order, and the blocks of text."""
-    paths: list[str] = []
-    blocks: list[Block] = []
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+def tags(source: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """Start, end, name, whether it closes, and attributes of each tag; other markup has no name.
+
+    A tag that never ends is text, up to the next one. Work is linear in the page: a quote from which no end of
+    a tag was found is not followed again, and the next special character is looked up once.
+    """
+    last = {mark: source.rfind(mark) for mark in "\"'>"}
+    hopeless: set[int] = set()
+    looked = special = -1
+
+    def end_of(at: int) -> int:
+        """Place of the ``>`` of a tag, quoted ones skipped, or -1."""
+        nonlocal looked, special
+        if at > last[">"]:
+            return -1
+        if not looked <= at <= special:
+            found = SPECIAL.search(source, at)
+            looked, special = at, found.start() if found else len(source)
+        here = special
+        opened = []
+        while here < len(source) and here not in hopeless:
+            mark = source[here]
+            if mark == ">":
+                return here
+            opened.append(here)
+            if here >= last[mark]:
+                break
+            found = SPECIAL.search(source, source.find(mark, here + 1) + 1)
+            here = found.start() if found else len(source)
+        hopeless.update(opened)
+        return -1
+
+    at = 0
+    while (found := TAG.search(source, at)) is not None:
+        start, at = found.span()
+        if found[3]:
+            end = source.find("-->", at)
+            at = end + 3 if end >= 0 else len(source)
+            yield start, at, "", False, ""
+        elif found[4]:
+            if at <= last[">"]:
+                at = source.find(">", at) + 1
+                yield start, at, "", False, ""
+        else:
+            name, raw = found[2], RAW.match(found[2])
+            if raw and found[1]:
+                if at <= last[">"]:
+                    at = source.find(">", at) + 1
+                    yield start, at, "", False, ""
+                continue
+            end = end_of(at)
+            if end < 0:
+                continue
+            if raw:
+                closed = RAW_END[raw[1].lower()].search(source, end + 1)
+                at = closed.end() if closed else len(source)
+                yield start, at, "", False, ""
+            else:
+                attributes, at = source[at:end], end + 1
+                yield start, at, name.lower(), bool(found[1]), attributes
+
+
+def parse(source: str) -> list[tuple[int, int, Block | None]]:
+    """Token, kind and block of all tags and texts in page order; parts left open end with the page.
+
+    Paths are hashed part by part, so that deep nesting costs no more than its tags.
+    """
+    found: list[tuple[int, int, Block | None]] = []
+    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    open_tags: Counter = Counter()
     parts: list[str] = []
     links = linked = 0
     heading = False
+    known: dict[tuple[str, int, str], int] = {}
+
+    def token(kind: str, path: int, text: str) -> int:
+        key = (kind, path, text)
+        if key not in known:
+            known[key] = _token(*key)
+        return known[key]
 
     def flush() -> None:
         nonlocal linked
@@ -100,9 +187,17 @@ def parse(source: str) -> tuple[list[str], list[Block]]:
             parts.clear()
             if text:
                 _, path, outside, inner = stack[-1]
-                blocks.append(Block(path, text, outside, inner, linked, heading))
+                kind = ARTICLE if inner and not outside else TEXT
+                block = Block(path, text, outside, inner, linked, heading)
+                found.append((_token("article" if kind == ARTICLE else "text", path, text), kind, block))
         linked = 0
 
+    def close() -> str:
+        name, path, _, _ = stack.pop()
+        open_tags[name] -= 1
+        found.append((token("end", path, ""), MARK, None))
+        return name
+
     def add(text: str) -> None:
         nonlocal linked
         parts.append(text)
@@ -110,41 +205,41 @@ def parse(source: str) -> tuple[list[str], list[Block]]:
             linked += len(text)
 
     at = 0
-    for match in MARKUP.finditer(source):
-        if match.start() > at:
-            add(source[at : match.start()])
-        at = match.end()
-        name = match["name"]
-        if name is None:
+    for start, end, name, closes, attributes in tags(source):
+        if start > at:
+            add(source[at:start])
+        at = end
+        if not name:
             continue
-        name = name.lower()
         if name == "br":
             add(" ")
         elif name == "a":
-            links = max(0, links + (-1 if match["end"] else 1))
+            links = max(0, links + (-1 if closes else 1))
         elif name in STRUCTURE:
             flush()
             links = 0
             heading = False
-            if match["end"]:
-                open_tags = [entry[0] for entry in stack]
-                if name in open_tags:
-                    while stack[-1][0] != name:
-                        stack.pop()
-                    stack.pop()
-            elif not match["attributes"].rstrip().endswith("/"):
+            if closes:
+                if open_tags[name]:
+                    while close() != name:
+                        pass
+            elif not attributes.rstrip().endswith("/"):
                 _, path, outside, inner = stack[-1]
-                label, own = _described(name, match["attributes"], inner)
-                path = f"{path}/{label}"
-                paths.append(path)
+                label, own = _described(name, attributes, inner)
+                path = token("part", path, label)
+                found.append((path, PART, None))
+                open_tags[name] += 1
                 stack.append((name, path, outside or own, inner or (name in INNER and not own)))
         elif name in BREAKS:
             flush()
-            heading = name in HEADINGS and not match["end"]
+            heading = name in HEADINGS and not closes
+            found.append((token("/" if closes else "", stack[-1][1], name), MARK, None))
     if at < len(source):
         add(source[at:])
     flush()
-    return paths, blocks
+    while len(stack) > 1:
+        close()
+    return found
 
 
 def _described(name: str, attributes: str, inner: bool) -> tuple[str, bool]:
@@ -153,8 +248,8 @@ def _described(name: str, attributes: str, inner: bool) -> tuple[str, bool]:
     if attributes:
         for key, value in ATTRIBUTE.findall(attributes):
             found[key.lower()] = value.strip("\"'").lower()
-    words = " ".join(w for w in (found.get("class"), found.get("id")) if w)
-    label = name + "".join("." + w for w in found.get("class", "").split())
+    names = found.get("class", "").split()
+    label = ".".join((name, *names))
     outside = (
         name in OUTSIDE_TAGS
         or (name == "header" and not inner)
@@ -162,44 +257,51 @@ def _described(name: str, attributes: str, inner: bool) -> tuple[str, bool]:
         or "hidden" in found
         or found.get("aria-hidden") == "true"
         or "display:none" in found.get("style", "").replace(" ", "")
-        or bool(words and name not in ("html", "body") and OUTSIDE_WORDS.search(words))
+        or (name not in ("html", "body") and any(map(_outside, (*names, *found.get("id", "").split()))))
     )
     return label, outside
 
 
-def _token(kind: str, path: str, text: str = "") -> int:
-    raw = "\0".join((kind, path, text)).encode("utf-8", "surrogatepass")
-    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
+def _outside(name: str) -> bool:
+    words = re.split(r"[_-]+", name)
+    own = [bool(OUTSIDE_WORD.fullmatch(word)) for word in words]
+    return any(own) and all(o or BESIDE_WORD.fullmatch(w) for o, w in zip(own, words, strict=True))
 
 
-def block_token(block: Block) -> tuple[str, int]:
-    """Kind and token of a block; what stands inside an article is told from what does not."""
-    kind = "inner" if block.inner and not block.outside else "text"
-    return kind, _token(kind, block.path, block.text)
+def _token(kind: str, path: int, text: str) -> int:
+    raw = f"{kind}\0{path}\0{text}".encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
 
 
-def tokens_of(source: str) -> list[tuple[int, str, int, str, int]]:
-    """Content, kind, token, path and characters (outside links) of the tokens of a page.
+def vocabulary(source: str) -> tuple[int, int, list[tuple[int, int, int, int, int]], list[int]]:
+    """Content, characters of the article, tokens, and the page as places among its tokens.
 
-    The content tells pages of different main text apart: what stands in articles, else what is not
-    outside the main text. A token ``page`` stands for the page itself. Headings of an article belong
-    to it, however many articles share them.
+    Tokens come with kind, times, first place, and characters: own ones of a text, those outside links of
+    the blocks of a part. The content tells pages of different main text apart. Headings of an
+    article belong to it, however many articles share them, and are no tokens.
     """
-    paths, blocks = parse(source)
-    slots = [b for b in blocks if not b.outside]
-    main = [b for b in slots if b.inner] or slots
-    content = _token("content", "", "\0".join(b.text for b in main))
-    found = {("page", 0, ""), *(("tag", _token("tag", path), path) for path in paths)}
+    found = parse(source)
+    blocks = [block for _, _, block in found if block is not None and not block.outside]
+    main = [b for b in blocks if b.inner] or blocks
+    content = _token("content", 0, "\0".join(b.text for b in main))
     chars: Counter = Counter()
     for block in blocks:
-        kind, token = block_token(block)
-        if kind == "text" or not block.heading:
-            found.add((kind, token, block.path))
-        if not block.outside:
-            chars["tag", _token("tag", block.path), block.path] += max(
-                0, len(block.text) - block.linked
-            )
-    return [(content, *key, chars[key]) for key in found | set(chars)]
+        chars[block.part] += max(0, len(block.text) - block.linked)
+    order: dict[int, int] = {0: 0}
+    rows = [[0, PAGE, 1, 0, 0]]
+    stream = []
+    for place, (token, kind, block) in enumerate(found):
+        if kind == ARTICLE and block.heading:
+            continue
+        if token not in order:
+            order[token] = len(rows)
+            size = len(block.text) if block is not None else chars[token] if kind == PART else 0
+            rows.append([token, kind, 0, place, size])
+        rows[order[token]][2] += 1
+        stream.append(order[token])
+    rows[0][2] = 1
+    article = sum(len(b.text) for b in main)
+    return content, article, [tuple(row) for row in rows], stream
 
 
 def host() -> Column:
@@ -207,95 +309,322 @@ def host() -> Column:
     return F.when(found != "", F.lower(found))
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """``host, texts, part``: boilerplate texts of each host, and its part with the most own text."""
+def misplaced(ranks: list[int], size: int) -> set[int]:
+    """Places of a class that leave its order on a page; all of them, where it is not there in whole.
+
+    What stays in each repeat is a longest rising run of places, so what stays everywhere is in order.
+    """
+    whole = list(range(size))
+    wrong: set[int] = set()
+    for start in range(0, len(ranks), size):
+        part = ranks[start : start + size]
+        if part == whole:
+            continue
+        if sorted(part) != whole:
+            return set(whole)
+        tails: list[int] = []
+        before: dict[int, int | None] = {}
+        for rank in part:
+            at = bisect_left(tails, rank)
+            before[rank] = tails[at - 1] if at else None
+            tails[at:] = [rank, *tails[at + 1 :]]
+        rank, kept = tails[-1], set()
+        while rank is not None:
+            kept.add(rank)
+            rank = before[rank]
+        wrong |= set(whole) - kept
+    return wrong
+
+
+class Template:
+    """Classes of a host, the more frequent first."""
+
+    def __init__(self, classes: list[tuple[int, list[int]]]):
+        self.tokens = dict(classes)
+        self.place = {
+            token: (number, rank) for number, tokens in classes for rank, token in enumerate(tokens)
+        }
+
+    def out_of_order(self, page: list[int]) -> set[int]:
+        """Tokens that leave the order of their class on the page."""
+        ranks: dict[int, list[int]] = {}
+        for token in page:
+            if token in self.place:
+                number, rank = self.place[token]
+                ranks.setdefault(number, []).append(rank)
+        return {
+            self.tokens[number][rank]
+            for number, found in ranks.items()
+            for rank in misplaced(found, len(self.tokens[number]))
+        }
+
+    def slots(self, page: list[int]) -> Iterator[tuple[int, int, int, bool]]:
+        """For each token of the page: class and gap of its slot, the class it is of, whether that one crosses.
+
+        Outside all classes both are -1, as is the class of a token that is of none. Of two classes that cross, the
+        less frequent one is told; its open occurrence is given up.
+        """
+        stack: list[list[int]] = []
+        open_classes: Counter = Counter()
+        for token in page:
+            number, rank = self.place.get(token, (-1, -1))
+            crossing = []
+            if number >= 0 and rank:
+                if not open_classes[number]:
+                    crossing.append(number)
+                else:
+                    while stack[-1][0] != number:
+                        above = stack.pop()[0]
+                        open_classes[above] -= 1
+                        crossing.append(max(above, number))
+            if number < 0 or rank == 0:
+                slot = tuple(stack[-1]) if stack else (-1, -1)
+            else:
+                slot = tuple(stack[-2]) if len(stack) > 1 else (-1, -1)
+            yield (*slot, number, False)
+            for other in crossing:
+                yield (-1, -1, other, True)
+            if number >= 0:
+                if rank == 0:
+                    stack.append([number, 0])
+                    open_classes[number] += 1
+                elif open_classes[number]:
+                    stack[-1][1] = rank
+                if rank == len(self.tokens[number]) - 1 and open_classes[number]:
+                    stack.pop()
+                    open_classes[number] -= 1
+
+    def nesting(self, page: list[int]) -> dict[int, tuple[bool, int, int]]:
+        """For each class on the page: whether it crosses another, and the least and the largest slot around it."""
+        found: dict[int, tuple[bool, int, int]] = {}
+        for outer, gap, number, crosses in self.slots(page):
+            if number < 0:
+                continue
+            if crosses:
+                slot = found.get(number, (True, -1, -1))[1:]
+                found[number] = (True, *slot)
+            else:
+                code = -1 if outer < 0 else (outer << 32) + gap
+                before = found.get(number, (False, code, code))
+                found[number] = (before[0], min(before[1], code), max(before[2], code))
+        return found
+
+
+def streams(pages: DataFrame) -> DataFrame:
+    """Pages of known hosts as tokens; written, since every step reads them."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = pa.struct(
+            [("token", pa.int64()), ("kind", pa.int32()), ("times", pa.int32())]
+            + [("place", pa.int32()), ("chars", pa.int64())]
+        )
         for batch in batches:
-            rows = [
-                (name, *token)
-                for name, source in zip(
-                    batch.column("host").to_pylist(),
-                    batch.column("html").to_pylist(),
-                    strict=True,
-                )
-                for token in tokens_of(source or "")
-            ]
-            columns = zip(*rows, strict=True) if rows else [[]] * 6
-            kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+            found = [vocabulary(source or "") for source in batch.column("html").to_pylist()]
+            names = [field.name for field in words]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                names=[part.split()[0] for part in TOKENS.split(", ")],
+                [
+                    batch.column("host"),
+                    pa.array([f[0] for f in found], pa.int64()),
+                    pa.array([f[1] for f in found], pa.int64()),
+                    pa.array([[dict(zip(names, w, strict=True)) for w in f[2]] for f in found], pa.list_(words)),
+                    pa.array([f[3] for f in found], pa.list_(pa.int32())),
+                ],
+                names=["host", "content", "article", "vocabulary", "stream"],
             )
 
     known = pages.select(host().alias("host"), "html").where("host IS NOT NULL")
+    return written(known.mapInArrow(work, STREAM), "streams")
+
+
+def candidates(pages: DataFrame) -> DataFrame:
+    """``host, id, place, token, kind, chars``: tokens of the classes with enough pages and tokens, in order.
+
+    ``id`` counts the classes of a host from the most frequent one, ``place`` the tokens inside.
+    """
     # One row a token and content before tokens meet, so a token of all pages is not in one place.
     tokens = (
-        known.mapInArrow(work, TOKENS)
-        .groupBy("host", "kind", "token", "content")
-        .agg(F.first("path").alias("path"), F.max("chars").alias("chars"))
-        .groupBy("host", "kind", "token")
-        .agg(F.count("*").alias("support"), F.first("path").alias("path"), F.sum("chars").alias("chars"))
-        .where(F.col("support") >= MIN_OUTSIDE)
+        pages.select("host", "content", "article", F.inline("vocabulary"))
+        .groupBy("host", "token", "content")
+        .agg(
+            F.max("times").alias("times"),
+            F.min("place").alias("place"),
+            F.max("kind").alias("kind"),
+            F.max(F.when(F.col("kind") == PAGE, F.col("article")).otherwise(F.col("chars"))).alias("chars"),
+        )
+        .groupBy("host", "token")
+        .agg(
+            F.count("*").alias("support"),
+            F.sum(F.xxhash64("content", "times").cast("decimal(20,0)")).alias("vector"),
+            F.avg("place").alias("place"),
+            F.max("kind").alias("kind"),
+            F.sum("chars").alias("chars"),
+        )
+        .where(F.col("support") >= MIN_PAGES)
     )
     tokens = written(tokens, "tokens")
-    sizes = tokens.where("kind = 'page'").select("host", F.col("support").alias("n_contents"))
-    least = F.when(F.col("kind") == "inner", MIN_PAGES).otherwise(MIN_OUTSIDE)
-    frequent = tokens.join(sizes, "host").where(
-        (F.col("support") >= least) & (F.col("support") >= SUPPORT * F.col("n_contents"))
+    sizes = tokens.where(F.col("kind") == PAGE).select(
+        "host", F.col("support").alias("n_contents"), F.col("chars").alias("article")
     )
-    return frequent.groupBy("host").agg(
-        F.collect_list(F.when(F.col("kind").isin("text", "inner"), F.col("token"))).alias("texts"),
-        F.max(F.when(F.col("kind") == "tag", F.struct("chars", "path")))["path"].alias("part"),
+    everywhere = (F.col("support") == F.col("n_contents")) & (F.col("support") >= MIN_ARTICLES)
+    frequent = tokens.where(F.col("kind") != PAGE).join(sizes, "host").where(
+        (F.col("support") >= SUPPORT * F.col("n_contents")) & ((F.col("kind") != ARTICLE) | everywhere)
+    )
+    # Texts that make up half of the articles are articles of near copies.
+    repeated = (
+        frequent.where(F.col("kind") == ARTICLE)
+        .groupBy("host")
+        .agg((2 * F.sum("chars") > F.max("article")).alias("copies"))
+    )
+    classes = (
+        frequent.join(repeated, "host", "left")
+        .where((F.col("kind") != ARTICLE) | ~F.col("copies"))
+        .groupBy("host", "support", "vector")
+        .agg(F.sort_array(F.collect_list(F.struct("place", "token", "kind", "chars"))).alias("tokens"))
+        .where(F.size("tokens") >= MIN_TOKENS)
+    )
+    ranked = classes.groupBy("host").agg(
+        F.sort_array(F.collect_list(F.struct(-F.col("support"), -F.size("tokens"), "vector", "tokens"))).alias("c")
+    )
+    return (
+        ranked.select("host", F.posexplode("c").alias("id", "c"))
+        .select("host", "id", F.posexplode("c.tokens").alias("place", "t"))
+        .select("host", "id", "place", "t.token", "t.kind", "t.chars")
     )
 
 
-def extract(source: str, texts: set[int], part: str | None) -> str:
-    """Text of the slots of a page that belong to the main text."""
-    _, blocks = parse(source)
-    slots = [b for b in blocks if not b.outside]
-    inside = [b for b in slots if b.inner]
-    if inside:
-        slots = inside
-    elif part is not None:
-        own = [b for b in slots if b.path == part or b.path.startswith(part + "/")]
-        slots = own or slots
-    kept = [b.text for b in slots if not texts or block_token(b)[1] not in texts]
-    return "\n\n".join(kept)
+def as_classes(tokens: DataFrame) -> DataFrame:
+    """``host, classes``: one row a host, bounded by the size of its pages."""
+    found = tokens.groupBy("host", "id").agg(
+        F.sort_array(F.collect_list(F.struct("place", "token")))["token"].alias("tokens")
+    )
+    return found.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("id", "tokens"))).alias("classes"))
 
 
-def main_text(pages: DataFrame) -> DataFrame:
-    """``page_id, url, text, n_chars`` of every page.
+def met(pages: DataFrame, templates: DataFrame, n_tokens: int, how: str = "inner") -> DataFrame:
+    """Pages beside the template of their host: broadcast up to a checked size, else a shuffle."""
+    return pages.join(F.broadcast(templates) if n_tokens <= BROADCAST_TOKENS else templates, "host", how)
 
-    A null or empty page has empty text. Pages without a host in their url have no template and are
-    read by their own parts. Every row stands for itself; further columns are ignored.
-    """
-    found = written(templates(pages), "templates")
-    rows = (
-        pages.select("page_id", "url", "html", host().alias("host"))
-        .join(found, "host", "left")
-        .select("page_id", "url", "html", "texts", "part")
+
+def templates(pages: DataFrame) -> DataFrame:
+    """``host, id, place, token, kind, chars``: the tokens of the valid classes of each host."""
+
+    def read(batch: pa.RecordBatch) -> Iterator[tuple[str, Template, list[int]]]:
+        template, name = None, None
+        for host_name, classes, words, stream in zip(
+            *(batch.column(c).to_pylist() for c in ("host", "classes", "words", "stream")), strict=True
+        ):
+            if host_name != name:
+                template, name = Template([(c["id"], c["tokens"]) for c in classes]), host_name
+            yield host_name, template, [words[place] for place in stream]
+
+    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wrong = {(name, token) for name, template, page in read(batch) for token in template.out_of_order(page)}
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([n for n, _ in wrong], pa.string()), pa.array([t for _, t in wrong], pa.int64())],
+                names=["host", "token"],
+            )
+
+    def nesting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: dict[tuple[str, int], tuple[bool, int, int]] = {}
+            for name, template, page in read(batch):
+                for number, (crosses, least, most) in template.nesting(page).items():
+                    was = rows.get((name, number), (crosses, least, most))
+                    rows[name, number] = (was[0] or crosses, min(was[1], least), max(was[2], most))
+            columns = list(zip(*((*key, *value) for key, value in rows.items()), strict=True)) or [()] * 5
+            kinds = (pa.string(), pa.int32(), pa.bool_(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                names=["host", "id", "crosses", "least", "most"],
+            )
+
+    pages = streams(pages)
+    tokens = written(candidates(pages), "classes")
+    plain = pages.select("host", F.col("vocabulary.token").alias("words"), "stream")
+    found = met(plain, as_classes(tokens), tokens.count())
+    wrong = written(found.mapInArrow(order, "host string, token long").distinct(), "misplaced")
+    ordered = tokens.join(wrong, ["host", "token"], "left_anti")
+    large = ordered.groupBy("host", "id").count().where(F.col("count") >= MIN_TOKENS).drop("count")
+    tokens = written(ordered.join(large, ["host", "id"], "left_semi").select(tokens.columns), "ordered")
+    open_tokens = tokens
+    while True:  # ends: each turn drops a class of every host that it looks at again
+        found = met(plain, as_classes(open_tokens), open_tokens.count())
+        seen = found.mapInArrow(nesting, "host string, id int, crosses boolean, least long, most long")
+        bad = (
+            seen.groupBy("host", "id")
+            .agg(F.max("crosses").alias("crosses"), F.min("least").alias("least"), F.max("most").alias("most"))
+            .where("crosses OR least < most")
+            .select("host", "id")
+        )
+        bad = written(bad, "crossing")
+        if bad.isEmpty():
+            return tokens
+        tokens = written(tokens.join(bad, ["host", "id"], "left_anti").select(tokens.columns), "nested")
+        open_tokens = tokens.join(bad.select("host").distinct(), "host", "left_semi")
+
+
+def extract(source: str, template: Template, part: int | None) -> list[tuple[int, int, str]]:
+    """Class and gap of the slot and text of the blocks of a page that belong to the main text."""
+    found = parse(source)
+    page = [0 if kind == ARTICLE and block.heading else token for token, kind, block in found]
+    places = (slot for slot in template.slots(page) if not slot[3])
+    blocks: list[tuple[int, int, Block, bool]] = []
+    within = 0
+    end = _token("end", part, "") if part is not None else None
+    for (token, _, block), (number, gap, of, _) in zip(found, places, strict=True):
+        within += (token == part) - (token == end)
+        if block is not None and not block.outside and of < 0:
+            blocks.append((number, gap, block, within > 0))
+    has_article = any(b is not None and b.inner and not b.outside for _, _, b in found)
+    if has_article:
+        blocks = [b for b in blocks if b[2].inner]
+    elif any(b[3] for b in blocks):
+        blocks = [b for b in blocks if b[3]]
+    return [(number, gap, block.text) for number, gap, block, _ in blocks]
+
+
+def main_slots(pages: DataFrame) -> DataFrame:
+    """Pages with ``slots``: class and gap (-1 outside all classes) and text of each block of the main text."""
+    tokens = templates(pages)
+    parts = (
+        tokens.where(F.col("kind") == PART)
+        .groupBy("host")
+        .agg(F.max(F.struct("chars", "token")).alias("part"))
+        .select("host", F.when(F.col("part.chars") > 0, F.col("part.token")).alias("part"))
     )
+    found = written(as_classes(tokens).join(parts, "host", "left"), "templates")
+    rows = met(
+        pages.select("page_id", "url", "html", host().alias("host")), found, tokens.count(), "left"
+    ).select("page_id", "url", "html", "classes", "part")
+    slot = pa.struct([("class", pa.int32()), ("gap", pa.int32()), ("text", pa.string())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [
-                extract(source or "", set(known or ()), part)
-                for source, known, part in zip(
-                    batch.column("html").to_pylist(),
-                    batch.column("texts").to_pylist(),
-                    batch.column("part").to_pylist(),
-                    strict=True,
+            found = []
+            for source, classes, part in zip(
+                *(batch.column(c).to_pylist() for c in ("html", "classes", "part")), strict=True
+            ):
+                template = Template([(c["id"], c["tokens"]) for c in classes or ()])
+                found.append(
+                    [{"class": c, "gap": g, "text": t} for c, g, t in extract(source or "", template, part)]
                 )
-            ]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("page_id").cast(pa.int64()),
-                    batch.column("url"),
-                    pa.array(texts, pa.string()),
-                    pa.array([len(t) for t in texts], pa.int64()),
-                ],
-                names=["page_id", "url", "text", "n_chars"],
+                [batch.column("page_id").cast(pa.int64()), batch.column("url"), pa.array(found, pa.list_(slot))],
+                names=["page_id", "url", "slots"],
             )
 
-    return rows.mapInArrow(work, SCHEMA)
+    return rows.mapInArrow(
+        work, "page_id long, url string, slots array<struct<class: int, gap: int, text: string>>"
+    )
+
+
+def main_text(pages: DataFrame) -> DataFrame:
+    """``page_id, url, text, n_chars`` of every page.
+
+    A null or empty page has empty text. Pages without a host in their url, and hosts with one
+    different page, have no template and are read by their own parts. A tag whose quote never closes is
+    text, and costs no more than any. Every row stands for itself; further columns are ignored.
+    """
+    text = F.array_join("slots.text", "\n\n")
+    return main_slots(pages).select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
