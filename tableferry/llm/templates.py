@@ -7,7 +7,7 @@ it and enough tokens are in it, and is made valid: tokens that leave the order o
 page go, and so does a class that crosses a more frequent one or lies in different gaps of the classes
 around it. Valid classes nested into each other are the template of a host, the gaps between their
 tokens its slots. The main text is what the slots hold inside the article, or, where no page part says
-so, inside the template's part with the most text.
+so, inside the frequent part with the most text in slots.
 
 Pages count as one where their main text is the same, so that copies of an article do not make it a
 template. A text inside an article is template only on hosts of four or more different pages that all
@@ -83,7 +83,7 @@ SPACE = re.compile(r"\s+")
 
 #: Kinds of tokens: the page itself, part, other tag or end of a part, text, text inside an article.
 PAGE, PART, MARK, TEXT, ARTICLE = range(5)
-VOCABULARY = "array<struct<token: long, kind: int, times: int, place: int, chars: long>>"
+VOCABULARY = "array<struct<token: long, kind: int, times: int, place: int, chars: long, part: long>>"
 STREAM = f"host string, content long, article long, vocabulary {VOCABULARY}, stream array<int>"
 CLASSES = "array<struct<id: int, tokens: array<long>>>"
 SCHEMA = "page_id long, url string, text string, n_chars long"
@@ -98,6 +98,11 @@ class Block:
     linked: int  # characters inside links
     heading: bool = False
 
+    @property
+    def chars(self) -> int:
+        """Characters outside links, none where the part is not of the main text."""
+        return 0 if self.outside else max(0, len(self.text) - self.linked)
+
 
 def tags(source: str) -> Iterator[tuple[int, int, str, bool, str]]:
     """Start, end, name, whether it closes, and attributes of each tag; other markup has no name.
@@ -273,11 +278,11 @@ def _token(kind: str, path: int, text: str) -> int:
     return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
 
 
-def vocabulary(source: str) -> tuple[int, int, list[tuple[int, int, int, int, int]], list[int]]:
+def vocabulary(source: str) -> tuple[int, int, list[tuple[int, ...]], list[int]]:
     """Content, characters of the article, tokens, and the page as places among its tokens.
 
-    Tokens come with kind, times, first place, and characters: own ones of a text, those outside links of
-    the blocks of a part. The content tells pages of different main text apart. Headings of an
+    Tokens come with kind, times, first place, characters outside links (of a part: of its own blocks) and
+    the part that a text stands in. The content tells pages of different main text apart. Headings of an
     article belong to it, however many articles share them, and are no tokens.
     """
     found = parse(source)
@@ -286,21 +291,24 @@ def vocabulary(source: str) -> tuple[int, int, list[tuple[int, int, int, int, in
     content = _token("content", 0, "\0".join(b.text for b in main))
     chars: Counter = Counter()
     for block in blocks:
-        chars[block.part] += max(0, len(block.text) - block.linked)
+        chars[block.part] += block.chars
     order: dict[int, int] = {0: 0}
-    rows = [[0, PAGE, 1, 0, 0]]
+    rows = [[0, PAGE, 1, 0, 0, 0]]
     stream = []
     for place, (token, kind, block) in enumerate(found):
         if kind == ARTICLE and block.heading:
             continue
         if token not in order:
             order[token] = len(rows)
-            size = len(block.text) if block is not None else chars[token] if kind == PART else 0
-            rows.append([token, kind, 0, place, size])
-        rows[order[token]][2] += 1
+            size = chars[token] if kind == PART else 0
+            rows.append([token, kind, 0, place, size, 0 if block is None else block.part])
+        row = rows[order[token]]
+        row[2] += 1
+        if block is not None:
+            row[4] += block.chars
         stream.append(order[token])
     rows[0][2] = 1
-    article = sum(len(b.text) for b in main)
+    article = sum(b.chars for b in main)
     return content, article, [tuple(row) for row in rows], stream
 
 
@@ -416,7 +424,7 @@ def streams(pages: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = pa.struct(
             [("token", pa.int64()), ("kind", pa.int32()), ("times", pa.int32())]
-            + [("place", pa.int32()), ("chars", pa.int64())]
+            + [("place", pa.int32()), ("chars", pa.int64()), ("part", pa.int64())]
         )
         for batch in batches:
             found = [vocabulary(source or "") for source in batch.column("html").to_pylist()]
@@ -437,7 +445,7 @@ def streams(pages: DataFrame) -> DataFrame:
 
 
 def candidates(pages: DataFrame) -> DataFrame:
-    """``host, id, place, token, kind, chars``: tokens of the classes with enough pages and tokens, in order.
+    """``host, id, place, token, kind, chars, part``: tokens of the classes with enough pages, in order.
 
     ``id`` counts the classes of a host from the most frequent one, ``place`` the tokens inside.
     """
@@ -450,6 +458,7 @@ def candidates(pages: DataFrame) -> DataFrame:
             F.min("place").alias("place"),
             F.max("kind").alias("kind"),
             F.max(F.when(F.col("kind") == PAGE, F.col("article")).otherwise(F.col("chars"))).alias("chars"),
+            F.max("part").alias("part"),
         )
         .groupBy("host", "token")
         .agg(
@@ -458,6 +467,7 @@ def candidates(pages: DataFrame) -> DataFrame:
             F.avg("place").alias("place"),
             F.max("kind").alias("kind"),
             F.sum("chars").alias("chars"),
+            F.max("part").alias("part"),
         )
         .where(F.col("support") >= MIN_PAGES)
     )
@@ -479,8 +489,7 @@ def candidates(pages: DataFrame) -> DataFrame:
         frequent.join(repeated, "host", "left")
         .where((F.col("kind") != ARTICLE) | ~F.col("copies"))
         .groupBy("host", "support", "vector")
-        .agg(F.sort_array(F.collect_list(F.struct("place", "token", "kind", "chars"))).alias("tokens"))
-        .where(F.size("tokens") >= MIN_TOKENS)
+        .agg(F.sort_array(F.collect_list(F.struct("place", "token", "kind", "chars", "part"))).alias("tokens"))
     )
     ranked = classes.groupBy("host").agg(
         F.sort_array(F.collect_list(F.struct(-F.col("support"), -F.size("tokens"), "vector", "tokens"))).alias("c")
@@ -488,7 +497,7 @@ def candidates(pages: DataFrame) -> DataFrame:
     return (
         ranked.select("host", F.posexplode("c").alias("id", "c"))
         .select("host", "id", F.posexplode("c.tokens").alias("place", "t"))
-        .select("host", "id", "place", "t.token", "t.kind", "t.chars")
+        .select("host", "id", "place", "t.token", "t.kind", "t.chars", "t.part")
     )
 
 
@@ -506,7 +515,29 @@ def met(pages: DataFrame, templates: DataFrame, n_tokens: int, how: str = "inner
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """``host, id, place, token, kind, chars``: the tokens of the valid classes of each host."""
+    """``host, id, place, token, kind, chars, part``: the tokens of the valid classes of each host."""
+    pages = streams(pages)
+    return valid(pages, written(candidates(pages), "classes"))
+
+
+def parts(tokens: DataFrame) -> DataFrame:
+    """``host, part``: the frequent part with most characters of its own that are not of frequent texts."""
+    is_part = F.col("kind") == PART
+    return (
+        tokens.where(F.col("kind") != MARK)
+        .groupBy("host", F.when(is_part, F.col("token")).otherwise(F.col("part")).alias("part"))
+        .agg(
+            F.max(is_part).alias("whole"),
+            F.sum(F.when(is_part, 1).otherwise(-1) * F.col("chars")).alias("chars"),
+        )
+        .where("whole AND chars > 0")
+        .groupBy("host")
+        .agg(F.max_by("part", F.struct("chars", "part")).alias("part"))
+    )
+
+
+def valid(pages: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Of the candidates, the tokens of classes with enough tokens that stand in order and nested on all pages."""
 
     def read(batch: pa.RecordBatch) -> Iterator[tuple[str, Template, list[int]]]:
         template, name = None, None
@@ -539,14 +570,17 @@ def templates(pages: DataFrame) -> DataFrame:
                 names=["host", "id", "crosses", "least", "most"],
             )
 
-    pages = streams(pages)
-    tokens = written(candidates(pages), "classes")
+    def large(tokens: DataFrame) -> DataFrame:
+        sizes = tokens.groupBy("host", "id").count().where(F.col("count") >= MIN_TOKENS)
+        return tokens.join(sizes, ["host", "id"], "left_semi").select(tokens.columns)
+
+    tokens = written(large(tokens), "large")
     plain = pages.select("host", F.col("vocabulary.token").alias("words"), "stream")
     found = met(plain, as_classes(tokens), tokens.count())
     wrong = written(found.mapInArrow(order, "host string, token long").distinct(), "misplaced")
-    ordered = tokens.join(wrong, ["host", "token"], "left_anti")
-    large = ordered.groupBy("host", "id").count().where(F.col("count") >= MIN_TOKENS).drop("count")
-    tokens = written(ordered.join(large, ["host", "id"], "left_semi").select(tokens.columns), "ordered")
+    if not wrong.isEmpty():
+        ordered = tokens.join(wrong, ["host", "token"], "left_anti").select(tokens.columns)
+        tokens = written(large(ordered), "ordered")
     open_tokens = tokens
     while True:  # ends: each turn drops a class of every host that it looks at again
         found = met(plain, as_classes(open_tokens), open_tokens.count())
@@ -586,14 +620,10 @@ def extract(source: str, template: Template, part: int | None) -> list[tuple[int
 
 def main_slots(pages: DataFrame) -> DataFrame:
     """Pages with ``slots``: class and gap (-1 outside all classes) and text of each block of the main text."""
-    tokens = templates(pages)
-    parts = (
-        tokens.where(F.col("kind") == PART)
-        .groupBy("host")
-        .agg(F.max(F.struct("chars", "token")).alias("part"))
-        .select("host", F.when(F.col("part.chars") > 0, F.col("part.token")).alias("part"))
-    )
-    found = written(as_classes(tokens).join(parts, "host", "left"), "templates")
+    found = streams(pages)
+    frequent = written(candidates(found), "classes")
+    tokens = valid(found, frequent)
+    found = written(as_classes(tokens).join(parts(frequent), "host", "full"), "templates")
     rows = met(
         pages.select("page_id", "url", "html", host().alias("host")), found, tokens.count(), "left"
     ).select("page_id", "url", "html", "classes", "part")
