@@ -102,9 +102,10 @@ class Scanner:
         """Start (in words) and label of every place of every base phrase."""
         found = []
         for phrase, label in self.base:
+            word = Words(form)
             at = form.find(phrase)
             while at >= 0:
-                found.append((form.count(b" ", 0, at), label))
+                found.append((word.before(at), label))
                 at = form.find(phrase, at + 1)
         return found
 
@@ -113,22 +114,38 @@ class Scanner:
         gated = {r for _, places in self.gate.iter(form.decode("utf-8")) for r in places}
         found = []
         for place in sorted(gated):
-            rule = self.rules[place]
+            rule, word = self.rules[place], Words(form)
             for match in rule.pattern.finditer(form):
-                first = form.count(b" ", 0, match.start()) - 1
+                first = word.before(match.start()) - 1
                 last = first + match[0].count(b" ")
                 found.append(Detection(rule.label, place, first, last, rule.priority))
         return suppress(found)
 
 
+class Words:
+    """Spaces before rising places of a text, each counted once."""
+
+    def __init__(self, form: bytes):
+        self.form, self.at, self.count = form, 0, 0
+
+    def before(self, at: int) -> int:
+        self.count += self.form.count(b" ", self.at, at)
+        self.at = at
+        return self.count
+
+
 def suppress(found: list[Detection]) -> list[Detection]:
-    """Drop detections inside another that is stronger, or as strong and wider (or earlier in order)."""
-    # Wide before narrow and strong before weak: what contains a detection comes before it.
-    ordered = sorted(found, key=lambda d: (d.priority, d.first, -d.last, d.rule))
+    """Drop detections inside another that is stronger, or as strong and wider (or earlier in order).
+
+    A sweep by start, wide before narrow: what contains a detection comes before it or starts and ends
+    with it, so for each priority the widest end so far tells whether something does.
+    """
     kept: list[Detection] = []
-    for one in ordered:
-        if not any(k.first <= one.first and one.last <= k.last for k in kept):
+    widest: dict[int, int] = {}
+    for one in sorted(found, key=lambda d: (d.first, -d.last, d.priority, d.rule)):
+        if all(end < one.last for priority, end in widest.items() if priority <= one.priority):
             kept.append(one)
+        widest[one.priority] = max(one.last, widest.get(one.priority, one.last))
     return sorted(kept, key=lambda d: (d.first, d.last, d.rule))
 
 

@@ -42,6 +42,11 @@ MASK = "[SECRET]"
 KINDS = ("assign", "access", "hex", "markov")
 SPANS = "array<struct<start:bigint,kind_order:int,kind:string,stop:bigint>>"
 LOCATED = "array<struct<start:bigint,stop:bigint,value:string>>"
+#: Matches whose places are added up in one go.
+BLOCK = 256
+BLOCKS = (
+    "array<struct<place:bigint,block:array<struct<before:bigint,size:bigint,value:string>>>>"
+)
 
 
 def quoted(pattern: str) -> str:
@@ -161,24 +166,40 @@ def located(matches: str, between: str, values: str) -> str:
     """SQL: start, stop (code points) and value of each match.
 
     ``between`` holds what lies before, between and behind the matches. No column is named inside a
-    lambda: the optimizer would put its expression there, to be worked out for each element.
+    lambda: the optimizer would put its expression there, to be worked out for each element. Places are
+    added up for blocks of matches first, then inside each, as adding to a list copies it.
+    """
+    pairs = f"""
+        transform(
+          filter(cast(arrays_zip({matches}, {between}, {values})
+                      AS array<struct<m:string,b:string,v:string>>), z -> z.m IS NOT NULL),
+          z -> named_struct(
+            'before', cast(length(z.b) AS bigint),
+            'size', cast(length(z.m) AS bigint),
+            'value', z.v))
+    """
+    blocks = f"""
+        flatten(transform(array({pairs}), a -> transform(
+          sequence(0, size(a), {BLOCK}), k -> slice(a, k + 1, {BLOCK}))))
     """
     return f"""
-        aggregate(
-          transform(
-            filter(cast(arrays_zip({matches}, {between}, {values})
-                        AS array<struct<m:string,b:string,v:string>>), z -> z.m IS NOT NULL),
-            z -> named_struct(
-              'before', cast(length(z.b) AS bigint),
-              'size', cast(length(z.m) AS bigint),
-              'value', z.v)),
-          named_struct('place', 0L, 'out', cast(array() AS {LOCATED})),
-          (s, p) -> named_struct(
-            'place', s.place + p.before + p.size,
-            'out', concat(s.out, array(named_struct(
-              'start', s.place + p.before, 'stop', s.place + p.before + p.size,
-              'value', p.value)))),
-          s -> s.out)
+        flatten(transform(
+          aggregate(
+            {blocks},
+            named_struct('place', 0L, 'out', cast(array() AS {BLOCKS})),
+            (s, b) -> named_struct(
+              'place', s.place + aggregate(b, 0L, (n, p) -> n + p.before + p.size),
+              'out', concat(s.out, array(named_struct('place', s.place, 'block', b)))),
+            s -> s.out),
+          o -> aggregate(
+            o.block,
+            named_struct('place', o.place, 'out', cast(array() AS {LOCATED})),
+            (s, p) -> named_struct(
+              'place', s.place + p.before + p.size,
+              'out', concat(s.out, array(named_struct(
+                'start', s.place + p.before, 'stop', s.place + p.before + p.size,
+                'value', p.value)))),
+            s -> s.out)))
     """
 
 
@@ -190,6 +211,39 @@ def as_spans(column: str, kind: str, keep: str) -> str:
     """
 
 
+def uncovered(base: str, own: str) -> str:
+    """SQL: the spans of ``own`` that lie inside no span of ``base``.
+
+    All spans by start: a span is covered if one of ``base`` up to it ends as late. The latest end is
+    carried from block to block first, then inside each.
+    """
+    wide = f"""
+        transform(array(array_sort(concat(
+          transform({base}, b -> named_struct('start', b.start, 'own', 0, 'span', b)),
+          transform({own}, b -> named_struct('start', b.start, 'own', 1, 'span', b))))),
+          a -> transform(sequence(0, size(a), {BLOCK}), k -> slice(a, k + 1, {BLOCK})))
+    """
+    element = "struct<start:bigint,own:int,span:struct<start:bigint,kind_order:int,kind:string,stop:bigint>>"
+    return f"""
+        flatten(transform(
+          aggregate(
+            flatten(cast({wide} AS array<array<array<{element}>>>)),
+            named_struct('last', -1L, 'out', cast(array() AS array<struct<last:bigint,block:array<{element}>>>)),
+            (s, b) -> named_struct(
+              'last', aggregate(b, s.last, (n, p) -> CASE WHEN p.own = 0 THEN greatest(n, p.span.stop) ELSE n END),
+              'out', concat(s.out, array(named_struct('last', s.last, 'block', b)))),
+            s -> s.out),
+          o -> aggregate(
+            o.block,
+            named_struct('last', o.last, 'out', cast(array() AS {SPANS})),
+            (s, p) -> named_struct(
+              'last', CASE WHEN p.own = 0 THEN greatest(s.last, p.span.stop) ELSE s.last END,
+              'out', CASE WHEN p.own = 1 AND p.span.stop > s.last
+                          THEN concat(s.out, array(p.span)) ELSE s.out END),
+            s -> s.out)))
+    """
+
+
 def find_spans(documents: DataFrame, model: MarkovModel) -> DataFrame:
     """``doc_id, text, base, spans``: the spans of every text, sorted; map-only.
 
@@ -221,45 +275,39 @@ def find_spans(documents: DataFrame, model: MarkovModel) -> DataFrame:
         columns[f"{kind}_between"] = when(gate, f"split(text, {quoted(pattern)}, -1)")
     columns["assign_values"] = when("may_assign", f"regexp_extract_all(text, {quoted(ASSIGN)}, 2)")
     columns["likely"] = f"""
-        filter(regexp_extract_all(text, {quoted(RUN)}, 0), run ->
-          run RLIKE '[A-Za-z]' AND {model.score('run')} >= {THRESHOLD})
+        transform(regexp_extract_all(text, {quoted(RUN)}, 0), run -> cast(
+          run RLIKE '[A-Za-z]' AND {model.score('run')} >= {THRESHOLD} AS string))
     """
     frame = frame.select("doc_id", "text", *(F.expr(v).alias(k) for k, v in columns.items()))
     # Places of runs are worked out only in texts that hold a likely one.
     runs = {
-        "run_matches": when("size(likely) > 0", f"regexp_extract_all(text, {quoted(RUN)}, 0)"),
-        "run_between": when("size(likely) > 0", f"split(text, {quoted(RUN)}, -1)"),
+        "run_matches": when("array_contains(likely, 'true')", f"regexp_extract_all(text, {quoted(RUN)}, 0)"),
+        "run_between": when("array_contains(likely, 'true')", f"split(text, {quoted(RUN)}, -1)"),
     }
     frame = frame.select("*", *(F.expr(v).alias(k) for k, v in runs.items()))
     frame = frame.select(
         "doc_id",
         "text",
-        "likely",
         F.expr(located("assign_matches", "assign_between", "assign_values")).alias("assign"),
         F.expr(located("access_matches", "access_between", "access_matches")).alias("access"),
         F.expr(located("hex_matches", "hex_between", "hex_matches")).alias("hex"),
-        F.expr(located("run_matches", "run_between", "run_matches")).alias("runs"),
+        F.expr(located("run_matches", "run_between", "likely")).alias("runs"),
     )
     least = {"assign": MIN_ASSIGN, "access": MIN_ACCESS, "hex": MIN_HEX}
     base = ", ".join(as_spans(k, k, f"length(x.value) >= {n}") for k, n in least.items())
     frame = frame.select(
         "doc_id",
         "text",
-        "likely",
         "runs",
         F.expr(f"cast(array_sort(concat({base})) AS {SPANS})").alias("base"),
     )
-    own = as_spans(
-        "runs",
-        "markov",
-        "array_contains(likely, x.value)"
-        " AND NOT exists(base, b -> b.start <= x.start AND x.stop <= b.stop)",
-    )
+    own = f"cast({as_spans('runs', 'markov', "x.value = 'true'")} AS {SPANS})"
+    frame = frame.select("doc_id", "text", "base", F.expr(own).alias("own"))
     return frame.select(
         "doc_id",
         "text",
         "base",
-        F.expr(f"cast(array_sort(concat(base, {own})) AS {SPANS})").alias("spans"),
+        F.expr(f"cast(array_sort(concat(base, {uncovered('base', 'own')})) AS {SPANS})").alias("spans"),
     )
 
 
