@@ -24,6 +24,8 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -79,7 +81,6 @@ BESIDE_WORD = re.compile(
     r"js|\d*"
 )
 INNER = frozenset(("article", "main"))
-SPACE = re.compile(r"\s+")
 
 #: Kinds of tokens: the page itself, part, other tag or end of a part, text, text inside an article.
 PAGE, PART, MARK, TEXT, ARTICLE = range(5)
@@ -104,6 +105,13 @@ class Block:
         return 0 if self.outside else max(0, len(self.text) - self.linked)
 
 
+@lru_cache(maxsize=1024)
+def _named(name: str) -> tuple[str, str | None]:
+    """Name of a tag in lower case, and the element without markup that it opens."""
+    raw = RAW.match(name)
+    return name.lower(), raw and raw[1].lower()
+
+
 def tags(source: str) -> Iterator[tuple[int, int, str, bool, str]]:
     """Start, end, name, whether it closes, and attributes of each tag; other markup has no name.
 
@@ -119,6 +127,8 @@ def tags(source: str) -> Iterator[tuple[int, int, str, bool, str]]:
         nonlocal looked, special
         if at > last[">"]:
             return -1
+        if source[at] == ">":
+            return at
         if not looked <= at <= special:
             found = SPECIAL.search(source, at)
             looked, special = at, found.start() if found else len(source)
@@ -148,7 +158,7 @@ def tags(source: str) -> Iterator[tuple[int, int, str, bool, str]]:
                 at = source.find(">", at) + 1
                 yield start, at, "", False, ""
         else:
-            name, raw = found[2], RAW.match(found[2])
+            name, raw = _named(found[2])
             if raw and found[1]:
                 if at <= last[">"]:
                     at = source.find(">", at) + 1
@@ -158,12 +168,12 @@ def tags(source: str) -> Iterator[tuple[int, int, str, bool, str]]:
             if end < 0:
                 continue
             if raw:
-                closed = RAW_END[raw[1].lower()].search(source, end + 1)
+                closed = RAW_END[raw].search(source, end + 1)
                 at = closed.end() if closed else len(source)
                 yield start, at, "", False, ""
             else:
                 attributes, at = source[at:end], end + 1
-                yield start, at, name.lower(), bool(found[1]), attributes
+                yield start, at, name, bool(found[1]), attributes
 
 
 def parse(source: str) -> list[tuple[int, int, Block | None]]:
@@ -177,18 +187,11 @@ def parse(source: str) -> list[tuple[int, int, Block | None]]:
     parts: list[str] = []
     links = linked = 0
     heading = False
-    known: dict[tuple[str, int, str], int] = {}
-
-    def token(kind: str, path: int, text: str) -> int:
-        key = (kind, path, text)
-        if key not in known:
-            known[key] = _token(*key)
-        return known[key]
 
     def flush() -> None:
         nonlocal linked
         if parts:
-            text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
+            text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if text:
                 _, path, outside, inner = stack[-1]
@@ -200,7 +203,7 @@ def parse(source: str) -> list[tuple[int, int, Block | None]]:
     def close() -> str:
         name, path, _, _ = stack.pop()
         open_tags[name] -= 1
-        found.append((token("end", path, ""), MARK, None))
+        found.append((_mark("end", path, ""), MARK, None))
         return name
 
     def add(text: str) -> None:
@@ -231,14 +234,14 @@ def parse(source: str) -> list[tuple[int, int, Block | None]]:
             elif not attributes.rstrip().endswith("/"):
                 _, path, outside, inner = stack[-1]
                 label, own = _described(name, attributes, inner)
-                path = token("part", path, label)
+                path = _mark("part", path, label)
                 found.append((path, PART, None))
                 open_tags[name] += 1
                 stack.append((name, path, outside or own, inner or (name in INNER and not own)))
         elif name in BREAKS:
             flush()
             heading = name in HEADINGS and not closes
-            found.append((token("/" if closes else "", stack[-1][1], name), MARK, None))
+            found.append((_mark("/" if closes else "", stack[-1][1], name), MARK, None))
     if at < len(source):
         add(source[at:])
     flush()
@@ -267,6 +270,12 @@ def _described(name: str, attributes: str, inner: bool) -> tuple[str, bool]:
     return label, outside
 
 
+@lru_cache(maxsize=1 << 14)
+def _mark(kind: str, path: int, text: str) -> int:
+    return _token(kind, path, text)
+
+
+@lru_cache(maxsize=4096)
 def _outside(name: str) -> bool:
     words = re.split(r"[_-]+", name)
     own = [bool(OUTSIDE_WORD.fullmatch(word)) for word in words]
@@ -422,19 +431,22 @@ def streams(pages: DataFrame) -> DataFrame:
     """Pages of known hosts as tokens; written, since every step reads them."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = pa.struct(
-            [("token", pa.int64()), ("kind", pa.int32()), ("times", pa.int32())]
-            + [("place", pa.int32()), ("chars", pa.int64()), ("part", pa.int64())]
-        )
+        fields = [("token", pa.int64()), ("kind", pa.int32()), ("times", pa.int32())]
+        fields += [("place", pa.int32()), ("chars", pa.int64()), ("part", pa.int64())]
         for batch in batches:
             found = [vocabulary(source or "") for source in batch.column("html").to_pylist()]
-            names = [field.name for field in words]
+            ends = pa.array(accumulate((len(f[2]) for f in found), initial=0), pa.int32())
+            columns = zip(*(word for f in found for word in f[2]), strict=True) if found else [[]] * 6
+            words = pa.StructArray.from_arrays(
+                [pa.array(c, kind) for c, (_, kind) in zip(columns, fields, strict=True)],
+                names=[name for name, _ in fields],
+            )
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("host"),
                     pa.array([f[0] for f in found], pa.int64()),
                     pa.array([f[1] for f in found], pa.int64()),
-                    pa.array([[dict(zip(names, w, strict=True)) for w in f[2]] for f in found], pa.list_(words)),
+                    pa.ListArray.from_arrays(ends, words),
                     pa.array([f[3] for f in found], pa.list_(pa.int32())),
                 ],
                 names=["host", "content", "article", "vocabulary", "stream"],
