@@ -5,7 +5,8 @@ from __future__ import annotations
 import logging
 import re
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 from threading import Thread
 
 from pyspark.errors import AnalysisException
@@ -102,11 +103,84 @@ def load_staging(
     single tasks; this covers the failure of the whole write. What an attempt left behind is dropped
     by the next one before it writes.
     """
+    return _attempts(lambda: write_staging(rows, target, table, write_options), table, waits)
+
+
+@dataclass
+class Ledger:
+    """Pieces of a load that are committed, each a folder of its own below ``folder``.
+
+    ``rows`` holds, by the number of a piece, the rows its files say they hold; ``reused`` how often
+    an attempt found a piece there that it did not have to write again.
+    """
+
+    folder: str
+    rows: dict[int, int] = field(default_factory=dict)
+    reused: int = 0
+
+    def piece(self, number: int) -> str:
+        return f"{self.folder}/piece_{number:08d}"
+
+
+def write_pieces(
+    waves: Sequence[Callable[[], DataFrame]],
+    target: Target,
+    table: str,
+    ledger: Ledger,
+    write_options: dict[str, str] | None = None,
+) -> int:
+    """Write the waves of a table one after another and register them as one staging table.
+
+    A piece that the ledger holds is not read again. Any other starts from an empty folder, and
+    counts once its job is committed; the rows are those of the files that the commit left, so
+    nothing here waits for an event.
+    """
+    spark = target.spark
+    staging = f"{table}{STAGING}"
+    target.drop(staging)
+    schema = None
+    for number, wave in enumerate(waves):
+        if number in ledger.rows:
+            ledger.reused += 1
+            continue
+        rows = wave()
+        schema = rows.schema
+        rows.write.options(**{**WRITE_OPTIONS, **(write_options or {})}).mode("overwrite").parquet(
+            ledger.piece(number)
+        )
+        ledger.rows[number] = spark.read.schema(schema).parquet(ledger.piece(number)).count()
+    target.register(staging, ledger.folder, schema or waves[0]().schema)
+    return sum(ledger.rows[number] for number in range(len(waves)))
+
+
+def load_pieces(
+    waves: Sequence[Callable[[], DataFrame]],
+    target: Target,
+    table: str,
+    waits: Sequence[float] = WAITS,
+    write_options: dict[str, str] | None = None,
+    ledger: Ledger | None = None,
+) -> int:
+    """:func:`write_pieces`, once more after each of ``waits`` (seconds) if the environment failed:
+    a further attempt writes only what is missing. A ``ledger`` that is given outlasts a failure, so
+    that a later call can go on; the folder of one that is not is deleted."""
+    kept = ledger or Ledger(target.new_folder(table))
+    try:
+        return _attempts(
+            lambda: write_pieces(waves, target, table, kept, write_options), table, waits
+        )
+    except Exception:
+        if ledger is None:
+            delete_folder(target.spark, kept.folder)
+        raise
+
+
+def _attempts(write: Callable[[], int | None], table: str, waits: Sequence[float]) -> int | None:
     failed: list[str] = []
     pauses = iter(waits)
     while True:
         try:
-            return write_staging(rows, target, table, write_options)
+            return write()
         except Exception as error:
             pause = None if is_lasting(error) else next(pauses, None)
             if pause is None:

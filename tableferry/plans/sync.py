@@ -8,19 +8,21 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tableferry.frames import small_frame
 from tableferry.functions.projection import ProjectionOptions, project
+from tableferry.functions.types import SourceColumn
 from tableferry.operators.audit import (
     AUDIT_TABLE,
     append_audit,
     audit_record,
     ensure_audit_table,
 )
-from tableferry.operators.stage import load_staging, waits_of
+from tableferry.operators.stage import load_pieces, load_staging, waits_of
 from tableferry.operators.target import STAGING, Target
 from tableferry.operators.validate import json_types_ok, validate_count
 from tableferry.plans.report import run_report, run_summary
@@ -115,21 +117,16 @@ def load_table(
         target.check_name(table)  # the catalog itself would only refuse it after the write
         target.restore_if_missing(table)
         columns = source.columns(table)
-        rows = project(source.read(table), columns, moment, options.projection)
-        waits = waits_of(options.write_attempts)
-        written = load_staging(rows, target, table, waits, options.write_options)
-        if written is None:
-            log.warning("%s: rows written not reported, counting the source", table)
-            written = source.count(table).first().row_count
-        result["rows_loaded"] = written
-
-        staging = f"{table}{STAGING}"
-        check = validate_count(result["rows_loaded"], target, staging)
-        result["expected_count"], result["actual_count"] = check.expected, check.actual
-        valid = check.ok and json_types_ok(target, staging, columns)
-        if valid and options.recount_source:
-            result["expected_count"] = source.count(table).first().row_count
-            valid = result["expected_count"] == check.actual
+        with source.snapshot(table):
+            result["rows_loaded"] = _stage(source, target, table, columns, moment, options)
+
+            staging = f"{table}{STAGING}"
+            check = validate_count(result["rows_loaded"], target, staging)
+            result["expected_count"], result["actual_count"] = check.expected, check.actual
+            valid = check.ok and json_types_ok(target, staging, columns)
+            if valid and options.recount_source:
+                result["expected_count"] = source.count(table).first().row_count
+                valid = result["expected_count"] == check.actual
 
         if valid:
             target.swap(table, moment, options.keep_backups)
@@ -152,6 +149,31 @@ def load_table(
     return result
 
 
+def _stage(
+    source: Source,
+    target: Target,
+    table: str,
+    columns: Sequence[SourceColumn],
+    moment: datetime,
+    options: SyncOptions,
+) -> int:
+    """Write a table to staging, in one job or piece by piece; returns the rows written."""
+
+    def opened(wave: Callable[[], DataFrame]) -> DataFrame:
+        return project(wave(), columns, moment, options.projection)
+
+    waves = source.waves(table)
+    waits = waits_of(options.write_attempts)
+    if len(waves) > 1:
+        projected = [partial(opened, wave) for wave in waves]
+        return load_pieces(projected, target, table, waits, options.write_options)
+    written = load_staging(opened(waves[0]), target, table, waits, options.write_options)
+    if written is None:
+        log.warning("%s: rows written not reported, counting the source", table)
+        written = source.count(table).first().row_count
+    return written
+
+
 def attempt_table(
     source: Source,
     target: Target,

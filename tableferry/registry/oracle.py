@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tableferry.registry.queries import EXCLUDED, MIDDLE, PLAIN_LOADS, REPORT_TITLE, TABLES
+from tableferry.registry.queries import EXCLUDED, MIDDLE, PIECES, PLAIN_LOADS, REPORT_TITLE, TABLES
 
 # Columns of the given tables.
 COLUMNS = {
@@ -426,6 +426,16 @@ ORACLE: dict[str, str] = {
                CAST(ABS(delta) AS BIGINT) AS copies, k, o_custkey, o_totalprice, o_orderpriority
         FROM f WHERE NOT paired OR delta > 0
     """,
+    "pointer_publish": f"""
+        SELECT * REPLACE ({LATER} AS "LOADED_AT_UTC"), 'final' AS "VERSION" FROM ({_load("orders")})
+        UNION ALL
+        SELECT *, 'backup' AS "VERSION" FROM ({_load("orders")}) WHERE "O_ORDERKEY" % 2 = 0
+    """,
+    "resumed_load": f"""
+        SELECT CAST(COALESCE(l_orderkey % {PIECES}, 0) AS INTEGER) AS piece, COUNT(*) AS n_rows,
+               SUM(l_quantity) AS sum_quantity, CAST(2 AS BIGINT) AS reused
+        FROM lineitem GROUP BY ALL
+    """,
     "change_sets_applied": f"WITH {_VERSIONS} SELECT * FROM new",
     "table_checksums": " UNION ALL ".join(_checksum(table) for table in TABLES),
     "checksum_tree_rows": _altered(_LINEITEM_PARTS, 1)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tableferry.operators.changes import apply_changes, change_sets
 from tableferry.operators.checksum import Fingerprint, checksums, differing_rows
 from tableferry.operators.counts import count_tables
 from tableferry.operators.messages import message_head, purge_counts, select_purgeable
+from tableferry.operators.stage import Ledger, load_pieces
 from tableferry.operators.target import Target
 from tableferry.operators.validate import check_json_types, target_column_catalog
 from tableferry.plans.increment import LOAD_ID, Cursor, sync_increment
@@ -225,6 +227,48 @@ def backup_keeps_old_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamped(target.read(target.backups("party")[-1]))
 
 
+def pointer_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of a table, then all of it in the same form: the final and its backup side by side."""
+    target = workspace_target(spark, "pointer", sf_dir)
+    orders = folder(spark, sf_dir).read("orders")
+    half = orders.where(F.col("o_orderkey") % 2 == 0)
+    load_ok(FrameSource(spark, {"orders": half}), target, "orders")
+    load_ok(FrameSource(spark, {"orders": orders}), target, "orders", LATER_TS, keep_backups=1)
+    versions = {"final": "orders", "backup": target.backups("orders")[-1]}
+    final, backup = (
+        stamped(target.read(name)).withColumn("VERSION", F.lit(version))
+        for version, name in versions.items()
+    )
+    return final.unionAll(backup)
+
+
+PIECES = 4
+
+
+def resumed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load in pieces whose third one fails, and the load that goes on from there."""
+    target = workspace_target(spark, "resumed", sf_dir)
+    rows = folder(spark, sf_dir).read("lineitem")
+    number = F.coalesce(F.pmod("l_orderkey", F.lit(PIECES)), F.lit(0))
+    waves = [partial(rows.where, number == i) for i in range(PIECES)]
+    lost = [*waves]
+    lost[2] = partial(rows.where, F.raise_error(F.lit("connection lost")).isNull())
+    ledger = Ledger(target.new_folder("lineitem"))
+    try:
+        load_pieces(lost, target, "lineitem", waits=(), ledger=ledger)
+    except Exception as error:
+        if "connection lost" not in str(error):
+            raise
+    load_pieces(waves, target, "lineitem", ledger=ledger)
+    target.swap("lineitem", LOAD_TS)
+    stored = target.read("lineitem").withColumn("path", F.col("_metadata.file_path"))
+    return stored.groupBy(F.regexp_extract("path", r"piece_(\d+)", 1).cast("int").alias("piece")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("l_quantity").alias("sum_quantity"),
+        F.lit(ledger.reused).cast("bigint").alias("reused"),
+    )
+
+
 def failed_validation_keeps_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second load stores JSON as text, fails validation, and changes nothing."""
     target = workspace_target(spark, "keeps_final", sf_dir)
@@ -526,6 +570,8 @@ QUERIES: dict[str, Query] = {
     "load_lenient_json": lenient_json,
     "swap_publishes_new_rows": swap_publishes_new_rows,
     "backup_keeps_old_rows": backup_keeps_old_rows,
+    "pointer_publish": pointer_publish,
+    "resumed_load": resumed_load,
     "failed_validation_keeps_final": failed_validation_keeps_final,
     "malformed_json_is_error": malformed_json_is_error,
     "sync_results": sync_results,

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from abc import ABC, abstractmethod
 from collections import defaultdict
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +70,18 @@ class Source(ABC):
     def read(self, table: str) -> DataFrame:
         """All rows and columns of a table; nothing is read before an action."""
 
+    def waves(self, table: str) -> list[Callable[[], DataFrame]]:
+        """The table in disjoint parts, written one after another; together they are :meth:`read`.
+
+        A part is opened only when its turn comes, and again if its write has to be repeated.
+        """
+        return [partial(self.read, table)]
+
+    @contextmanager
+    def snapshot(self, table: str) -> Iterator[None]:
+        """While it lasts, all reads of this thread see one state of the table, if the source can."""
+        yield
+
     def count(self, table: str) -> DataFrame:
         """One row, ``row_count``."""
         return count_rows(self.read(table))

@@ -7,10 +7,12 @@ import math
 import re
 import threading
 from collections import Counter
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from contextlib import closing, contextmanager
 from dataclasses import dataclass, field
 from datetime import date, datetime
-from functools import reduce
+from functools import partial, reduce
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +24,14 @@ from tableferry.sources.base import Source, introspect_columns
 
 log = logging.getLogger(__name__)
 
-# A database that lacks what page ranges are asked with; any other error is one of the table.
-_LACKING = re.compile(r"does not exist|not supported", re.I)
+# A database that lacks what page ranges are asked with (unknown function, or no such catalog
+# table); any other error is one of the table.
+_LACKING = re.compile(
+    r"SQLSTATE:? ?\(?(42883|42P01)"
+    r"|function \S*(pg_partition_tree|pg_relation_size|to_regclass)\b.* does not exist"
+    r'|relation "?(pg_class|pg_namespace)"? does not exist',
+    re.I,
+)
 
 
 def quote_name(name: str) -> str:
@@ -37,8 +45,9 @@ class Split:
 
     ``predicates``: disjoint conditions that together cover the table; used as they are.
     ``column``: a key, best a unique and indexed one; the table is cut into about ``parts`` ranges
-    of it with equally many rows, however unevenly the values are spread. Rows of one key value
-    stay together, so a key that repeats a lot calls for ``predicates``.
+    of it with equally many rows (without ``parts``: as many as its row count asks for), however
+    unevenly the values are spread. Rows of one key value stay together, so a key that repeats a
+    lot calls for ``predicates``.
     With neither, a Postgres table or its partitions are cut into equal runs of pages; a view, or
     a table elsewhere, is read by one task.
     """
@@ -105,9 +114,14 @@ def range_predicates(key: str, starts: Sequence, places: Sequence[int] | None =
 class JdbcSource(Source):
     """All tables and views of a database schema that has an ``information_schema``.
 
-    ``properties`` are Spark's JDBC options (user, password, driver, ...). A table is read over at
-    most ``max_connections`` connections at a time, whatever the size of the cluster; a run with
-    several workers reads that many times more.
+    ``properties`` are Spark's JDBC options (user, password, driver, ...). A table is cut into pieces
+    of about ``part_bytes`` (``part_rows`` where only rows are known), however many that makes, and
+    read over at most ``max_connections`` connections at a time, whatever the size of the cluster:
+    a load takes the pieces in waves of that many. A run with several workers reads that many times
+    more.
+
+    ``connect`` opens a DB-API connection to a Postgres database. With it a load reads one exported
+    snapshot of its table over all connections; without, each connection sees its own moment.
     """
 
     def __init__(
@@ -120,6 +134,8 @@ class JdbcSource(Source):
         fetch_size: int = 5000,
         part_bytes: int = 256 << 20,
         max_connections: int = 32,
+        part_rows: int = 1_000_000,
+        connect: Callable | None = None,
     ):
         super().__init__(spark)
         self.url = url
@@ -129,13 +145,42 @@ class JdbcSource(Source):
         self.fetch_size = fetch_size
         self.part_bytes = part_bytes
         self.max_connections = max_connections
+        self.part_rows = part_rows
+        self.connect = connect
         self.counts_per_query = max_connections  # each count holds a connection
+        self._local = threading.local()  # tables are loaded by one thread each
         self._columns: dict[str, list[SourceColumn]] | None = None
         self._columns_lock = threading.Lock()
 
     def options(self, **more: str) -> dict[str, str]:
         base = {"url": self.url, "fetchsize": str(self.fetch_size), "preferTimestampNTZ": "true"}
-        return {**base, **self.properties, **more}
+        made = {**base, **self.properties, **more}
+        snapshot = getattr(self._local, "snapshot", None)
+        if snapshot:
+            # Only the first statement of a transaction can choose its snapshot.
+            first = (
+                "SET TRANSACTION ISOLATION LEVEL REPEATABLE READ;"
+                f" SET TRANSACTION SNAPSHOT {sql_literal(snapshot)}"
+            )
+            given = made.get("sessionInitStatement")
+            made["sessionInitStatement"] = f"{first}; {given}" if given else first
+        return made
+
+    @contextmanager
+    def snapshot(self, table: str) -> Iterator[None]:
+        if self.connect is None:
+            yield
+            return
+        # A transaction that stays open keeps the snapshot for those who read by its name.
+        with closing(self.connect()) as connection, closing(connection.cursor()) as cursor:
+            cursor.execute("SET TRANSACTION ISOLATION LEVEL REPEATABLE READ, READ ONLY")
+            cursor.execute("SELECT pg_export_snapshot()")
+            self._local.snapshot = cursor.fetchone()[0]
+            try:
+                yield
+            finally:
+                self._local.snapshot = None
+                connection.rollback()
 
     def _query(self, sql: str) -> DataFrame:
         return self._load(self.options(query=sql))
@@ -178,24 +223,44 @@ class JdbcSource(Source):
         return f"{quote_name(self.schema)}.{quote_name(table)}"
 
     def read(self, table: str) -> DataFrame:
+        pieces = self._pieces(table)
+        whole = self._read_pieces(table, pieces)
+        tasks = sum(max(1, len(predicates)) for _, predicates in pieces)
+        return whole.coalesce(self.max_connections) if tasks > self.max_connections else whole
+
+    def waves(self, table: str) -> list[Callable[[], DataFrame]]:
+        # One entry a connection: a stored table, and a condition or all of it.
+        flat = [(name, p) for name, predicates in self._pieces(table) for p in predicates or [None]]
+        waves = []
+        for start in range(0, len(flat), self.max_connections):
+            pieces = [
+                (name, [predicate for _, predicate in entries if predicate is not None])
+                for name, entries in groupby(
+                    flat[start : start + self.max_connections], key=lambda entry: entry[0]
+                )
+            ]
+            waves.append(partial(self._read_pieces, table, pieces))
+        return waves
+
+    def _pieces(self, table: str) -> list[tuple[str, list[str]]]:
+        """Stored tables with the conditions they are read by, one connection each."""
         split = self.splits.get(table, Split())
         name = self.qualified(table)
         if split.predicates:
-            pieces = [(name, list(split.predicates))]
-        elif split.column:
-            pieces = [(name, self._key_ranges(name, split))]
-        elif self.url.startswith("jdbc:postgresql:"):
-            pieces = self._page_ranges(name, split.parts)
-        else:
-            pieces = [(name, [])]
+            return [(name, list(split.predicates))]
+        if split.column:
+            return [(name, self._key_ranges(name, split))]
+        if self.url.startswith("jdbc:postgresql:"):
+            return self._page_ranges(name, split.parts)
+        return [(name, [])]
+
+    def _read_pieces(self, table: str, pieces: Sequence[tuple[str, list[str]]]) -> DataFrame:
         frames = [self._read_piece(*piece) for piece in pieces]
-        if len(frames) > 1:
+        if any(name != self.qualified(table) for name, _ in pieces):
             # Partitions may hold their columns in another order than the table.
             names = [quote_identifier(column.name) for column in self.columns(table)]
             frames = [frame.select(*names) for frame in frames]
-        tasks = sum(max(1, len(predicates)) for _, predicates in pieces)
-        whole = reduce(DataFrame.unionAll, frames)
-        return whole.coalesce(self.max_connections) if tasks > self.max_connections else whole
+        return reduce(DataFrame.unionAll, frames)
 
     def count(self, table: str) -> DataFrame:
         # Counted by the database: counting a read would send every row over the connection.
@@ -212,7 +277,10 @@ class JdbcSource(Source):
     def _key_ranges(self, name: str, split: Split) -> list[str]:
         # The database cuts the sorted keys into tiles of equal size; one row per tile comes back.
         key = quote_name(split.column)
-        parts = split.parts or self.max_connections
+        parts = split.parts
+        if parts is None:
+            counted = self._query(f"SELECT COUNT(*) AS row_count FROM {name}").first()[0]
+            parts = max(1, math.ceil(int(counted) / self.part_rows))
         tiles = (
             f" FROM (SELECT {key} AS k, NTILE({parts}) OVER (ORDER BY {key})"
             f" AS tile FROM {name} WHERE {key} IS NOT NULL) t GROUP BY tile"
@@ -247,7 +315,7 @@ class JdbcSource(Source):
         total = sum(row.bytes for row in stored)
         if not total:
             return [(name, [])]
-        wanted = parts or min(self.max_connections, math.ceil(total / self.part_bytes))
+        wanted = parts or math.ceil(total / self.part_bytes)
         return [
             (
                 f"{quote_name(row.schema_name)}.{quote_name(row.table_name)}",

@@ -29,6 +29,10 @@ def is_inside(location: str, root: str) -> bool:
     return _plain(location).startswith(_plain(root) + "/")
 
 
+def same_place(location: str, other: str) -> bool:
+    return _plain(location) == _plain(other)
+
+
 def _plain(location: str) -> str:
     scheme, separator, rest = location.partition(":")
     if separator and scheme == "file":

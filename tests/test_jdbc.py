@@ -97,7 +97,7 @@ def test_page_ranges_follow_the_size(spark):
     source = Catalog(spark, URL, max_connections=100)
     assert ranges(source) == {'"public"."b"': 40}  # 10 GiB in runs of 256 MiB
     assert ranges(source, 7) == {'"public"."b"': 7}
-    assert ranges(Catalog(spark, URL)) == {'"public"."b"': 32}
+    assert ranges(Catalog(spark, URL)) == {'"public"."b"': 40}  # connections do not bound pieces
     source.pages = [("public", "b", 0, 8192)]
     assert ranges(source) == {'"public"."b"': 0}
     source.pages = []
@@ -210,7 +210,7 @@ def test_way_of_reading(spark):
         )
     ]
     by_pages, frame = pieces(Recorded(spark, URL))
-    assert by_pages[0][0] == name and len(by_pages[0][1]) == 32
+    assert by_pages[0][0] == name and len(by_pages[0][1]) == 40
     assert frame.rdd.getNumPartitions() == 32
     assert pieces(Recorded(spark, "jdbc:other:x"))[0] == [(name, [])]
 
@@ -227,3 +227,84 @@ def test_connections_are_bounded(spark):
     source = Recorded(spark, URL, max_connections=3, splits={"b": Split(predicates=[f"x = {i}" for i in range(50)])})
     _, frame = pieces(source)
     assert frame.rdd.getNumPartitions() == 3
+
+
+def test_a_load_takes_the_pieces_in_waves(spark):
+    source = Recorded(spark, URL, max_connections=16)
+    waves = source.waves("b")
+    assert len(waves) == 3 and source.pieces == []  # opened when their turn comes
+    for wave in waves:
+        wave()
+    sizes = [len(predicates) for _, predicates in source.pieces]
+    assert sizes == [16, 16, 8] and {name for name, _ in source.pieces} == {'"public"."b"'}
+    assert covered([p for _, predicates in source.pieces for p in predicates], 2000) == [1] * 2000
+
+
+def test_waves_go_on_over_partitions(spark):
+    source = Recorded(spark, URL, max_connections=6)
+    source.pages = [("public", f"b_{i}", size << 20, 8192) for i, size in enumerate([1024, 100, 0, 768])]
+    frames = [wave() for wave in source.waves("b")]
+    # 4, 1 (whole), 1 (empty), 3 pieces: six connections, then the rest
+    assert [name[-2] for name, _ in source.pieces] == list("0123") and len(frames) == 2
+    assert [len(p) for _, p in source.pieces] == [4, 0, 0, 3]
+    assert all(frame.columns == ["id", "j"] for frame in frames)
+
+
+def test_keys_are_cut_by_the_number_of_rows(spark):
+    class Asked(Catalog):
+        def _query(self, sql):
+            self.asked = [*getattr(self, "asked", []), sql]
+            return super()._query(sql)
+
+    source = Asked(spark, "jdbc:other:x", part_rows=2, max_connections=3)
+    source._key_ranges('"public"."b"', Split(column="id"))
+    assert "NTILE(4)" in source.asked[-1]  # 7 rows by 2
+
+
+def test_errors_about_a_table_are_not_taken_for_an_old_database(spark):
+    class Broken(Catalog):
+        def _query(self, sql):
+            raise RuntimeError('relation "public.b" does not exist')
+
+    with pytest.raises(RuntimeError):
+        ranges(Broken(spark, URL))
+
+
+class Connection:
+    """A DB-API connection that records what it is asked."""
+
+    def __init__(self, log):
+        self.log = log
+
+    def cursor(self):
+        return self
+
+    def execute(self, sql):
+        self.log.append(sql)
+
+    def fetchone(self):
+        return ("00000003-1B-1",)
+
+    def rollback(self):
+        self.log.append("rollback")
+
+    def close(self):
+        self.log.append("close")
+
+
+def test_all_reads_of_a_load_see_one_snapshot(spark):
+    log = []
+    source = Catalog(spark, URL, connect=lambda: Connection(log))
+    assert "sessionInitStatement" not in source.options()
+    with pytest.raises(ValueError), source.snapshot("b"):
+        assert log[0].startswith("SET TRANSACTION ISOLATION LEVEL REPEATABLE READ")
+        assert log[1:] == ["SELECT pg_export_snapshot()"]
+        first = source.options()["sessionInitStatement"]
+        assert first.endswith("SET TRANSACTION SNAPSHOT '00000003-1B-1'")
+        more = source.options(sessionInitStatement="SET x = 1")["sessionInitStatement"]
+        assert more == f"{first}; SET x = 1"
+        raise ValueError
+    assert log[2:] == ["rollback", "close", "close"]
+    assert "sessionInitStatement" not in source.options()
+    with Catalog(spark, URL).snapshot("b"):
+        assert "sessionInitStatement" not in source.options()

@@ -159,15 +159,18 @@ def test_failed_publish_restores_final(spark, target, monkeypatch):
         real(self, table, new_name)
 
     monkeypatch.setattr(Target, "rename", rename)
-    result = load(people(spark, [(2, "b")]), target, ts=T2)
+    other = FrameSource(spark, frames(spark, people=([(2, True)], "id int, name boolean")))
+    result = load(other, target, ts=T2)
     assert result["status"] == "ERROR" and "no rename" in result["error"]
     assert stored(target, "people") == [(1, "a")] and table_names(spark, target) == ["people"]
+    assert not target._is_marked("people")
     with pytest.raises(SwapError):
         target.swap("people", T2)
 
 
 def test_run_cut_off_between_the_renames_is_repaired(spark, target):
     load(people(spark, [(1, "a")]), target)
+    target._mark("people")
     target.rename("people", "people__backup_20240101_000000")
     bad = FrameSource(spark, {"people": spark.range(1).selectExpr("raise_error('down') AS id")})
     assert load(bad, target, ts=T2)["status"] == "ERROR"
