@@ -38,6 +38,8 @@ from tableferry.llm.common import written
 SUPPORT, MIN_PAGES, MIN_TOKENS = 0.6, 2, 3
 #: Texts inside articles: on all of at least so many pages.
 MIN_ARTICLES = 4
+#: Templates that a task has at hand, each bounded by the size of a page.
+REMEMBERED_HOSTS = 64
 #: Templates of up to so many tokens (8 bytes each) over all hosts are broadcast.
 BROADCAST_TOKENS = 1_000_000
 
@@ -85,7 +87,11 @@ INNER = frozenset(("article", "main"))
 #: Kinds of tokens: the page itself, part, other tag or end of a part, text, text inside an article.
 PAGE, PART, MARK, TEXT, ARTICLE = range(5)
 VOCABULARY = "array<struct<token: long, kind: int, times: int, place: int, chars: long, part: long>>"
-STREAM = f"host string, content long, article long, vocabulary {VOCABULARY}, stream array<int>"
+BLOCKS = "array<struct<at: int, inner: boolean, text: string>>"
+STREAM = (
+    "page_id long, url string, host string, content long, article long, "
+    f"vocabulary {VOCABULARY}, stream array<int>, blocks {BLOCKS}"
+)
 CLASSES = "array<struct<id: int, tokens: array<long>>>"
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
@@ -288,13 +294,28 @@ def _token(kind: str, path: int, text: str) -> int:
 
 
 def vocabulary(source: str) -> tuple[int, int, list[tuple[int, ...]], list[int]]:
-    """Content, characters of the article, tokens, and the page as places among its tokens.
+    """:func:`read_page` without the blocks, and without the places of headings in articles."""
+    content, article, words, stream, _ = read_page(source)
+    return content, article, words, [place for place in stream if place]
+
+
+def read_page(
+    source: str,
+) -> tuple[int, int, list[tuple[int, ...]], list[int], list[tuple[int, bool, str]]]:
+    """Content, characters of the article, tokens, the page as places among its tokens, and the blocks that
+    may be main text: place in the page, whether inside an article, text.
 
     Tokens come with kind, times, first place, characters outside links (of a part: of its own blocks) and
     the part that a text stands in. The content tells pages of different main text apart. Headings of an
-    article belong to it, however many articles share them, and are no tokens.
+    article belong to it, however many articles share them, and are no tokens: they stand in the page as the
+    token 0, which is of no class.
     """
     found = parse(source)
+    texts = [
+        (place, block.inner, block.text)
+        for place, (_, _, block) in enumerate(found)
+        if block is not None and not block.outside
+    ]
     blocks = [block for _, _, block in found if block is not None and not block.outside]
     main = [b for b in blocks if b.inner] or blocks
     content = _token("content", 0, "\0".join(b.text for b in main))
@@ -306,6 +327,7 @@ def vocabulary(source: str) -> tuple[int, int, list[tuple[int, ...]], list[int]]
     stream = []
     for place, (token, kind, block) in enumerate(found):
         if kind == ARTICLE and block.heading:
+            stream.append(0)
             continue
         if token not in order:
             order[token] = len(rows)
@@ -318,7 +340,7 @@ def vocabulary(source: str) -> tuple[int, int, list[tuple[int, ...]], list[int]]
         stream.append(order[token])
     rows[0][2] = 1
     article = sum(b.chars for b in main)
-    return content, article, [tuple(row) for row in rows], stream
+    return content, article, [tuple(row) for row in rows], stream, texts
 
 
 def host() -> Column:
@@ -427,33 +449,58 @@ class Template:
         return found
 
 
+def _templates(batch: pa.RecordBatch) -> Iterator[Template]:
+    """The template of each page of a batch, made once while its host is among the last ones."""
+    made: dict[str | None, Template] = {}
+    classes = batch.column("classes")
+    for row, name in enumerate(batch.column("host").to_pylist()):
+        if name not in made:
+            if len(made) >= REMEMBERED_HOSTS:
+                made.clear()
+            made[name] = Template([(c["id"], c["tokens"]) for c in classes[row].as_py() or ()])
+        yield made[name]
+
+
 def streams(pages: DataFrame) -> DataFrame:
-    """Pages of known hosts as tokens; written, since every step reads them."""
+    """Pages as tokens and blocks; written, since every step reads them, so that a page is parsed once."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = [("token", pa.int64()), ("kind", pa.int32()), ("times", pa.int32())]
         fields += [("place", pa.int32()), ("chars", pa.int64()), ("part", pa.int64())]
         for batch in batches:
-            found = [vocabulary(source or "") for source in batch.column("html").to_pylist()]
+            found = [read_page(source or "") for source in batch.column("html").to_pylist()]
             ends = pa.array(accumulate((len(f[2]) for f in found), initial=0), pa.int32())
             columns = zip(*(word for f in found for word in f[2]), strict=True) if found else [[]] * 6
             words = pa.StructArray.from_arrays(
                 [pa.array(c, kind) for c, (_, kind) in zip(columns, fields, strict=True)],
                 names=[name for name, _ in fields],
             )
+            text_ends = pa.array(accumulate((len(f[4]) for f in found), initial=0), pa.int32())
+            texts = [text for f in found for text in f[4]]
+            blocks = pa.StructArray.from_arrays(
+                [
+                    pa.array([t[0] for t in texts], pa.int32()),
+                    pa.array([t[1] for t in texts], pa.bool_()),
+                    pa.array([t[2] for t in texts], pa.string()),
+                ],
+                names=["at", "inner", "text"],
+            )
             yield pa.RecordBatch.from_arrays(
                 [
+                    batch.column("page_id"),
+                    batch.column("url"),
                     batch.column("host"),
                     pa.array([f[0] for f in found], pa.int64()),
                     pa.array([f[1] for f in found], pa.int64()),
                     pa.ListArray.from_arrays(ends, words),
                     pa.array([f[3] for f in found], pa.list_(pa.int32())),
+                    pa.ListArray.from_arrays(text_ends, blocks),
                 ],
-                names=["host", "content", "article", "vocabulary", "stream"],
+                names=["page_id", "url", "host", "content", "article", "vocabulary", "stream", "blocks"],
             )
 
-    known = pages.select(host().alias("host"), "html").where("host IS NOT NULL")
-    return written(known.mapInArrow(work, STREAM), "streams")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host().alias("host"), "html")
+    return written(rows.mapInArrow(work, STREAM), "streams")
 
 
 def candidates(pages: DataFrame) -> DataFrame:
@@ -463,7 +510,8 @@ def candidates(pages: DataFrame) -> DataFrame:
     """
     # One row a token and content before tokens meet, so a token of all pages is not in one place.
     tokens = (
-        pages.select("host", "content", "article", F.inline("vocabulary"))
+        pages.where("host IS NOT NULL")
+        .select("host", "content", "article", F.inline("vocabulary"))
         .groupBy("host", "token", "content")
         .agg(
             F.max("times").alias("times"),
@@ -552,13 +600,9 @@ def valid(pages: DataFrame, tokens: DataFrame) -> DataFrame:
     """Of the candidates, the tokens of classes with enough tokens that stand in order and nested on all pages."""
 
     def read(batch: pa.RecordBatch) -> Iterator[tuple[str, Template, list[int]]]:
-        template, name = None, None
-        for host_name, classes, words, stream in zip(
-            *(batch.column(c).to_pylist() for c in ("host", "classes", "words", "stream")), strict=True
-        ):
-            if host_name != name:
-                template, name = Template([(c["id"], c["tokens"]) for c in classes]), host_name
-            yield host_name, template, [words[place] for place in stream]
+        names, words, streams = (batch.column(c).to_pylist() for c in ("host", "words", "stream"))
+        for name, template, tokens, stream in zip(names, _templates(batch), words, streams, strict=True):
+            yield name, template, [tokens[place] for place in stream]
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -611,48 +655,58 @@ def valid(pages: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def extract(source: str, template: Template, part: int | None) -> list[tuple[int, int, str]]:
-    """Class and gap of the slot and text of the blocks of a page that belong to the main text."""
-    found = parse(source)
-    page = [0 if kind == ARTICLE and block.heading else token for token, kind, block in found]
+    """:func:`main_blocks` of the html of one page."""
+    _, _, words, stream, texts = read_page(source)
+    page = [words[place][0] for place in stream]
+    return main_blocks(page, {at: (inner, text) for at, inner, text in texts}, template, part)
+
+
+def main_blocks(
+    page: list[int], texts: dict[int, tuple[bool, str]], template: Template, part: int | None
+) -> list[tuple[int, int, str]]:
+    """Class and gap of the slot and text of the blocks that belong to the main text, from the tokens of a
+    page and the blocks at their places."""
     places = (slot for slot in template.slots(page) if not slot[3])
-    blocks: list[tuple[int, int, Block, bool]] = []
+    blocks: list[tuple[int, int, bool, str, bool]] = []
     within = 0
     end = _token("end", part, "") if part is not None else None
-    for (token, _, block), (number, gap, of, _) in zip(found, places, strict=True):
+    for at, (token, (number, gap, of, _)) in enumerate(zip(page, places, strict=True)):
         within += (token == part) - (token == end)
-        if block is not None and not block.outside and of < 0:
-            blocks.append((number, gap, block, within > 0))
-    has_article = any(b is not None and b.inner and not b.outside for _, _, b in found)
-    if has_article:
-        blocks = [b for b in blocks if b[2].inner]
-    elif any(b[3] for b in blocks):
-        blocks = [b for b in blocks if b[3]]
-    return [(number, gap, block.text) for number, gap, block, _ in blocks]
+        if of < 0 and at in texts:
+            blocks.append((number, gap, *texts[at], within > 0))
+    if any(inner for inner, _ in texts.values()):
+        blocks = [b for b in blocks if b[2]]
+    elif any(b[4] for b in blocks):
+        blocks = [b for b in blocks if b[4]]
+    return [(number, gap, text) for number, gap, _, text, _ in blocks]
 
 
 def main_slots(pages: DataFrame) -> DataFrame:
     """Pages with ``slots``: class and gap (-1 outside all classes) and text of each block of the main text."""
-    found = streams(pages)
-    frequent = written(candidates(found), "classes")
-    tokens = valid(found, frequent)
+    parsed = streams(pages)
+    frequent = written(candidates(parsed), "classes")
+    tokens = valid(parsed, frequent)
     found = written(as_classes(tokens).join(parts(frequent), "host", "full"), "templates")
     rows = met(
-        pages.select("page_id", "url", "html", host().alias("host")), found, tokens.count(), "left"
-    ).select("page_id", "url", "html", "classes", "part")
+        parsed.select("page_id", "url", "host", F.col("vocabulary.token").alias("words"), "stream", "blocks"),
+        found,
+        tokens.count(),
+        "left",
+    ).select("page_id", "url", "host", "words", "stream", "blocks", "classes", "part")
     slot = pa.struct([("class", pa.int32()), ("gap", pa.int32()), ("text", pa.string())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for source, classes, part in zip(
-                *(batch.column(c).to_pylist() for c in ("html", "classes", "part")), strict=True
-            ):
-                template = Template([(c["id"], c["tokens"]) for c in classes or ()])
+            columns = (batch.column(c).to_pylist() for c in ("words", "stream", "blocks", "part"))
+            for template, words, stream, blocks, part in zip(_templates(batch), *columns, strict=True):
+                texts = {block["at"]: (block["inner"], block["text"]) for block in blocks}
+                page = [words[place] for place in stream]
                 found.append(
-                    [{"class": c, "gap": g, "text": t} for c, g, t in extract(source or "", template, part)]
+                    [{"class": c, "gap": g, "text": t} for c, g, t in main_blocks(page, texts, template, part)]
                 )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id").cast(pa.int64()), batch.column("url"), pa.array(found, pa.list_(slot))],
+                [batch.column("page_id"), batch.column("url"), pa.array(found, pa.list_(slot))],
                 names=["page_id", "url", "slots"],
             )
 
