@@ -57,11 +57,11 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return folder
 
 
-def written(frame: DataFrame, purpose: str) -> DataFrame:
-    """The frame as a written table: computed once, and safe against lost executors."""
+def written(frame: DataFrame, purpose: str, **options: str) -> DataFrame:
+    """The frame as a written table: computed once, and safe against lost executors. ``options`` of the write."""
     spark = frame.sparkSession
     path = new_folder(spark, purpose)
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -500,7 +500,7 @@ def streams(pages: DataFrame) -> DataFrame:
             )
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host().alias("host"), "html")
-    return written(rows.mapInArrow(work, STREAM), "streams")
+    return written(rows.mapInArrow(work, STREAM), "streams", compression="zstd")  # mostly text
 
 
 def candidates(pages: DataFrame) -> DataFrame:
