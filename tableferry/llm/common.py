@@ -132,14 +132,20 @@ class Remembered:
         return new - known
 
 
+def light(ids: DataFrame) -> DataFrame:
+    """The ids (one column), marked for a broadcast up to a checked number.
+
+    What Spark estimates of a written table is the size of its files, whatever is left of their rows.
+    """
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def without(documents: DataFrame, ids: DataFrame) -> DataFrame:
     """The documents whose ``doc_id`` is not among ``ids`` (one long column); null ids stay.
 
     Ids up to a checked number are broadcast; more of them meet the documents in a shuffle.
     """
-    ids = ids.toDF("dropped").where("dropped IS NOT NULL").distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = light(ids.toDF("dropped").where("dropped IS NOT NULL").distinct())
     return documents.join(ids, documents["doc_id"].cast("long") == ids["dropped"], "left_anti")
 
 

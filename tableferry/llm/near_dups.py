@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableferry.llm.common import BROADCAST_IDS, slices, tidy, without, written
+from tableferry.llm.common import light, slices, tidy, without, written
 
 WORDS = 5
 SIMILARITY = 85  # per cent
@@ -222,9 +222,7 @@ def texts_of(documents: DataFrame, members: DataFrame) -> DataFrame:
 
     Classes without an id are found by their node, among all rows without an id.
     """
-    ids = members.where("doc_id IS NOT NULL").select("doc_id").distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = light(members.where("doc_id IS NOT NULL").select("doc_id").distinct())
     rows = documents.select("doc_id", "text")
     texts = _normal_texts(rows.join(ids, "doc_id", "left_semi"))
     nameless = members.where("doc_id IS NULL").select("node").distinct()
@@ -535,16 +533,16 @@ def one_of_each(documents: DataFrame, similarity: int = SIMILARITY) -> DataFrame
     )
     # Rows that their id tells apart go or stay by it; the others by id and text.
     named = without(documents, ids.where("NOT any OR mixed").select("doc_id"))
-    mixed = ids.where("any AND mixed").select("doc_id")
-    nameless = documents.where(F.col("doc_id").cast("long").isNull())
     named = named.where(F.col("doc_id").cast("long").isNotNull())
-    return named.unionByName(
-        _one_of_each_text(nameless, found.where("stays AND doc_id IS NULL"))
-    ).unionByName(
-        _one_of_each_text(
-            _with_ids(documents, mixed), found.where("stays").join(mixed, "doc_id", "left_semi")
-        )
-    )
+    mixed = light(ids.where("any AND mixed").select("doc_id"))
+    if not mixed.isEmpty():
+        stay = found.where("stays").join(mixed, "doc_id", "left_semi")
+        named = named.unionByName(_one_of_each_text(_with_ids(documents, mixed), stay))
+    if not found.where("doc_id IS NULL").isEmpty():
+        nameless = documents.where(F.col("doc_id").cast("long").isNull())
+        stay = found.where("stays AND doc_id IS NULL")
+        named = named.unionByName(_one_of_each_text(nameless, stay))
+    return named
 
 
 def _with_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
@@ -553,7 +551,10 @@ def _with_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _one_of_each_text(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One of the rows of each id and text in ``wanted``, and all rows without words; all columns."""
+    """One of the rows of each id and text in ``wanted``, and all rows without words; all columns.
+
+    All rows have an id, or none has.
+    """
 
     @F.arrow_udf("binary")
     def node_of(texts: pa.Array) -> pa.Array:
@@ -561,13 +562,13 @@ def _one_of_each_text(documents: DataFrame, wanted: DataFrame) -> DataFrame:
         return pa.array([_node(w) if w else None for w in words], pa.binary())
 
     node, number = (_free(documents, name) for name in ("node", "number"))
-    rows = documents.withColumn(node, node_of("text")).withColumn(number, F.col("doc_id").cast("long"))
-    wanted = wanted.where("node IS NOT NULL").select("node", "doc_id").distinct().toDF("a", "b")
+    # 0 for no id: rows dealt out by plain values are joined by them without being dealt out again.
+    id_of = F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
+    rows = documents.withColumn(node, node_of("text")).withColumn(number, id_of)
+    wanted = wanted.where("node IS NOT NULL").select("node", id_of).distinct().toDF("a", "b")
     # One row of each id and text first, so that many copies are not joined in one place.
     one = rows.where(F.col(node).isNotNull()).dropDuplicates([node, number])
-    kept = one.join(
-        wanted, (one[node] == wanted["a"]) & one[number].eqNullSafe(wanted["b"]), "left_semi"
-    )
+    kept = one.join(wanted, (one[node] == wanted["a"]) & (one[number] == wanted["b"]), "left_semi")
     return rows.where(F.col(node).isNull()).unionByName(kept).drop(node, number)
 
 

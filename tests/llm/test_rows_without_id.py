@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from tableferry.llm import near_dups
+from tableferry.llm import common, near_dups
 from tests.llm.test_operators import plain_near_dups
 
 SCHEMA = "doc_id long, text string, node string"
@@ -59,3 +59,29 @@ def test_one_row_of_each_component(frame):
     nameless = [t for d, t in kept if d is None]
     assert len(nameless) == 2 and " " in nameless
     assert near_dups.one_of_each(frame.limit(0)).count() == 0
+
+
+def test_a_row_without_an_id_is_not_the_row_of_id_0(spark):
+    named = [(0, text(0)), (0, text(0, OTHER)), (0, text(0, OTHER))]
+    rows = [*named, (None, text(0, OTHER)), (None, "nobody's words")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in near_dups.one_of_each(frame).collect()]
+    assert Counter(kept) == Counter([*named[:2], rows[-1]])
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_documents_are_dealt_out_by_id_only_for_many_ids(frame, spark, monkeypatch, limit):
+    """As for large tables, nothing is small enough to be broadcast of itself."""
+    wanted = Counter((r.doc_id, r.text) for r in near_dups.one_of_each(frame).collect())
+    monkeypatch.setattr(common, "BROADCAST_IDS", limit)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = near_dups.one_of_each(frame)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        found = Counter((r.doc_id, r.text) for r in rows.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ("Exchange hashpartitioning(doc_id" in plan) == (limit == 0)
+    # By node and id the rows are dealt out once, those of repeated ids and those without one.
+    assert "coalesce(number" not in plan
+    assert found == wanted
